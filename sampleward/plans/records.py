@@ -14,11 +14,11 @@ def run_log(
     """One SAMPLE_DONE record per job.
 
     `jobs` has source_table, target_table, sample_type, granted, error_code; `inserted` has
-    target_table and the rows now in it.
+    source_table and `row_count`, the rows now in its sample. A failed job has no amount.
     """
-    counts = inserted.select("target_table", F.col("row_count").alias("__inserted"))
+    counts = inserted.select("source_table", F.col("row_count").alias("__inserted"))
     failed = F.col("error_code").isNotNull()
-    return jobs.join(counts, "target_table", "left").select(
+    return jobs.join(counts, "source_table", "left").select(
         F.lit(cycle_ts).cast("bigint").alias("cycle_ts"),
         "source_table",
         "target_table",
