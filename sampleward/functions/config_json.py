@@ -6,6 +6,8 @@ leaves the nodes beside it alone. Text that is no JSON object gives empty nodes.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +20,42 @@ NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*)$"
 MAX_LONG = 9223372036854775807
 
 
-def node_type(document: Column, path: str) -> Column:
-    """Type name of the value at `path`, `VOID` when it is missing or null."""
-    found = F.try_variant_get(document, path, "variant")
-    return F.coalesce(F.schema_of_variant(found), F.lit(MISSING))
+def with_nodes(df: DataFrame, paths: Mapping[str, str], document: str = "document") -> DataFrame:
+    """Add the type name and the text of each JSON path, for `kind` and `node_text`.
+
+    The generator keeps later filters from repeating the JSON access for every use of a node.
+    """
+    nodes = []
+    for name, path in paths.items():
+        found = F.try_variant_get(F.col(document), path, "variant")
+        nodes += [
+            F.coalesce(F.schema_of_variant(found), F.lit(MISSING)).alias(f"__kind_{name}"),
+            F.try_variant_get(F.col(document), path, "string").alias(f"__text_{name}"),
+        ]
+    return df.select("*", F.inline(F.array(F.struct(*nodes))))
+
+
+def without_nodes(df: DataFrame) -> DataFrame:
+    return df.drop(*(name for name in df.columns if name.startswith(("__kind_", "__text_"))))
+
+
+def kind(name: str) -> Column:
+    """Type name of a node, `VOID` when it is missing or null."""
+    return F.col(f"__kind_{name}")
 
 
-def node_text(document: Column, path: str) -> Column:
-    """The value at `path` when it is a string, else null."""
-    return F.when(node_type(document, path) == "STRING", F.try_variant_get(document, path, "string"))
+def node_text(name: str) -> Column:
+    """The node when it is a string, else null."""
+    return F.when(kind(name) == "STRING", F.col(f"__text_{name}"))
 
 
-def is_object(document: Column, path: str) -> Column:
-    return node_type(document, path).startswith("OBJECT")
+def node_number(name: str) -> Column:
+    """The node when it is a number, else null."""
+    return F.when(kind(name).rlike(NUMBER), F.expr(f"try_cast(__text_{name} AS DOUBLE)"))
+
+
+def is_object(name: str) -> Column:
+    return kind(name).startswith("OBJECT")
 
 
 def valid_size(count: Column, percentage: Column) -> Column:
@@ -64,65 +89,69 @@ def valid_spec(sample_type: Column, properties: Column) -> Column:
     )
 
 
-def size_at(document: Column, path: str) -> Column:
-    count_path, percentage_path = f"{path}.count", f"{path}.percentage"
-    count_type = node_type(document, count_path)
-    percentage_type = node_type(document, percentage_path)
-    big = F.try_variant_get(document, count_path, "double")
+def size_nodes(name: str, path: str) -> dict[str, str]:
+    return {f"{name}_count": f"{path}.count", f"{name}_percentage": f"{path}.percentage"}
+
+
+def spec_nodes(path: str) -> dict[str, str]:
+    return {
+        "spec": path,
+        "type": f"{path}.type",
+        "by": f"{path}.properties.by",
+        "direction": f"{path}.properties.direction",
+    }
+
+
+def size_of(name: str) -> Column:
+    """Size struct from the nodes of `size_nodes`."""
+    count_kind, percentage_kind = kind(f"{name}_count"), kind(f"{name}_percentage")
     # -1 and -1.0 stand for values of a wrong type: out of range, so they empty the size.
     count = (
-        F.when(count_type == MISSING, F.lit(None).cast("bigint"))
-        .when(count_type == "BIGINT", F.try_variant_get(document, count_path, "bigint"))
-        .when(count_type.rlike(BIG_INTEGER) & (big > 0), F.lit(MAX_LONG))
-        .otherwise(F.lit(-1).cast("bigint"))
-    )
-    percentage = (
-        F.when(percentage_type == MISSING, F.lit(None).cast("double"))
+        F.when(count_kind == MISSING, F.lit(None).cast("bigint"))
+        .when(count_kind == "BIGINT", F.expr(f"try_cast(__text_{name}_count AS BIGINT)"))
         .when(
-            percentage_type.rlike(NUMBER), F.try_variant_get(document, percentage_path, "double")
+            count_kind.rlike(BIG_INTEGER) & (node_number(f"{name}_count") > 0), F.lit(MAX_LONG)
         )
-        .otherwise(F.lit(-1.0))
+        .otherwise(F.lit(-1).cast("bigint"))
+    )
+    percentage = F.when(
+        percentage_kind != MISSING, F.coalesce(node_number(f"{name}_percentage"), F.lit(-1.0))
     )
     return valid_size(count, percentage)
 
 
-def spec_at(document: Column, path: str) -> Column:
-    type_path = f"{path}.type"
-    type_kind = node_type(document, type_path)
-    properties = valid_properties(
-        node_text(document, f"{path}.properties.by"),
-        node_text(document, f"{path}.properties.direction"),
-    )
-    readable = type_kind.isin(MISSING, "STRING")
+def spec_of() -> Column:
+    """Spec struct from the nodes of `spec_nodes`; a spec that is no object means random."""
+    properties = valid_properties(node_text("by"), node_text("direction"))
     no_properties = F.lit(None).cast("struct<by:string,direction:string>")
-    default = F.struct(
-        F.lit(DEFAULT_SAMPLE_TYPE).alias("type"), no_properties.alias("properties")
-    )
-    return (
-        F.when(node_type(document, path) == MISSING, F.lit(None))
-        .when(~is_object(document, path), default)
-        .when(readable, valid_spec(node_text(document, type_path), properties))
-    )
+    default = F.struct(F.lit(DEFAULT_SAMPLE_TYPE).alias("type"), no_properties.alias("properties"))
+    readable = kind("type").isin(MISSING, "STRING")
+    return F.when(
+        is_object("spec") & readable, valid_spec(node_text("type"), properties)
+    ).when(~is_object("spec") & (kind("spec") != MISSING), default)
+
+
+def _parsed(objects: DataFrame, content: str, paths: Mapping[str, str]) -> DataFrame:
+    document = objects.withColumn("__document", F.try_parse_json(F.col(content)))
+    return with_nodes(document, paths, "__document")
 
 
 def parse_requests(objects: DataFrame, content: str = "content") -> DataFrame:
     """Add `size` and `spec` read from the request text in `content`."""
-    document = F.col("__document")
-    return (
-        objects.withColumn("__document", F.try_parse_json(F.col(content)))
-        .withColumn("size", size_at(document, "$.size"))
-        .withColumn("spec", spec_at(document, "$.spec"))
-        .drop("__document")
+    nodes = _parsed(objects, content, {**size_nodes("size", "$.size"), **spec_nodes("$.spec")})
+    return without_nodes(nodes.withColumns({"size": size_of("size"), "spec": spec_of()})).drop(
+        "__document"
     )
 
 
 def parse_policies(objects: DataFrame, content: str = "content") -> DataFrame:
     """Add `limit`, `size` and `spec` (the default sample) read from the policy text."""
-    document = F.col("__document")
-    return (
-        objects.withColumn("__document", F.try_parse_json(F.col(content)))
-        .withColumn("limit", size_at(document, "$.limit"))
-        .withColumn("size", size_at(document, "$.default_sample.size"))
-        .withColumn("spec", spec_at(document, "$.default_sample.spec"))
-        .drop("__document")
+    paths = {
+        **size_nodes("limit", "$.limit"),
+        **size_nodes("size", "$.default_sample.size"),
+        **spec_nodes("$.default_sample.spec"),
+    }
+    nodes = _parsed(objects, content, paths).withColumns(
+        {"limit": size_of("limit"), "size": size_of("size"), "spec": spec_of()}
     )
+    return without_nodes(nodes).drop("__document")

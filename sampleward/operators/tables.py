@@ -119,15 +119,20 @@ def full_refresh_targets(
     return samples.join(current.select(*key), key, "left_anti")
 
 
-def drop_tables(spark: SparkSession, tables: DataFrame) -> list[str]:
-    """Drop each (dataset_id, table_id); failures are collected and do not stop the others."""
-    errors = []
+def drop_tables(spark: SparkSession, tables: DataFrame) -> tuple[list[str], list[str]]:
+    """Drop each (dataset_id, table_id). A failure does not stop the others.
+
+    Returns the dropped names and the error texts.
+    """
+    dropped, errors = [], []
     for row in tables.select("dataset_id", "table_id").toLocalIterator():
+        name = f"{row.dataset_id}.{row.table_id}"
         try:
             spark.sql(f"DROP TABLE IF EXISTS `{row.dataset_id}`.`{row.table_id}`")
+            dropped.append(name)
         except Exception as error:  # noqa: BLE001 - reported once for all tables
-            errors.append(f"Could not drop {row.dataset_id}.{row.table_id}: {error}")
-    return errors
+            errors.append(f"Could not drop {name}: {error}")
+    return dropped, errors
 
 
 def drop_empty_schemas(

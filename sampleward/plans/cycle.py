@@ -39,7 +39,7 @@ from sampleward.plans.effective import (
 from sampleward.plans.jobs import compliant_plan, errors_per_cycle, target_mapping, validate_job
 from sampleward.plans.records import dead_letter, run_log
 from sampleward.schemas import ROW_COUNT, TABLE_KEY
-from sampleward.settings import SINGLE_TASK_ROWS, CycleConfig
+from sampleward.settings import ERROR_SEPARATOR, SINGLE_TASK_ROWS, CycleConfig
 from sampleward.sources.catalog import (
     TableKey,
     dataset_locations,
@@ -277,9 +277,7 @@ def _drop_obsolete(spark: SparkSession, config: CycleConfig, sampled: DataFrame)
         F.lower("table_id").alias("table_id"),
     )
     existing = list_tables(spark, config.target_project, config.target_schema_prefix)
-    obsolete = full_refresh_targets(existing, current)
-    dropped = [f"{r.dataset_id}.{r.table_id}" for r in obsolete.toLocalIterator()]
-    errors = drop_tables(spark, obsolete)
+    dropped, errors = drop_tables(spark, full_refresh_targets(existing, current))
     if errors:
-        LOG.error("+++".join(errors))
+        LOG.error(ERROR_SEPARATOR.join(errors))
     return dropped + drop_empty_schemas(spark, config.target_schema_prefix)

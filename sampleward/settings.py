@@ -26,6 +26,9 @@ ERROR_TEXT = "A new high or critical severity finding was detected:\n\n%s"
 IDENTIFIER_LENGTH = 1023
 STAGING_PART_LENGTH = 200
 
+# Schema property that names the location of its data.
+LOCATION_PROPERTY = "data_location"
+
 # Fixed values of the fallback policy: one row, picked at random.
 FALLBACK_COUNT = 1
 

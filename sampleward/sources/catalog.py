@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sampleward.schemas import CATALOG_TABLE, LOCATION, ROW_COUNT, SOURCE_COLUMN
+from sampleward.settings import LOCATION_PROPERTY
 
 TableKey = tuple[str, str, str]
 
@@ -73,7 +74,7 @@ def label_match(labels: Column, wanted: Mapping[str, str]) -> Column:
 
 
 def schema_properties(spark: SparkSession, schema: str) -> dict[str, str]:
-    """Properties set on a schema, read from its JSON description."""
+    """Properties set on a schema, read from its description."""
     rows = spark.sql(f"DESCRIBE DATABASE EXTENDED `{schema}`").collect()
     text = next((row.info_value for row in rows if row.info_name == "Properties"), "")
     inner = text.removeprefix("((").removesuffix("))")
@@ -106,9 +107,9 @@ def list_tables(
 
 
 def dataset_locations(spark: SparkSession, datasets: Mapping[tuple[str, str], str]) -> DataFrame:
-    """Location of each (project, dataset), read from the `location` property of its schema."""
+    """Location of each (project, dataset), read from a property of its schema."""
     rows = [
-        (*key, schema_properties(spark, schema).get("location"))
+        (*key, schema_properties(spark, schema).get(LOCATION_PROPERTY))
         for key, schema in datasets.items()
     ]
     return spark.createDataFrame(rows, LOCATION)

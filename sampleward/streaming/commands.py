@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sampleward.functions.config_json import MISSING, NUMBER, is_object, node_text, node_type
-from sampleward.functions.text import strip
+from sampleward.functions.config_json import (
+    MISSING,
+    is_object,
+    kind,
+    node_number,
+    node_text,
+    with_nodes,
+    without_nodes,
+)
+from sampleward.functions.text import config_object_path, strip
 from sampleward.operators.tables import drop_schema_cascade
 from sampleward.plans.cycle import run_cycle
 from sampleward.plans.records import dead_letter
@@ -30,110 +39,126 @@ def config_of_run(run_name: Column) -> Column:
     return F.when(run_name.rlike(RUN_NAME_PATTERN), F.regexp_extract(run_name, RUN_NAME_PATTERN, 1))
 
 
-def _is_notification(document: Column) -> Column:
+def _reference_nodes(name: str, path: str) -> dict[str, str]:
+    fields = {"project": "project_id", "dataset": "dataset_id", "table": "table_id"}
+    nodes = {f"{name}_{short}": f"{path}.{field}" for short, field in fields.items()}
+    return {**nodes, f"{name}_location": f"{path}.location"}
+
+
+NOTICE_NODES = {
+    "root": "$",
+    "type": "$.type",
+    "name": "$.name",
+    "data_source": "$.dataSourceId",
+    "params": "$.params",
+}
+COMMAND_NODES = {
+    **NOTICE_NODES,
+    "prefix": "$.prefix",
+    "project": "$.project_id",
+    "dataset": "$.dataset_id",
+    "payload": "$.payload",
+    "sample": "$.sample_request.sample",
+    "start": "$.start_timestamp",
+    "end": "$.end_timestamp",
+    "message": "$.error_message",
+    "amount": "$.amount_inserted",
+    **_reference_nodes("source", "$.sample_request.table_reference"),
+    **_reference_nodes("target", "$.target_table"),
+}
+TRANSFER_FIELDS = {
+    "state": "state",
+    "source_project_id": "params.source_project_id",
+    "source_dataset_id": "params.source_dataset_id",
+}
+
+
+def _is_notification() -> Column:
     return (
-        (node_type(document, "$.dataSourceId") == "STRING")
-        & is_object(document, "$.params")
-        & config_of_run(node_text(document, "$.name")).isNotNull()
+        (kind("data_source") == "STRING")
+        & is_object("params")
+        & config_of_run(node_text("name")).isNotNull()
     )
 
 
-def command_type(document: Column) -> Column:
+def _given_type() -> Column:
+    return F.upper(strip(node_text("type")))
+
+
+def command_type() -> Column:
     """Type of a command in upper case; a transfer notification counts as TRANSFER_RUN_DONE."""
-    given = F.upper(strip(node_text(document, "$.type")))
-    readable = node_type(document, "$.type").isin(MISSING, "STRING")
-    return F.when(given.isin(COMMAND_TYPES), given).when(
-        readable & _is_notification(document), "TRANSFER_RUN_DONE"
+    readable = kind("type").isin(MISSING, "STRING")
+    return F.when(_given_type().isin(COMMAND_TYPES), _given_type()).when(
+        readable & _is_notification(), "TRANSFER_RUN_DONE"
     )
 
 
-def _strings(document: Column, *paths: str) -> Column:
-    valid = F.lit(True)
-    for path in paths:
-        valid = valid & (node_type(document, path) == "STRING")
-    return valid
+def _strings(*names: str) -> Column:
+    return reduce(lambda a, b: a & b, (kind(name) == "STRING" for name in names))
 
 
-def _table_ref(document: Column, path: str) -> Column:
-    names = _strings(document, f"{path}.project_id", f"{path}.dataset_id", f"{path}.table_id")
-    return names & node_type(document, f"{path}.location").isin(MISSING, "STRING")
+def _table_ref(name: str) -> Column:
+    names = _strings(f"{name}_project", f"{name}_dataset", f"{name}_table")
+    return names & kind(f"{name}_location").isin(MISSING, "STRING")
 
 
-def _number(document: Column, path: str, low: float, strict: bool) -> Column:
-    value = F.try_variant_get(document, path, "double")
-    in_range = value > low if strict else value >= low
-    return node_type(document, path).rlike(NUMBER) & F.coalesce(in_range, F.lit(False))
+def _positive(name: str) -> Column:
+    return F.coalesce(node_number(name) > 0, F.lit(False))
 
 
-def _fields_valid(document: Column, kind: Column) -> Column:
-    sample = (
-        _table_ref(document, "$.sample_request.table_reference")
-        & (node_type(document, "$.sample_request.sample") != MISSING)
-        & _table_ref(document, "$.target_table")
-    )
-    amount = (node_type(document, "$.amount_inserted") == MISSING) | _number(
-        document, "$.amount_inserted", 0, strict=False
-    )
-    done = (
-        sample
-        & _number(document, "$.start_timestamp", 0, strict=True)
-        & _number(document, "$.end_timestamp", 0, strict=True)
-        & _strings(document, "$.error_message")
-        & amount
-    )
-    explicit = _strings(document, "$.name") & is_object(document, "$.payload")
+def _fields_valid(command: Column) -> Column:
+    sample = _table_ref("source") & (kind("sample") != MISSING) & _table_ref("target")
+    amount = (kind("amount") == MISSING) | F.coalesce(node_number("amount") >= 0, F.lit(False))
+    done = _positive("start") & _positive("end") & _strings("message") & amount
     # A notification without a type of its own is complete once it is recognised.
-    transfer = F.when(
-        F.coalesce(F.upper(strip(node_text(document, "$.type"))) == kind, F.lit(False)), explicit
-    ).otherwise(_is_notification(document))
+    transfer = F.coalesce(_given_type() != command, F.lit(True)) | (
+        _strings("name") & is_object("payload")
+    )
     return (
-        F.when(kind == "SAMPLE_POLICY_PREFIX", _strings(document, "$.prefix"))
-        .when(kind == "SAMPLE_START", sample)
-        .when(kind == "SAMPLE_DONE", done)
-        .when(kind == "TRANSFER_RUN_DONE", transfer)
-        .when(kind == "REMOVE_DATASET", _strings(document, "$.project_id", "$.dataset_id"))
+        F.when(command == "SAMPLE_POLICY_PREFIX", _strings("prefix"))
+        .when(command.isin("SAMPLE_START", "SAMPLE_DONE"), sample)
+        .when(command == "TRANSFER_RUN_DONE", transfer)
+        .when(command == "REMOVE_DATASET", _strings("project", "dataset"))
         .otherwise(F.lit(True))
-    )
+    ) & ((command != "SAMPLE_DONE") | done)
 
 
 def route_commands(commands: DataFrame) -> DataFrame:
     """Add `type`, `error` and `route`: the type of a valid command, else the dead letters."""
-    document = F.col("document")
-    kind = F.col("type")
+    command = F.col("type")
     error = (
-        F.when(document.isNull(), "BAD_PAYLOAD")
-        .when(~is_object(document, "$"), "NOT_AN_OBJECT")
-        .when(kind.isNull(), "UNKNOWN_TYPE")
+        F.when(F.col("document").isNull(), "BAD_PAYLOAD")
+        .when(~is_object("root"), "NOT_AN_OBJECT")
+        .when(command.isNull(), "UNKNOWN_TYPE")
         .when(F.coalesce(F.col("timestamp") <= 0, F.lit(True)), "BAD_TIMESTAMP")
-        .when(~_fields_valid(document, kind), "BAD_FIELDS")
+        .when(~_fields_valid(command), "BAD_FIELDS")
     )
-    return (
-        commands.withColumn("type", command_type(document))
-        .withColumn("error", error)
-        .withColumn("route", F.when(F.col("error").isNull(), kind).otherwise(DEAD_LETTER))
+    nodes = with_nodes(commands, COMMAND_NODES)
+    typed = nodes.withColumn("type", command_type()).withColumn("error", error)
+    return without_nodes(
+        typed.withColumn("route", F.when(F.col("error").isNull(), command).otherwise(DEAD_LETTER))
     )
 
 
 def transfer_notification(commands: DataFrame) -> DataFrame:
     """Finished transfers: their config, state and staging dataset, and what to do next."""
-    document = F.col("document")
-    typed = F.coalesce(
-        F.upper(strip(node_text(document, "$.type"))) == "TRANSFER_RUN_DONE", F.lit(False)
-    )
-
-    def at(path: str) -> Column:
-        return F.when(typed, node_text(document, f"$.payload.{path}")).otherwise(
-            node_text(document, f"$.{path}")
-        )
-
-    name = node_text(document, "$.name")
+    paths = {f"own_{name}": f"$.{path}" for name, path in TRANSFER_FIELDS.items()}
+    paths |= {f"inner_{name}": f"$.payload.{path}" for name, path in TRANSFER_FIELDS.items()}
+    typed = F.coalesce(_given_type() == "TRANSFER_RUN_DONE", F.lit(False))
+    fields = {
+        name: F.when(typed, node_text(f"inner_{name}")).otherwise(node_text(f"own_{name}"))
+        for name in TRANSFER_FIELDS
+    }
+    name = node_text("name")
     succeeded = F.coalesce(F.col("state") == TRANSFER_OK_STATE, F.lit(False))
-    return (
-        commands.filter(command_type(document) == "TRANSFER_RUN_DONE")
+    finished = (
+        with_nodes(commands, {**NOTICE_NODES, **paths})
+        .filter(command_type() == "TRANSFER_RUN_DONE")
         .withColumn("config_name", F.when(typed, name).otherwise(config_of_run(name)))
-        .withColumn("state", at("state"))
-        .withColumn("source_project_id", at("params.source_project_id"))
-        .withColumn("source_dataset_id", at("params.source_dataset_id"))
+        .withColumns(fields)
+    )
+    return (
+        without_nodes(finished)
         .withColumn("next_command", F.when(succeeded, "REMOVE_DATASET"))
         .withColumn("error", F.when(~succeeded, "TRANSFER_NOT_SUCCEEDED"))
     )
@@ -168,18 +193,18 @@ def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str)
             # A repeated batch overwrites its own dead letters instead of adding to them.
             failed = dead_letter(routed, ["payload", "publish_time", "timestamp"])
             failed.write.mode("overwrite").json(f"{dead_letters}/batch={batch_id}")
-            document = F.col("document")
             orders = (
-                routed.filter(F.col("error").isNull())
+                with_nodes(routed.filter(F.col("error").isNull()), COMMAND_NODES)
                 .select(
                     "route",
                     "timestamp",
-                    node_text(document, "$.prefix").alias("prefix"),
-                    node_text(document, "$.dataset_id").alias("dataset_id"),
-                    *(
-                        node_text(document, f"$.sample_request.table_reference.{n}").alias(f"t_{n}")
-                        for n in ("project_id", "dataset_id", "table_id")
-                    ),
+                    node_text("prefix").alias("prefix"),
+                    node_text("dataset").alias("dataset_id"),
+                    config_object_path(
+                        node_text("source_project"),
+                        node_text("source_dataset"),
+                        node_text("source_table"),
+                    ).alias("object_path"),
                 )
                 .distinct()
                 .orderBy("timestamp")
@@ -190,8 +215,7 @@ def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str)
                 elif order.route == "SAMPLE_POLICY_PREFIX":
                     run_cycle(spark, config, order.timestamp, prefix=order.prefix)
                 elif order.route == "SAMPLE_START":
-                    path = f"{order.t_project_id}/{order.t_dataset_id}/{order.t_table_id}.json"
-                    run_cycle(spark, config, order.timestamp, prefix=path)
+                    run_cycle(spark, config, order.timestamp, prefix=order.object_path)
                 elif order.route == "REMOVE_DATASET" and order.dataset_id.lower().startswith(
                     config.staging_prefix
                 ):
