@@ -18,44 +18,57 @@ MISSING = "VOID"
 BIG_INTEGER = r"^DECIMAL\((19|[23]\d),0\)$"
 NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*)$"
 MAX_LONG = 9223372036854775807
+NODES = "__nodes"
+SIZE_SHAPE = "struct<count:variant,percentage:variant>"
+SIZE_PARTS = ["count", "percentage"]
+SPEC_SHAPE = "struct<type:variant,properties:struct<by:variant,direction:variant>>"
+SPEC_LEAVES = {
+    "spec": "spec",
+    "type": "parts.type",
+    "by": "parts.properties.by",
+    "direction": "parts.properties.direction",
+}
+
+
+def with_nodes(df: DataFrame, nodes: Column, leaves: Mapping[str, str]) -> DataFrame:
+    """Add the JSON nodes of a document and the type name of each leaf, given as name and path.
+
+    Each step is a column of its own that later steps refer to by name. Nothing is computed twice,
+    and the generated code stays in small methods.
+    """
+    paths = {name: F.col(f"{NODES}.{path}") for name, path in leaves.items()}
+    return df.withColumn(NODES, nodes).withColumns(
+        {f"__kind_{n}": F.coalesce(F.schema_of_variant(p), F.lit(MISSING)) for n, p in paths.items()}
+        | {f"__node_{n}": p for n, p in paths.items()}
+    )
 
 
-def with_nodes(df: DataFrame, paths: Mapping[str, str], document: str = "document") -> DataFrame:
-    """Add the type name and the text of each JSON path, for `kind` and `node_text`.
-
-    The generator keeps later filters from repeating the JSON access for every use of a node.
-    """
-    nodes = []
-    for name, path in paths.items():
-        found = F.try_variant_get(F.col(document), path, "variant")
-        nodes += [
-            F.coalesce(F.schema_of_variant(found), F.lit(MISSING)).alias(f"__kind_{name}"),
-            F.try_variant_get(F.col(document), path, "string").alias(f"__text_{name}"),
-        ]
-    return df.select("*", F.inline(F.array(F.struct(*nodes))))
+def sealed(df: DataFrame, keep: list[str], results: Mapping[str, Column]) -> DataFrame:
+    """`keep` and the results. They go through a generator, which filters are not pushed through:
+    a pushed filter would repeat the whole computation for each use of a result."""
+    row = F.struct(*(column.alias(name) for name, column in results.items()))
+    return df.select(*keep, F.inline(F.array(row)))
 
 
-def without_nodes(df: DataFrame) -> DataFrame:
-    return df.drop(*(name for name in df.columns if name.startswith(("__kind_", "__text_"))))
+def node(path: str) -> Column:
+    return F.col(f"{NODES}.{path}")
 
 
 def kind(name: str) -> Column:
-    """Type name of a node, `VOID` when it is missing or null."""
+    """Type name of a leaf, `VOID` when it is missing or null."""
     return F.col(f"__kind_{name}")
 
 
-def node_text(name: str) -> Column:
-    """The node when it is a string, else null."""
-    return F.when(kind(name) == "STRING", F.col(f"__text_{name}"))
-
-
-def node_number(name: str) -> Column:
-    """The node when it is a number, else null."""
-    return F.when(kind(name).rlike(NUMBER), F.expr(f"try_cast(__text_{name} AS DOUBLE)"))
+def text(name: str) -> Column:
+    """The leaf when it is a string, else null."""
+    value = F.try_variant_get(F.col(f"__node_{name}"), "$", "string")
+    return F.when(kind(name) == "STRING", value)
 
 
-def is_object(name: str) -> Column:
-    return kind(name).startswith("OBJECT")
+def number(name: str) -> Column:
+    """The leaf when it is a number, else null."""
+    value = F.try_variant_get(F.col(f"__node_{name}"), "$", "double")
+    return F.when(kind(name).rlike(NUMBER), value)
 
 
 def valid_size(count: Column, percentage: Column) -> Column:
@@ -89,69 +102,74 @@ def valid_spec(sample_type: Column, properties: Column) -> Column:
     )
 
 
-def size_nodes(name: str, path: str) -> dict[str, str]:
-    return {f"{name}_count": f"{path}.count", f"{name}_percentage": f"{path}.percentage"}
-
-
-def spec_nodes(path: str) -> dict[str, str]:
-    return {
-        "spec": path,
-        "type": f"{path}.type",
-        "by": f"{path}.properties.by",
-        "direction": f"{path}.properties.direction",
-    }
-
-
-def size_of(name: str) -> Column:
-    """Size struct from the nodes of `size_nodes`."""
-    count_kind, percentage_kind = kind(f"{name}_count"), kind(f"{name}_percentage")
-    # -1 and -1.0 stand for values of a wrong type: out of range, so they empty the size.
-    count = (
-        F.when(count_kind == MISSING, F.lit(None).cast("bigint"))
-        .when(count_kind == "BIGINT", F.expr(f"try_cast(__text_{name}_count AS BIGINT)"))
-        .when(
-            count_kind.rlike(BIG_INTEGER) & (node_number(f"{name}_count") > 0), F.lit(MAX_LONG)
-        )
+def _count(name: str) -> Column:
+    """A count; -1 stands for a value of a wrong type and, being out of range, empties the size."""
+    whole = F.try_variant_get(F.col(f"__node_{name}"), "$", "bigint")
+    return (
+        F.when(kind(name) == MISSING, F.lit(None).cast("bigint"))
+        .when(kind(name) == "BIGINT", whole)
+        .when(kind(name).rlike(BIG_INTEGER) & (number(name) > 0), F.lit(MAX_LONG))
         .otherwise(F.lit(-1).cast("bigint"))
     )
-    percentage = F.when(
-        percentage_kind != MISSING, F.coalesce(node_number(f"{name}_percentage"), F.lit(-1.0))
-    )
-    return valid_size(count, percentage)
 
 
-def spec_of() -> Column:
-    """Spec struct from the nodes of `spec_nodes`; a spec that is no object means random."""
-    properties = valid_properties(node_text("by"), node_text("direction"))
+def _percentage(name: str) -> Column:
+    return F.when(kind(name) != MISSING, F.coalesce(number(name), F.lit(-1.0)))
+
+
+def _spec() -> Column:
+    """Spec struct; a spec that is no object means random."""
     no_properties = F.lit(None).cast("struct<by:string,direction:string>")
     default = F.struct(F.lit(DEFAULT_SAMPLE_TYPE).alias("type"), no_properties.alias("properties"))
+    is_object = node("parts").isNotNull()
     readable = kind("type").isin(MISSING, "STRING")
-    return F.when(
-        is_object("spec") & readable, valid_spec(node_text("type"), properties)
-    ).when(~is_object("spec") & (kind("spec") != MISSING), default)
+    return F.when(is_object & readable, valid_spec(F.col("__type"), F.col("__properties"))).when(
+        ~is_object & (kind("spec") != MISSING), default
+    )
 
 
-def _parsed(objects: DataFrame, content: str, paths: Mapping[str, str]) -> DataFrame:
-    document = objects.withColumn("__document", F.try_parse_json(F.col(content)))
-    return with_nodes(document, paths, "__document")
+def _parse(objects: DataFrame, content: str, sizes: Mapping[str, str], sample: str) -> DataFrame:
+    """Add a size struct per entry of `sizes` (name and path) and the spec of the sample."""
+    document = F.col("__document")
+    nodes = [
+        *(
+            F.try_variant_get(document, path, SIZE_SHAPE).alias(name)
+            for name, path in sizes.items()
+        ),
+        F.try_variant_get(document, f"{sample}.spec", "variant").alias("spec"),
+        F.try_variant_get(document, f"{sample}.spec", SPEC_SHAPE).alias("parts"),
+    ]
+    leaves = {f"{name}_{part}": f"{name}.{part}" for name in sizes for part in SIZE_PARTS}
+    values = {f"__{name}_count": _count(f"{name}_count") for name in sizes}
+    values |= {f"__{name}_percentage": _percentage(f"{name}_percentage") for name in sizes}
+    results = {
+        name: valid_size(F.col(f"__{name}_count"), F.col(f"__{name}_percentage"))
+        for name in sizes
+    }
+    parsed = with_nodes(
+        objects.withColumn("__document", F.try_parse_json(F.col(content))),
+        F.struct(*nodes),
+        {**leaves, **SPEC_LEAVES},
+    ).withColumns(
+        {
+            **values,
+            "__type": text("type"),
+            "__by": text("by"),
+            "__direction": text("direction"),
+        }
+    )
+    with_properties = parsed.withColumn(
+        "__properties", valid_properties(F.col("__by"), F.col("__direction"))
+    )
+    return sealed(with_properties, objects.columns, {**results, "spec": _spec()})
 
 
 def parse_requests(objects: DataFrame, content: str = "content") -> DataFrame:
     """Add `size` and `spec` read from the request text in `content`."""
-    nodes = _parsed(objects, content, {**size_nodes("size", "$.size"), **spec_nodes("$.spec")})
-    return without_nodes(nodes.withColumns({"size": size_of("size"), "spec": spec_of()})).drop(
-        "__document"
-    )
+    return _parse(objects, content, {"size": "$.size"}, "$")
 
 
 def parse_policies(objects: DataFrame, content: str = "content") -> DataFrame:
     """Add `limit`, `size` and `spec` (the default sample) read from the policy text."""
-    paths = {
-        **size_nodes("limit", "$.limit"),
-        **size_nodes("size", "$.default_sample.size"),
-        **spec_nodes("$.default_sample.spec"),
-    }
-    nodes = _parsed(objects, content, paths).withColumns(
-        {"limit": size_of("limit"), "size": size_of("size"), "spec": spec_of()}
-    )
-    return without_nodes(nodes).drop("__document")
+    sizes = {"limit": "$.limit", "size": "$.default_sample.size"}
+    return _parse(objects, content, sizes, "$.default_sample")

@@ -42,9 +42,13 @@ def effective_policy(policies: DataFrame, default: DataFrame) -> DataFrame:
     d = F.col("__default")
     return (
         policies.withColumn("__default", given)
-        .withColumn("limit", first_given(SIZE_FIELDS, F.col("limit"), d["limit"], fallback_size()))
-        .withColumn("size", first_given(SIZE_FIELDS, F.col("size"), d["size"], fallback_size()))
-        .withColumn("spec", first_given(SPEC_FIELDS, F.col("spec"), d["spec"], fallback_spec()))
+        .withColumns(
+            {
+                "limit": first_given(SIZE_FIELDS, F.col("limit"), d["limit"], fallback_size()),
+                "size": first_given(SIZE_FIELDS, F.col("size"), d["size"], fallback_size()),
+                "spec": first_given(SPEC_FIELDS, F.col("spec"), d["spec"], fallback_spec()),
+            }
+        )
         .drop("__default")
     )
 
@@ -56,8 +60,12 @@ def effective_request(policies: DataFrame, requests: DataFrame) -> DataFrame:
     )
     return (
         policies.join(asked, TABLE_KEY, "left")
-        .withColumn("size", first_given(SIZE_FIELDS, F.col("__size"), F.col("size")))
-        .withColumn("spec", first_given(SPEC_FIELDS, F.col("__spec"), F.col("spec")))
+        .withColumns(
+            {
+                "size": first_given(SIZE_FIELDS, F.col("__size"), F.col("size")),
+                "spec": first_given(SPEC_FIELDS, F.col("__spec"), F.col("spec")),
+            }
+        )
         .drop("__size", "__spec")
     )
 

@@ -6,10 +6,12 @@ Empty files are kept, unlike in the built-in text and binary readers: an empty p
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -21,6 +23,9 @@ from sampleward.settings import JSON_SUFFIX
 
 FILES_PER_PARTITION = 500
 
+# The reader travels with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class FileGroup(InputPartition):
     def __init__(self, files: list[tuple[str, str]]):

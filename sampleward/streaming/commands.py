@@ -11,12 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sampleward.functions.config_json import (
     MISSING,
-    is_object,
+    NODES,
     kind,
-    node_number,
-    node_text,
+    node,
+    number,
+    sealed,
+    text,
     with_nodes,
-    without_nodes,
 )
 from sampleward.functions.text import config_object_path, strip
 from sampleward.operators.tables import drop_schema_cascade
@@ -39,126 +40,134 @@ def config_of_run(run_name: Column) -> Column:
     return F.when(run_name.rlike(RUN_NAME_PATTERN), F.regexp_extract(run_name, RUN_NAME_PATTERN, 1))
 
 
-def _reference_nodes(name: str, path: str) -> dict[str, str]:
-    fields = {"project": "project_id", "dataset": "dataset_id", "table": "table_id"}
-    nodes = {f"{name}_{short}": f"{path}.{field}" for short, field in fields.items()}
-    return {**nodes, f"{name}_location": f"{path}.location"}
-
-
-NOTICE_NODES = {
-    "root": "$",
-    "type": "$.type",
-    "name": "$.name",
-    "data_source": "$.dataSourceId",
-    "params": "$.params",
-}
-COMMAND_NODES = {
-    **NOTICE_NODES,
-    "prefix": "$.prefix",
-    "project": "$.project_id",
-    "dataset": "$.dataset_id",
-    "payload": "$.payload",
-    "sample": "$.sample_request.sample",
-    "start": "$.start_timestamp",
-    "end": "$.end_timestamp",
-    "message": "$.error_message",
-    "amount": "$.amount_inserted",
-    **_reference_nodes("source", "$.sample_request.table_reference"),
-    **_reference_nodes("target", "$.target_table"),
-}
-TRANSFER_FIELDS = {
-    "state": "state",
-    "source_project_id": "params.source_project_id",
-    "source_dataset_id": "params.source_dataset_id",
-}
-
-
-def _is_notification() -> Column:
-    return (
-        (kind("data_source") == "STRING")
-        & is_object("params")
-        & config_of_run(node_text("name")).isNotNull()
+REF_SHAPE = "struct<project_id:variant,dataset_id:variant,table_id:variant,location:variant>"
+PARAMS_SHAPE = "struct<source_project_id:variant,source_dataset_id:variant>"
+COMMAND_SHAPE = f"""struct<
+    type: variant, prefix: variant, project_id: variant, dataset_id: variant,
+    sample_request: struct<table_reference: {REF_SHAPE}, sample: variant>,
+    target_table: {REF_SHAPE},
+    start_timestamp: variant, end_timestamp: variant, error_message: variant,
+    amount_inserted: variant, name: variant, dataSourceId: variant, state: variant,
+    params: {PARAMS_SHAPE}, payload: struct<state: variant, params: {PARAMS_SHAPE}>
+>"""
+
+
+REF_PARTS = ["project_id", "dataset_id", "table_id", "location"]
+COMMAND_LEAVES = [
+    "type", "prefix", "project_id", "dataset_id", "sample_request.sample", "start_timestamp",
+    "end_timestamp", "error_message", "amount_inserted", "name", "dataSourceId",
+    *(f"sample_request.table_reference.{part}" for part in REF_PARTS),
+    *(f"target_table.{part}" for part in REF_PARTS),
+]
+TRANSFER_PARTS = ["state", "params.source_project_id", "params.source_dataset_id"]
+TRANSFER_LEAVES = [
+    "type", "name", "dataSourceId", *TRANSFER_PARTS, *(f"payload.{part}" for part in TRANSFER_PARTS)
+]
+
+
+def _leaf(path: str) -> str:
+    return path.replace(".", "_")
+
+
+def command_nodes(commands: DataFrame, leaves: list[str]) -> DataFrame:
+    """Commands with the nodes of their document; null nodes where it is no object."""
+    nodes = F.try_variant_get(F.col("document"), "$", COMMAND_SHAPE)
+    named = with_nodes(commands, nodes, {_leaf(path): path for path in leaves})
+    return named.withColumn("__given_type", F.upper(strip(text("type")))).withColumn(
+        "__type", _command_type()
     )
 
 
-def _given_type() -> Column:
-    return F.upper(strip(node_text("type")))
+def _is_string(*paths: str) -> Column:
+    return reduce(lambda a, b: a & b, (kind(_leaf(path)) == "STRING" for path in paths))
 
 
-def command_type() -> Column:
+def _command_type() -> Column:
     """Type of a command in upper case; a transfer notification counts as TRANSFER_RUN_DONE."""
+    given = F.col("__given_type")
+    notification = (
+        _is_string("dataSourceId")
+        & node("params").isNotNull()
+        & text("name").rlike(RUN_NAME_PATTERN)
+    )
     readable = kind("type").isin(MISSING, "STRING")
-    return F.when(_given_type().isin(COMMAND_TYPES), _given_type()).when(
-        readable & _is_notification(), "TRANSFER_RUN_DONE"
+    return F.when(given.isin(COMMAND_TYPES), given).when(
+        readable & notification, "TRANSFER_RUN_DONE"
     )
 
 
-def _strings(*names: str) -> Column:
-    return reduce(lambda a, b: a & b, (kind(name) == "STRING" for name in names))
-
-
-def _table_ref(name: str) -> Column:
-    names = _strings(f"{name}_project", f"{name}_dataset", f"{name}_table")
-    return names & kind(f"{name}_location").isin(MISSING, "STRING")
+def _table_ref(path: str) -> Column:
+    names = _is_string(f"{path}.project_id", f"{path}.dataset_id", f"{path}.table_id")
+    return names & kind(_leaf(f"{path}.location")).isin(MISSING, "STRING")
 
 
 def _positive(name: str) -> Column:
-    return F.coalesce(node_number(name) > 0, F.lit(False))
+    return F.coalesce(number(name) > 0, F.lit(False))
 
 
 def _fields_valid(command: Column) -> Column:
-    sample = _table_ref("source") & (kind("sample") != MISSING) & _table_ref("target")
-    amount = (kind("amount") == MISSING) | F.coalesce(node_number("amount") >= 0, F.lit(False))
-    done = _positive("start") & _positive("end") & _strings("message") & amount
+    sample = (
+        _table_ref("sample_request.table_reference")
+        & (kind("sample_request_sample") != MISSING)
+        & _table_ref("target_table")
+    )
+    amount = F.coalesce(number("amount_inserted") >= 0, F.lit(False))
+    done = (
+        _positive("start_timestamp")
+        & _positive("end_timestamp")
+        & _is_string("error_message")
+        & ((kind("amount_inserted") == MISSING) | amount)
+    )
     # A notification without a type of its own is complete once it is recognised.
-    transfer = F.coalesce(_given_type() != command, F.lit(True)) | (
-        _strings("name") & is_object("payload")
+    transfer = ~F.col("__given_type").eqNullSafe(command) | (
+        _is_string("name") & node("payload").isNotNull()
     )
     return (
-        F.when(command == "SAMPLE_POLICY_PREFIX", _strings("prefix"))
+        F.when(command == "SAMPLE_POLICY_PREFIX", _is_string("prefix"))
         .when(command.isin("SAMPLE_START", "SAMPLE_DONE"), sample)
         .when(command == "TRANSFER_RUN_DONE", transfer)
-        .when(command == "REMOVE_DATASET", _strings("project", "dataset"))
+        .when(command == "REMOVE_DATASET", _is_string("project_id", "dataset_id"))
         .otherwise(F.lit(True))
     ) & ((command != "SAMPLE_DONE") | done)
 
 
 def route_commands(commands: DataFrame) -> DataFrame:
     """Add `type`, `error` and `route`: the type of a valid command, else the dead letters."""
-    command = F.col("type")
+    command = F.col("__type")
     error = (
         F.when(F.col("document").isNull(), "BAD_PAYLOAD")
-        .when(~is_object("root"), "NOT_AN_OBJECT")
+        .when(F.col(NODES).isNull(), "NOT_AN_OBJECT")
         .when(command.isNull(), "UNKNOWN_TYPE")
         .when(F.coalesce(F.col("timestamp") <= 0, F.lit(True)), "BAD_TIMESTAMP")
         .when(~_fields_valid(command), "BAD_FIELDS")
     )
-    nodes = with_nodes(commands, COMMAND_NODES)
-    typed = nodes.withColumn("type", command_type()).withColumn("error", error)
-    return without_nodes(
-        typed.withColumn("route", F.when(F.col("error").isNull(), command).otherwise(DEAD_LETTER))
+    checked = command_nodes(commands, COMMAND_LEAVES).withColumn("__error", error)
+    route = F.when(F.col("__error").isNull(), command).otherwise(DEAD_LETTER)
+    return sealed(
+        checked, commands.columns, {"type": command, "error": F.col("__error"), "route": route}
     )
 
 
 def transfer_notification(commands: DataFrame) -> DataFrame:
     """Finished transfers: their config, state and staging dataset, and what to do next."""
-    paths = {f"own_{name}": f"$.{path}" for name, path in TRANSFER_FIELDS.items()}
-    paths |= {f"inner_{name}": f"$.payload.{path}" for name, path in TRANSFER_FIELDS.items()}
-    typed = F.coalesce(_given_type() == "TRANSFER_RUN_DONE", F.lit(False))
+    typed = F.coalesce(F.col("__given_type") == "TRANSFER_RUN_DONE", F.lit(False))
+
+    def field(path: str) -> Column:
+        return F.when(typed, text(_leaf(f"payload.{path}"))).otherwise(text(_leaf(path)))
+
+    name = text("name")
     fields = {
-        name: F.when(typed, node_text(f"inner_{name}")).otherwise(node_text(f"own_{name}"))
-        for name in TRANSFER_FIELDS
+        "__type": F.col("__type"),
+        "config_name": F.when(typed, name).otherwise(config_of_run(name)),
+        "state": field("state"),
+        "source_project_id": field("params.source_project_id"),
+        "source_dataset_id": field("params.source_dataset_id"),
     }
-    name = node_text("name")
     succeeded = F.coalesce(F.col("state") == TRANSFER_OK_STATE, F.lit(False))
-    finished = (
-        with_nodes(commands, {**NOTICE_NODES, **paths})
-        .filter(command_type() == "TRANSFER_RUN_DONE")
-        .withColumn("config_name", F.when(typed, name).otherwise(config_of_run(name)))
-        .withColumns(fields)
-    )
     return (
-        without_nodes(finished)
+        sealed(command_nodes(commands, TRANSFER_LEAVES), commands.columns, fields)
+        .filter(F.col("__type") == "TRANSFER_RUN_DONE")
+        .drop("__type")
         .withColumn("next_command", F.when(succeeded, "REMOVE_DATASET"))
         .withColumn("error", F.when(~succeeded, "TRANSFER_NOT_SUCCEEDED"))
     )
@@ -193,17 +202,18 @@ def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str)
             # A repeated batch overwrites its own dead letters instead of adding to them.
             failed = dead_letter(routed, ["payload", "publish_time", "timestamp"])
             failed.write.mode("overwrite").json(f"{dead_letters}/batch={batch_id}")
+            source = "sample_request_table_reference"
             orders = (
-                with_nodes(routed.filter(F.col("error").isNull()), COMMAND_NODES)
+                command_nodes(routed.filter(F.col("error").isNull()), COMMAND_LEAVES)
                 .select(
                     "route",
                     "timestamp",
-                    node_text("prefix").alias("prefix"),
-                    node_text("dataset").alias("dataset_id"),
+                    text("prefix").alias("prefix"),
+                    text("dataset_id").alias("dataset_id"),
                     config_object_path(
-                        node_text("source_project"),
-                        node_text("source_dataset"),
-                        node_text("source_table"),
+                        text(f"{source}_project_id"),
+                        text(f"{source}_dataset_id"),
+                        text(f"{source}_table_id"),
                     ).alias("object_path"),
                 )
                 .distinct()
