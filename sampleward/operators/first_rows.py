@@ -17,14 +17,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampleward.functions.compliance import oversample_share
-from sampleward.operators.ordering import VARIABLE_LENGTH, Mark, OrderKey, sort_columns
-from sampleward.settings import BRACKET_ROWS, SCAN_TASK_ROWS, SINGLE_TASK_ROWS
+from sampleward.operators.ordering import (
+    UNBOUNDED_LENGTH,
+    VARIABLE_LENGTH,
+    Mark,
+    OrderKey,
+    sort_columns,
+)
+from sampleward.settings import (
+    BRACKET_ROWS,
+    SCAN_TASK_ROWS,
+    SINGLE_TASK_ROWS,
+    SINGLE_TASK_WIDE_ROWS,
+    WRITE_TASK_ROWS,
+)
 from sampleward.sources.shared import stage
 
 
-def rows_into_one_task(n: int, total: int) -> int:
-    """Rows that ORDER BY ... LIMIT n moves into its last task."""
-    return min(total, n * math.ceil(total / SCAN_TASK_ROWS))
+def scan_tasks(total: int) -> int:
+    return math.ceil(total / SCAN_TASK_ROWS)
+
+
+def fits_one_task(df: DataFrame, n: int, total: int, single_task_rows: int | None) -> bool:
+    """Whether ORDER BY ... LIMIT n moves few enough rows into its last task.
+
+    Without a bound from the caller, the bound depends on whether rows hold text or nested values.
+    """
+    if single_task_rows is None:
+        wide = any(isinstance(f.dataType, UNBOUNDED_LENGTH) for f in df.schema.fields)
+        single_task_rows = SINGLE_TASK_WIDE_ROWS if wide else SINGLE_TASK_ROWS
+    return min(total, n * scan_tasks(total)) <= single_task_rows
+
+
+def compact(df: DataFrame, rows: int, total: int) -> DataFrame:
+    """Gather the few rows that each of many scan tasks keeps, so that no tiny files are written."""
+    tasks = scan_tasks(total)
+    return df.hint("rebalance") if tasks > 1 and rows < tasks * WRITE_TASK_ROWS else df
 
 
 def first_rows(
@@ -32,7 +60,7 @@ def first_rows(
     keys: list[OrderKey],
     n: int,
     total: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
     bracket_rows: int = BRACKET_ROWS,
 ) -> DataFrame:
     """Exactly the first `n` rows by `keys`. `total` is the row count of `df`, counted if absent."""
@@ -42,15 +70,19 @@ def first_rows(
         total = df.count()
     if n >= total:
         return df
-    if rows_into_one_task(n, total) <= single_task_rows:
+    if fits_one_task(df, n, total, single_task_rows):
         return df.orderBy(*sort_columns(keys)).limit(n)
 
+    def small(rows: int) -> bool:
+        return fits_one_task(df, rows, rows, single_task_rows)
+
     taken: list[Column] = []
     rest: Column = F.lit(True)
     need, size, level, stalled = n, total, 0, 0
-    while need > 0 and size > single_task_rows and level < len(keys) and stalled < 3:
+    while need > 0 and not small(size) and level < len(keys) and stalled < 3:
         key, part = keys[level], df.filter(rest)
-        low, high = _bracket(part, key, need, size, bracket_rows, seed=stalled)
+        drawn = min(bracket_rows, max(1000, size // 20))
+        low, high = _bracket(part, key, need, size, drawn, seed=stalled)
         size_before = size
         for condition, tied, rows in _counted(part, _split(key, low, high)):
             if need >= rows:
@@ -72,7 +104,7 @@ def first_rows(
             pieces.append(any_rows(tail, need, size, single_task_rows))
         else:
             pieces.append(tail.orderBy(*sort_columns(keys[level:])).limit(need))
-    return reduce(DataFrame.unionAll, pieces)
+    return compact(reduce(DataFrame.unionAll, pieces), n, total)
 
 
 def _bracket(
@@ -125,14 +157,15 @@ def _counted(df: DataFrame, parts: list[tuple[Column, int]]) -> list[tuple[Colum
 
 
 def any_rows(
-    df: DataFrame, n: int, total: int, single_task_rows: int = SINGLE_TASK_ROWS, seed: int = 0
+    df: DataFrame, n: int, total: int, single_task_rows: int | None = None, seed: int = 0
 ) -> DataFrame:
     """`n` rows, no matter which: LIMIT n that stays spread over many tasks when n is large."""
-    if rows_into_one_task(n, total) <= single_task_rows:
+    if fits_one_task(df, n, total, single_task_rows):
         return df.limit(n)
     share = oversample_share(n, total)
     while True:
-        staged = stage(df if share >= 1.0 else df.sample(share, seed))
+        drawn = df if share >= 1.0 else df.sample(share, seed)
+        staged = stage(compact(drawn, n, total))
         rows = staged.count()
         if rows >= n or share >= 1.0:
             break

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleward.sources.catalog import column_paths, is_orderable
+from sampleward.sources.catalog import UNORDERABLE, column_paths, is_orderable
 
 VARIABLE_LENGTH = (T.StringType, T.BinaryType)
+UNBOUNDED_LENGTH = (*VARIABLE_LENGTH, *UNORDERABLE)
 
 
 @dataclass(frozen=True)

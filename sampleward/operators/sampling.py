@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sampleward.functions.compliance import block_percent_of, oversample_share
-from sampleward.operators.first_rows import any_rows, first_rows, rows_into_one_task
+from sampleward.operators.first_rows import any_rows, compact, first_rows, fits_one_task
 from sampleward.operators.ordering import OrderKey, sample_order, tie_breakers
-from sampleward.settings import SINGLE_TASK_ROWS
 from sampleward.sources.shared import stage
 
 # Fewest files in a file-level sample that still count as a random choice.
@@ -31,7 +30,7 @@ def sorted_sample(
     by: str,
     direction: str,
     total: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """First `n` rows by one column, ties broken by all other orderable columns."""
     return first_rows(df, sample_order(df, by, direction), n, total, single_task_rows)
@@ -42,7 +41,7 @@ def random_sample(
     n: int,
     seed: int,
     total: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Exactly `n` rows, each row with the same chance."""
     if n <= 0:
@@ -51,7 +50,7 @@ def random_sample(
         total = df.count()
     if n >= total:
         return df
-    if rows_into_one_task(n, total) <= single_task_rows:
+    if fits_one_task(df, n, total, single_task_rows):
         return df.orderBy(F.rand(seed)).limit(n)
     return random_sample_scaled(df, n, seed, total, single_task_rows)
 
@@ -61,7 +60,7 @@ def random_sample_scaled(
     n: int,
     seed: int,
     total: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Exactly `n` random rows for a large n: draw slightly more, keep them, cut to n.
 
@@ -75,7 +74,8 @@ def random_sample_scaled(
     share = oversample_share(n, total)
     while True:
         drawn = df.withColumn(KEY, F.rand(seed))
-        staged = stage(drawn if share >= 1.0 else drawn.filter(F.col(KEY) < share))
+        kept = drawn if share >= 1.0 else drawn.filter(F.col(KEY) < share)
+        staged = stage(compact(kept, n, total))
         rows = staged.count()
         if rows >= n or share >= 1.0:
             break
@@ -90,7 +90,7 @@ def hash_sample(
     key: list[str],
     seed: int,
     total: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """`n` rows that look random but are the same in every run: ordered by a hash of the key."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in key)))
@@ -110,7 +110,7 @@ def block_sample(
     n: int,
     seed: int,
     total: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """At most `n` rows from a random percentage of the table's files.
 

@@ -39,7 +39,7 @@ from sampleward.plans.effective import (
 from sampleward.plans.jobs import compliant_plan, errors_per_cycle, target_mapping, validate_job
 from sampleward.plans.records import dead_letter, run_log
 from sampleward.schemas import ROW_COUNT, TABLE_KEY
-from sampleward.settings import ERROR_SEPARATOR, SINGLE_TASK_ROWS, CycleConfig
+from sampleward.settings import ERROR_SEPARATOR, CycleConfig
 from sampleward.sources.catalog import (
     TableKey,
     dataset_locations,
@@ -75,7 +75,7 @@ def sample_by_spec(
     by: str | None = None,
     direction: str | None = None,
     seed: int = 42,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """The sample that a plan row asks for."""
     if n <= 0 or total == 0:
@@ -135,13 +135,17 @@ def find_tables(
     spark: SparkSession, config: CycleConfig, keys: Iterator[TableKey]
 ) -> dict[TableKey, DataFrame]:
     """The source tables that exist. Count and sample use the same DataFrame, thus the same files."""
-    tables = {}
-    for key in keys:
+
+    def find(key: TableKey) -> tuple[TableKey, DataFrame | None]:
         try:
-            tables[key] = spark.table(config.source_name(*key))
+            return key, spark.table(config.source_name(*key))
         except AnalysisException:
             LOG.warning("Source table %s is gone", ".".join(key))
-    return tables
+            return key, None
+
+    with ThreadPoolExecutor(config.parallelism) as pool:
+        found = pool.map(inheritable_thread_target(spark)(find), keys)
+        return {key: df for key, df in found if df is not None}
 
 
 def run_cycle(
@@ -160,6 +164,9 @@ def run_cycle(
     keys = (tuple(row) for row in requests.select(*TABLE_KEY).toLocalIterator())
     tables = find_tables(spark, config, keys)
     datasets = {(project, dataset): dataset for project, dataset, _ in tables}
+    for project, dataset in datasets:
+        labels = sample_labels(config.labels, project, None)
+        create_schema(spark, config.target_schema(dataset), config.target_root, labels)
     plan = stage(
         plan_jobs(
             requests,
@@ -246,7 +253,6 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row) -> int:
     )
     schema, table = config.target_schema(row.dataset_id), row.table_id.lower()
     labels = sample_labels(config.labels, row.project_id, row.location)
-    create_schema(spark, schema, config.target_root, {**sample_labels({}, row.project_id, None)})
     source_root = config.location_roots.get(row.location or "")
     if row.crosses_location and source_root:
         staging = staging_schema_name(

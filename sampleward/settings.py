@@ -32,9 +32,12 @@ LOCATION_PROPERTY = "data_location"
 # Fixed values of the fallback policy: one row, picked at random.
 FALLBACK_COUNT = 1
 
-# Most rows that one task may gather, and the rows expected in one scan task.
-SINGLE_TASK_ROWS = 1_000_000
+# Most rows that one task may gather: rows of fixed length, and rows with text or nested values.
+SINGLE_TASK_ROWS = 200_000
+SINGLE_TASK_WIDE_ROWS = 20_000
+# Rows expected in one scan task, and the fewest rows worth a task of their own when writing.
 SCAN_TASK_ROWS = 500_000
+WRITE_TASK_ROWS = 10_000
 # Values of a sort column looked at to bracket a threshold.
 BRACKET_ROWS = 100_000
 
@@ -60,7 +63,7 @@ class CycleConfig:
     parallelism: int = 8
     attempts: int = 3
     retry_wait: tuple[float, float] = (4.0, 10.0)
-    single_task_rows: int = SINGLE_TASK_ROWS
+    single_task_rows: int | None = None
 
     def target_schema(self, dataset: str) -> str:
         return f"{self.target_schema_prefix}{dataset}".lower()

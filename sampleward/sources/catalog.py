@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,8 @@ from sampleward.settings import LOCATION_PROPERTY
 
 TableKey = tuple[str, str, str]
 
+# Catalog calls made at the same time.
+METADATA_CALLS = 8
 UNORDERABLE = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
 
 
@@ -96,12 +100,18 @@ def list_tables(
     spark: SparkSession, project: str, schema_prefix: str = "", condition: Column | None = None
 ) -> DataFrame:
     """Permanent tables of the schemas with a prefix, each with its labels."""
-    rows = [
-        (project, schema, table.name, table_labels(spark, schema, table.name))
+    names = [
+        (schema, table.name)
         for schema in list_schemas(spark, schema_prefix)
         for table in spark.catalog.listTables(schema)
         if not table.isTemporary
     ]
+
+    def describe(name: tuple[str, str]) -> tuple:
+        return project, *name, table_labels(spark, *name)
+
+    with ThreadPoolExecutor(METADATA_CALLS) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(describe), names))
     found = spark.createDataFrame(rows, CATALOG_TABLE)
     return found if condition is None else found.filter(condition)
 

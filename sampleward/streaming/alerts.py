@@ -39,14 +39,9 @@ def missed_cycle_alert(
     The calendar is exploded from the bounds beside each distinct key; nothing is cross joined.
     """
     days = runs.select(*by, F.to_date(ts).alias("day")).distinct()
-    bounds = runs.agg(
-        F.struct(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi"))
-    ).scalar()
+    bounds = days.agg(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi"))).scalar()
     low = bounds["lo"] if first_day is None else first_day
     high = bounds["hi"] if last_day is None else last_day
-    calendar = (
-        runs.select(*by)
-        .distinct()
-        .withColumn("day", F.explode(F.sequence(low, high)))
-    )
+    keys = days.select(*by).distinct()
+    calendar = keys.withColumn("day", F.explode(F.sequence(low, high)))
     return calendar.join(days, [*by, "day"], "left_anti")

@@ -16,11 +16,12 @@ SF = "/root/testdata/sf0.001"
 def spark():
     scratch = tempfile.mkdtemp(prefix="sampleward-tests-")
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("sampleward-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", scratch + "/shared")
         .config("spark.sql.warehouse.dir", scratch + "/warehouse")
