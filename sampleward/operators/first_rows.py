@@ -62,8 +62,12 @@ def first_rows(
     total: int | None = None,
     single_task_rows: int | None = None,
     bracket_rows: int = BRACKET_ROWS,
+    bracket: tuple[Mark, Mark] | None = None,
 ) -> DataFrame:
-    """Exactly the first `n` rows by `keys`. `total` is the row count of `df`, counted if absent."""
+    """Exactly the first `n` rows by `keys`. `total` is the row count of `df`, counted if absent.
+
+    `bracket` may give the first two marks, where the distribution of the first key is known.
+    """
     if n <= 0:
         return df.limit(0)
     if total is None:
@@ -82,7 +86,8 @@ def first_rows(
     while need > 0 and not small(size) and level < len(keys) and stalled < 3:
         key, part = keys[level], df.filter(rest)
         drawn = min(bracket_rows, max(1000, size // 20))
-        low, high = _bracket(part, key, need, size, drawn, seed=stalled)
+        low, high = bracket or _bracket(part, key, need, size, drawn, seed=stalled)
+        bracket = None
         size_before = size
         for condition, tied, rows in _counted(part, _split(key, low, high)):
             if need >= rows:

@@ -5,13 +5,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sampleward.functions.compliance import block_percent_of, oversample_share
 from sampleward.operators.first_rows import any_rows, compact, first_rows, fits_one_task
-from sampleward.operators.ordering import OrderKey, sample_order, tie_breakers
+from sampleward.operators.ordering import Mark, OrderKey, sample_order, tie_breakers
 from sampleward.sources.shared import stage
 
 # Fewest files in a file-level sample that still count as a random choice.
@@ -81,7 +83,12 @@ def random_sample_scaled(
             break
         share = min(1.0, 4.0 * share)
     keys = [OrderKey(F.col(KEY), T.DoubleType())]
-    return first_rows(staged, keys, n, rows, single_task_rows).drop(KEY)
+    # The kept numbers are uniform, so the n-th smallest lies near its share of their range.
+    center = share * n / rows
+    spread = 6.0 * share * math.sqrt(n * (rows - n)) / rows**1.5
+    bracket = Mark("value", repr(center - spread)), Mark("value", repr(center + spread))
+    cut = first_rows(staged, keys, n, rows, single_task_rows, bracket=bracket)
+    return cut.drop(KEY)
 
 
 def hash_sample(

@@ -38,7 +38,7 @@ from sampleward.plans.effective import (
 )
 from sampleward.plans.jobs import compliant_plan, errors_per_cycle, target_mapping, validate_job
 from sampleward.plans.records import dead_letter, run_log
-from sampleward.schemas import ROW_COUNT, TABLE_KEY
+from sampleward.schemas import OUTCOME, ROW_COUNT, TABLE_KEY
 from sampleward.settings import ERROR_SEPARATOR, CycleConfig
 from sampleward.sources.catalog import (
     TableKey,
@@ -49,7 +49,7 @@ from sampleward.sources.catalog import (
     source_schema,
 )
 from sampleward.sources.config_objects import object_present, scan_config_objects
-from sampleward.sources.shared import stage
+from sampleward.sources.shared import small_table, stage
 
 LOG = logging.getLogger(__name__)
 
@@ -99,16 +99,16 @@ def count_tables(
         chunks = batched(tables.items(), TABLES_PER_COUNT)
         counted = pool.map(inheritable_thread_target(spark)(count), chunks)
         rows = [row for chunk in counted for row in chunk]
-    return spark.createDataFrame(rows, ROW_COUNT)
+    return small_table(spark, rows, ROW_COUNT)
 
 
 def resolve_requests(spark: SparkSession, config: CycleConfig, prefix: str = "") -> DataFrame:
     """Effective limit, size and spec of every table that has a policy."""
-    policies = table_policies(scan_config_objects(spark, config.policy_root, prefix))
-    default = default_policy(
-        scan_config_objects(spark, config.policy_root, config.default_policy_path),
-        config.default_policy_path,
-    )
+    objects = scan_config_objects(spark, config.policy_root, prefix)
+    policies = table_policies(objects)
+    if prefix:
+        objects = scan_config_objects(spark, config.policy_root, config.default_policy_path)
+    default = default_policy(objects, config.default_policy_path)
     requests = table_requests(scan_config_objects(spark, config.request_root, prefix))
     return effective_request(effective_policy(policies, default), requests)
 
@@ -197,9 +197,7 @@ def run_cycle(
         jobs = plan.filter(F.col("error_code").isNull()).toLocalIterator()
         outcomes = list(pool.map(inheritable_thread_target(spark)(run), jobs))
 
-    outcome = spark.createDataFrame(
-        outcomes, "source_table string, row_count bigint, started bigint, ended bigint, failure string"
-    )
+    outcome = small_table(spark, outcomes, OUTCOME)
     finished = plan.join(outcome.drop("row_count"), "source_table", "left").withColumn(
         "error_code", F.coalesce("error_code", "failure")
     )

@@ -50,6 +50,15 @@ CATALOG_TABLE = T.StructType(
     [T.StructField(name, T.StringType()) for name in TABLE_KEY]
     + [T.StructField("labels", T.MapType(T.StringType(), T.StringType()))]
 )
+OUTCOME = T.StructType(
+    [
+        T.StructField("source_table", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("started", T.LongType()),
+        T.StructField("ended", T.LongType()),
+        T.StructField("failure", T.StringType()),
+    ]
+)
 RUN_LOG = T.StructType(
     [
         T.StructField("cycle_ts", T.LongType()),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from sampleward.schemas import CATALOG_TABLE, LOCATION, ROW_COUNT, SOURCE_COLUMN
 from sampleward.settings import LOCATION_PROPERTY
+from sampleward.sources.shared import small_table
 
 TableKey = tuple[str, str, str]
 
@@ -46,7 +47,7 @@ def source_schema(spark: SparkSession, tables: Mapping[TableKey, DataFrame]) ->
         for key, df in tables.items()
         for ordinal, (name, data_type) in enumerate(column_paths(df.schema), 1)
     ]
-    return spark.createDataFrame(rows, SOURCE_COLUMN)
+    return small_table(spark, rows, SOURCE_COLUMN)
 
 
 def row_count(spark: SparkSession, tables: Mapping[TableKey, DataFrame]) -> DataFrame:
@@ -59,7 +60,7 @@ def row_count(spark: SparkSession, tables: Mapping[TableKey, DataFrame]) -> Data
         for key, df in tables.items()
     ]
     if not counts:
-        return spark.createDataFrame([], ROW_COUNT)
+        return small_table(spark, [], ROW_COUNT)
     return reduce(DataFrame.unionAll, counts)
 
 
@@ -108,11 +109,11 @@ def list_tables(
     ]
 
     def describe(name: tuple[str, str]) -> tuple:
-        return project, *name, table_labels(spark, *name)
+        return project, *name, list(table_labels(spark, *name).items())
 
     with ThreadPoolExecutor(METADATA_CALLS) as pool:
         rows = list(pool.map(inheritable_thread_target(spark)(describe), names))
-    found = spark.createDataFrame(rows, CATALOG_TABLE)
+    found = small_table(spark, rows, CATALOG_TABLE)
     return found if condition is None else found.filter(condition)
 
 
@@ -122,4 +123,4 @@ def dataset_locations(spark: SparkSession, datasets: Mapping[tuple[str, str], st
         (*key, schema_properties(spark, schema).get(LOCATION_PROPERTY))
         for key, schema in datasets.items()
     ]
-    return spark.createDataFrame(rows, LOCATION)
+    return small_table(spark, rows, LOCATION)

@@ -1,12 +1,16 @@
-"""The folder that all executors share, for staged data that must survive a lost executor."""
+"""Staged data in the folder that all executors share, and small tables made on the driver."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 @cache
@@ -29,3 +33,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:
+    """Rows made on the driver, such as one per governed table.
+
+    They come in as Arrow, so Spark knows their size and decides by it whether to broadcast them.
+    """
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
