@@ -10,6 +10,7 @@ Rows before the boundary are taken by a filter alone, so they are neither shuffl
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -80,30 +81,44 @@ def first_rows(
     def small(rows: int) -> bool:
         return fits_one_task(df, rows, rows, single_task_rows)
 
+    # Of the current column, rows up to `low` are taken and rows from `high` on are not.
     taken: list[Column] = []
-    rest: Column = F.lit(True)
+    ties: Column = F.lit(True)
+    low = high = None
     need, size, level, stalled = n, total, 0, 0
     while need > 0 and not small(size) and level < len(keys) and stalled < 3:
-        key, part = keys[level], df.filter(rest)
+        key = keys[level]
+        rest = df.filter(ties & _inside(key, low, high))
         drawn = min(bracket_rows, max(1000, size // 20))
-        low, high = bracket or _bracket(part, key, need, size, drawn, seed=stalled)
+        marks = bracket or _bracket(rest, key, need, size, drawn, seed=stalled)
         bracket = None
         size_before = size
-        for condition, tied, rows in _counted(part, _split(key, low, high)):
-            if need >= rows:
-                taken.append(rest & condition)
+        for part, rows in _counted(rest, key, _split(low, high, *marks)):
+            if need > rows:
                 need -= rows
                 continue
-            rest, size, level = rest & condition, rows, level + tied
-            # A bracket that leaves nearly everything inside is drawn again, a few times at most.
-            stalled = 0 if tied or size < 0.9 * size_before else stalled + 1
+            size = rows
+            if need == rows:
+                taken.append(ties & part.end(key))
+                need, low = 0, None
+            elif part.tie is None:
+                low, high = part.low, part.high
+                # A bracket that leaves nearly everything inside is drawn again, but not for ever.
+                stalled = 0 if size < 0.9 * size_before else stalled + 1
+            else:
+                taken.append(ties & key.before(part.tie))
+                ties, low, high = ties & key.same(part.tie), None, None
+                level, stalled = level + 1, 0
             break
         else:
-            need = 0
+            # Fewer rows than `total` said: all of them are taken.
+            return df
 
+    if low is not None:
+        taken.append(ties & key.until(low))
     pieces = [df.filter(reduce(or_, taken))] if taken else []
     if need > 0:
-        tail = df.filter(rest)
+        tail = df.filter(ties if level == len(keys) else ties & _inside(keys[level], low, high))
         if level == len(keys):
             # What is left agrees in every sort column, so any of it will do.
             pieces.append(any_rows(tail, need, size, single_task_rows))
@@ -137,28 +152,45 @@ def _bracket(
     return marks.get(low_rank), marks.get(high_rank)
 
 
-def _split(key: OrderKey, low: Mark | None, high: Mark | None) -> list[tuple[Column, int]]:
-    """Conditions that part the rows at the marks, in sort order; 1 where all share one value."""
+@dataclass(frozen=True)
+class Part:
+    """Rows strictly between two marks, or rows that share one."""
+
+    low: Mark | None = None
+    high: Mark | None = None
+    tie: Mark | None = None
+
+    def condition(self, key: OrderKey) -> Column:
+        return key.same(self.tie) if self.tie else _inside(key, self.low, self.high)
+
+    def end(self, key: OrderKey) -> Column:
+        """All rows up to the end of this part."""
+        return key.until(self.tie) if self.tie else _inside(key, None, self.high)
+
+
+def _inside(key: OrderKey, low: Mark | None, high: Mark | None) -> Column:
+    inside = F.lit(True)
+    if low is not None:
+        inside = inside & key.after(low)
+    if high is not None:
+        inside = inside & key.before(high)
+    return inside
+
+
+def _split(low: Mark | None, high: Mark | None, *marks: Mark | None) -> list[Part]:
+    """Parts of the rows between `low` and `high`, cut at the marks, in sort order."""
     parts = []
-    inside = []
-    if low:
-        parts += [(key.before(low), 0), (key.same(low), 1)]
-        inside.append(key.after(low))
-    if low and low == high:
-        return [*parts, (inside[0], 0)]
-    if high:
-        inside.append(key.before(high))
-    parts.append((reduce(lambda a, b: a & b, inside, F.lit(True)), 0))
-    if high:
-        parts += [(key.same(high), 1), (key.after(high), 0)]
-    return parts
-
-
-def _counted(df: DataFrame, parts: list[tuple[Column, int]]) -> list[tuple[Column, int, int]]:
+    for mark in dict.fromkeys(mark for mark in marks if mark is not None):
+        parts += [Part(low, mark), Part(tie=mark)]
+        low = mark
+    return [*parts, Part(low, high)]
+
+
+def _counted(df: DataFrame, key: OrderKey, parts: list[Part]) -> list[tuple[Part, int]]:
     counts = df.agg(
-        *(F.count(F.when(part, 1)).alias(f"c{i}") for i, (part, _) in enumerate(parts))
+        *(F.count(F.when(part.condition(key), 1)).alias(f"c{i}") for i, part in enumerate(parts))
     ).first()
-    return [(part, tied, counts[i]) for i, (part, tied) in enumerate(parts)]
+    return list(zip(parts, counts))
 
 
 def any_rows(

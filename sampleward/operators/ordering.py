@@ -69,27 +69,34 @@ class OrderKey:
             return F.isnan(self.column)
         return self.column == self.literal(mark)
 
-    def _below(self, mark: Mark) -> Column:
+    def _below(self, mark: Mark, inclusive: bool = False) -> Column:
         if mark.kind == "null":
-            return F.lit(False)
+            return self.column.isNull() if inclusive else F.lit(False)
         below = self.column.isNull()
+        if self.floating and (mark.kind == "value" or inclusive):
+            below = below | F.isnan(self.column)
         if mark.kind == "nan":
             return below
-        if self.floating:
-            below = below | F.isnan(self.column)
-        return below | (self.column < self.literal(mark))
+        value = self.literal(mark)
+        return below | (self.column <= value if inclusive else self.column < value)
 
-    def _above(self, mark: Mark) -> Column:
+    def _above(self, mark: Mark, inclusive: bool = False) -> Column:
         if mark.kind == "null":
-            return self.column.isNotNull()
+            return F.lit(True) if inclusive else self.column.isNotNull()
         if mark.kind == "nan":
-            return self.column.isNotNull() & ~F.isnan(self.column)
-        above = self.column > self.literal(mark)
+            given = self.column.isNotNull()
+            return given if inclusive else given & ~F.isnan(self.column)
+        value = self.literal(mark)
+        above = self.column >= value if inclusive else self.column > value
         return above & ~F.isnan(self.column) if self.floating else above
 
     def before(self, mark: Mark) -> Column:
         return self._below(mark) if self.ascending else self._above(mark)
 
+    def until(self, mark: Mark) -> Column:
+        """Before the mark or at it."""
+        return self._below(mark, True) if self.ascending else self._above(mark, True)
+
     def after(self, mark: Mark) -> Column:
         return self._above(mark) if self.ascending else self._below(mark)
 

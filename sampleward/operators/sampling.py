@@ -82,6 +82,8 @@ def random_sample_scaled(
         if rows >= n or share >= 1.0:
             break
         share = min(1.0, 4.0 * share)
+    if rows <= n:
+        return staged.drop(KEY)
     keys = [OrderKey(F.col(KEY), T.DoubleType())]
     # The kept numbers are uniform, so the n-th smallest lies near its share of their range.
     center = share * n / rows

@@ -17,7 +17,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from sampleward.operators.sampling import random_sample, sorted_sample, zero_sample
+from sampleward.operators.sampling import (
+    block_sample,
+    random_sample,
+    sorted_sample,
+    zero_sample,
+)
 from sampleward.operators.tables import (
     create_schema,
     cross_location_copy,
@@ -76,12 +81,17 @@ def sample_by_spec(
     direction: str | None = None,
     seed: int = 42,
     single_task_rows: int | None = None,
+    by_block: bool = False,
 ) -> DataFrame:
-    """The sample that a plan row asks for."""
+    """The sample that a plan row asks for.
+
+    With `by_block`, a random sample reads only part of the files and may give fewer rows.
+    """
     if n <= 0 or total == 0:
         return zero_sample(df)
     if sample_type == "random":
-        return random_sample(df, n, seed, total, single_task_rows)
+        sample = block_sample if by_block else random_sample
+        return sample(df, n, seed, total, single_task_rows)
     if sample_type == "sorted":
         return sorted_sample(df, n, by, direction, total, single_task_rows)
     raise ValueError(f"Cannot sample by type <{sample_type}>")
@@ -248,6 +258,7 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row) -> int:
         row.direction,
         config.seed,
         config.single_task_rows,
+        config.random_by_block,
     )
     schema, table = config.target_schema(row.dataset_id), row.table_id.lower()
     labels = sample_labels(config.labels, row.project_id, row.location)

@@ -59,6 +59,7 @@ class CycleConfig:
     staging_prefix: str = "sampleward_staging_"
     log_schema: str = "sampleward_log"
     labels: Mapping[str, str] = field(default_factory=dict)
+    random_by_block: bool = False
     seed: int = 42
     parallelism: int = 8
     attempts: int = 3

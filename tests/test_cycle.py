@@ -276,6 +276,7 @@ def test_sample_by_spec_and_drop_column(table):
     orders = table("orders")
     assert sample_by_spec(orders, "random", 7, 1500).count() == 7
     assert sample_by_spec(orders, "random", 7, 0).count() == 0
+    assert 0 < sample_by_spec(orders, "random", 700, 1500, by_block=True).count() <= 700
     with pytest.raises(ValueError):
         sample_by_spec(orders, "other", 7, 1500)
     assert "o_custkey" not in drop_column(orders, "O_CUSTKEY").columns

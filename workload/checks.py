@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sampleward.settings import RUN_NAME_PATTERN
 from workload import inputs
 from workload.runs import (
     ERRORS_PER_ROW,
@@ -218,7 +219,6 @@ MESSAGES = f"""
         TRY_CAST(body AS JSON) AS j
     FROM (SELECT event_id, ts, {inputs.MESSAGE_TEXT} AS body FROM events)"""
 
-RUN_NAME = r"^(projects/[^/\s]+/locations/[^/\s]+/transferConfigs/[^/\s]+)/runs/\S+$"
 KNOWN = (
     "'START', 'SAMPLE_POLICY_PREFIX', 'SAMPLE_START', 'SAMPLE_DONE', 'TRANSFER_RUN_DONE', "
     "'REMOVE_DATASET'"
@@ -226,7 +226,7 @@ KNOWN = (
 _GIVEN = f"upper(trim({_text('$.type')}))"
 _NOTICE = (
     f"({_type('$.dataSourceId')} = 'VARCHAR' AND {_type('$.params')} = 'OBJECT' "
-    f"AND {_type('$.name')} = 'VARCHAR' AND regexp_matches({_text('$.name')}, '{RUN_NAME}'))"
+    f"AND {_type('$.name')} = 'VARCHAR' AND regexp_matches({_text('$.name')}, '{RUN_NAME_PATTERN}'))"
 )
 
 
@@ -284,7 +284,7 @@ TRANSFERS = f"""
         CASE WHEN state = 'SUCCEEDED' THEN NULL ELSE 'TRANSFER_NOT_SUCCEEDED' END AS error
     FROM (SELECT event_id,
             CASE WHEN {_GIVEN} = 'TRANSFER_RUN_DONE' THEN {_text('$.name')}
-                ELSE regexp_extract({_text('$.name')}, '{RUN_NAME}', 1) END AS config_name,
+                ELSE regexp_extract({_text('$.name')}, '{RUN_NAME_PATTERN}', 1) END AS config_name,
             {_transfer_field('state')} AS state,
             {_transfer_field('params.source_project_id')} AS source_project_id,
             {_transfer_field('params.source_dataset_id')} AS source_dataset_id
