@@ -9,7 +9,6 @@ from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from itertools import batched
 from threading import Lock
 
 from pyspark import inheritable_thread_target
@@ -102,11 +101,12 @@ def count_tables(
 ) -> DataFrame:
     """Row counts of all tables, a bounded number of tables per job; one small row per table."""
 
-    def count(chunk: tuple[tuple[TableKey, DataFrame], ...]) -> list[Row]:
+    def count(chunk: list[tuple[TableKey, DataFrame]]) -> list[Row]:
         return row_count(spark, dict(chunk)).collect()
 
+    items = list(tables.items())
+    chunks = [items[i : i + TABLES_PER_COUNT] for i in range(0, len(items), TABLES_PER_COUNT)]
     with ThreadPoolExecutor(parallelism) as pool:
-        chunks = batched(tables.items(), TABLES_PER_COUNT)
         counted = pool.map(inheritable_thread_target(spark)(count), chunks)
         rows = [row for chunk in counted for row in chunk]
     return small_table(spark, rows, ROW_COUNT)

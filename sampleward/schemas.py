@@ -1,26 +1,7 @@
-"""Column layouts shared by the plan, the run log and the error log."""
+"""Column layouts of the small tables that a cycle works with."""
 
 from pyspark.sql import types as T
 
-SIZE = T.StructType(
-    [T.StructField("count", T.LongType()), T.StructField("percentage", T.DoubleType())]
-)
-SORT_PROPERTIES = T.StructType(
-    [T.StructField("by", T.StringType()), T.StructField("direction", T.StringType())]
-)
-SPEC = T.StructType(
-    [T.StructField("type", T.StringType()), T.StructField("properties", SORT_PROPERTIES)]
-)
-SAMPLE = T.StructType([T.StructField("size", SIZE), T.StructField("spec", SPEC)])
-TABLE_REF = T.StructType(
-    [
-        T.StructField("project_id", T.StringType()),
-        T.StructField("dataset_id", T.StringType()),
-        T.StructField("table_id", T.StringType()),
-        T.StructField("location", T.StringType()),
-    ]
-)
-
 TABLE_KEY = ["project_id", "dataset_id", "table_id"]
 
 CONFIG_OBJECT = T.StructType(
@@ -59,16 +40,3 @@ OUTCOME = T.StructType(
         T.StructField("failure", T.StringType()),
     ]
 )
-RUN_LOG = T.StructType(
-    [
-        T.StructField("cycle_ts", T.LongType()),
-        T.StructField("source_table", T.StringType()),
-        T.StructField("target_table", T.StringType()),
-        T.StructField("sample_type", T.StringType()),
-        T.StructField("requested", T.LongType()),
-        T.StructField("start_timestamp", T.LongType()),
-        T.StructField("end_timestamp", T.LongType()),
-        T.StructField("error_message", T.StringType()),
-        T.StructField("amount_inserted", T.LongType()),
-    ]
-)

@@ -568,7 +568,7 @@ def governed_cycle(spark: SparkSession, sf: str) -> tuple[CycleConfig, str, Data
         target_schema_prefix=f"sample{run}_",
         staging_prefix=f"staging{run}_",
         log_schema=f"log{run}",
-        parallelism=4,
+        parallelism=8,
     )
     return config, dataset, run_cycle(spark, config, LOG_TS).log
 
