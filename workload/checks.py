@@ -406,7 +406,7 @@ SQL = {
     "resolve_location": LOCATED,
     "scan_source": "SELECT * FROM lineitem",
     "source_schema": f"""
-        SELECT table_name AS table_id, column_name, CAST(ordinal_position AS INTEGER) AS ordinal,
+        SELECT DISTINCT table_name AS table_id, column_name, CAST(ordinal_position AS INTEGER) AS ordinal,
             CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
                 WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
                 WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
