@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pyarrow.fs as pafs
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -544,8 +546,12 @@ def governed_cycle(spark: SparkSession, sf: str) -> tuple[CycleConfig, str, Data
     dataset = f"source_{run}"
     root = new_folder(spark, "cycle")
     tables.create_schema(spark, dataset, f"{root}/source", {"data_location": "EU"})
-    for name in inputs.TABLES:
+
+    def create_view(name: str) -> None:
         spark.sql(f"CREATE VIEW {dataset}.{name} AS SELECT * FROM parquet.`{sf}/{name}.parquet`")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(inheritable_thread_target(spark)(create_view), inputs.TABLES))
     _write_object(f"{root}/policies", "default_policy.json", {"limit": {"count": 1}})
     for name, (limit, size, by, direction, asked) in GOVERNED.items():
         spec = {"type": "sorted", "properties": {"by": by, "direction": direction}}
