@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sampleward.llm import binary_output, byte_bpe, packing, token_counts
+from sampleward.llm import binary_output, byte_bpe, packing, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +43,8 @@ def op6_binary_output(spark, sf):
 @query
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(read(spark, sf, "documents"), BYTE_BPE)
+
+
+@query
+def op9_simhash(spark, sf):
+    return simhash.near_duplicates(read(spark, sf, "documents"))
