@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sampleward.llm import binary_output, byte_bpe, packing, simhash, token_counts
+from sampleward.llm import (
+    binary_output,
+    byte_bpe,
+    packing,
+    secret_scan,
+    sharding,
+    simhash,
+    sketches,
+    token_counts,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +58,23 @@ def op10_token_counts(spark, sf):
 @query
 def op9_simhash(spark, sf):
     return simhash.near_duplicates(read(spark, sf, "documents"))
+
+
+@query
+def op3_secret_scan(spark, sf):
+    return secret_scan.spans_digest(secret_scan.scan(read(spark, sf, "documents")))
+
+
+@query
+def op4_sharding(spark, sf):
+    return sharding.shard(read(spark, sf, "documents"))
+
+
+@query
+def op7_fingerprints(spark, sf):
+    return sketches.fingerprints_digest(sketches.edited_fingerprints(read(spark, sf, "documents")))
+
+
+@query
+def op8_top_k(spark, sf):
+    return topk.top_k(read(spark, sf, "embeddings"))
