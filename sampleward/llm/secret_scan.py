@@ -47,7 +47,8 @@ TERM = re.compile(
     r"|([A-Za-z_$][\w$.]*)(?![\w(\[]))",
     re.ASCII,
 )
-BARE = re.compile(r"[ \t]*([^\s\"'`,;#(){}\[\]<>]+)[ \t]*(?:[#;,].*)?$", re.MULTILINE)
+BARE = re.compile(r"[ \t]*([^\s\"'`,;(){}\[\]<>]+)(?:[ \t]+[#;].*|[;,])?[ \t]*$", re.MULTILINE)
+NAME = re.compile(r"[A-Za-z_$][\w$.]*", re.ASCII)
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 # How far before an operator a name may begin, and how many terms a value may have.
 REACH, TERMS = 160, 64
@@ -113,10 +114,10 @@ def literal_score(text: str) -> float:
     return min(1.0, score) * (0.5 if " " in text else 1.0) * (entropy > 1.5)
 
 
-def value_after(text: str, at: int, spaced: bool) -> tuple[list[Literal], list[str]]:
+def value_after(text: str, at: int) -> tuple[list[Literal], list[str]]:
     """Literals and names of the value that begins at a place."""
     literals, names = [], []
-    bare = BARE.match(text, at) if spaced else None
+    bare = BARE.match(text, at)
     for _ in range(TERMS):
         if not (m := TERM.match(text, at)):
             break
@@ -127,7 +128,9 @@ def value_after(text: str, at: int, spaced: bool) -> tuple[list[Literal], list[s
         else:
             literals.append(Literal(m[group], *m.span(group)))
     if not literals and bare:  # an unquoted value that ends its line, as configuration files have
-        literals.append(Literal(bare[1], *bare.span(1)))
+        name_like = NAME.fullmatch(bare[1]) and not any(map(str.isdigit, bare[1]))
+        if not name_like:
+            literals.append(Literal(bare[1], *bare.span(1)))
     return literals, names
 
 
@@ -139,7 +142,7 @@ def assigned_literals(text: str, threshold: float) -> list[Literal]:
         begin = max(0, m.start() - REACH)
         if not (name := NAME_BEFORE.search(text, begin, m.start())):
             continue
-        literals, names = value_after(text, m.end(), True)
+        literals, names = value_after(text, m.end())
         if not literals and not names:
             continue
         score = name_score(name[2])

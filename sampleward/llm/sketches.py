@@ -1,6 +1,6 @@
 """Document fingerprints by threshold-scaled sketches, with DataFrame functions alone.
 
-A sketch holds every distinct shingle hash below a fixed fraction of the hash range, so its size follows
+A sketch holds every distinct 32-bit shingle hash below a fixed fraction of the hash range, so its size follows
 the document's, sketches of parts merge by union, and the containment of a short text in a long one can
 be estimated. The least hash is always kept too, so that only a text without words has an empty sketch.
 A shingle is five words in lower case, or all words where there are fewer; words stand between spaces
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sampleward.llm.batches import texts
 from sampleward.sources.shared import stage
 
-LEAST = -(1 << 63)
+LEAST = -(1 << 31)
 
 
 def word_hashes(text: Column) -> Column:
@@ -27,25 +27,26 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def with_sketch(df: DataFrame, text: str, name: str, words: int = 5, fraction: float = 1 / 8) -> DataFrame:
-    """df with an array of hashes, sorted as signed numbers, for a text column."""
+def with_sketch(df: DataFrame, text: str, name: str, words: int = 5, fraction: float = 1 / 4) -> DataFrame:
+    """df with an array of hashes, ascending, for a text column."""
     hashed = df.withColumn("__words", word_hashes(F.col(text)))
     n, at = F.size("__words"), lambda i: F.get(F.col("__words"), i)
+
+    def short(hash_: Column) -> Column:
+        return F.shiftright(hash_, 32).cast("int")
+
     shingles = F.when(
         n >= words,
         F.transform(
             F.sequence(F.lit(0), F.greatest(n - words, F.lit(0))),
-            lambda i: F.xxhash64(*(at(i + k) for k in range(words))),
+            lambda i: short(F.xxhash64(*(at(i + k) for k in range(words)))),
         ),
-    ).when(n > 0, F.array(F.xxhash64(F.col("__words"))))
-    below = LEAST + int(fraction * (1 << 64))
-    # Hashes are compared as unsigned numbers: with the sign bit turned, in signed order.
-    hashed = hashed.withColumn(
-        "__hashes", F.transform(shingles, lambda h: h.bitwiseXOR(F.lit(LEAST)))
-    )
+    ).when(n > 0, F.array(short(F.xxhash64(F.col("__words")))))
+    hashed = hashed.withColumn("__hashes", shingles)
+    below = LEAST + int(fraction * (1 << 32))
     kept = F.filter("__hashes", lambda h: h < below)
     least = F.array(F.array_min("__hashes"))
-    kept = F.when(F.col("__hashes").isNull(), F.array().cast("array<long>")).otherwise(
+    kept = F.when(F.col("__hashes").isNull(), F.array().cast("array<int>")).otherwise(
         F.array_sort(F.array_distinct(F.concat(kept, least)))
     )
     return hashed.withColumn(name, kept).drop("__words", "__hashes")
@@ -69,8 +70,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprint(sketch: Column) -> Column:
-    """The sketch as text: 16 hexadecimal digits per hash."""
-    return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+    """The sketch as text: 8 hexadecimal digits per hash, counted from the least possible one."""
+    digits = F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h.cast("long") - LEAST), 8, "0")))
+    return F.array_join(digits, "")
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -98,7 +100,7 @@ def successors(docs: DataFrame) -> DataFrame:
     return linked.select("doc_id", "n_chars", "copies", next_id.alias("next_id"))
 
 
-def edited_fingerprints(docs: DataFrame, words: int = 5, fraction: float = 1 / 8) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, words: int = 5, fraction: float = 1 / 4) -> DataFrame:
     """Sketches of each text and of its edit, in which the next document replaces the last quarter.
 
     Columns: doc_id, n_chars, edited, sketch, edited_sketch, next_sketch. Of a doc_id that several rows
