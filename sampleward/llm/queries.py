@@ -11,6 +11,7 @@ from sampleward.llm import (
     binary_output,
     byte_bpe,
     packing,
+    quality,
     secret_scan,
     sharding,
     simhash,
@@ -78,3 +79,9 @@ def op7_fingerprints(spark, sf):
 @query
 def op8_top_k(spark, sf):
     return topk.top_k(read(spark, sf, "embeddings"))
+
+
+@query
+def op5_quality(spark, sf):
+    docs = read(spark, sf, "documents")
+    return quality.grade(docs, quality.train(docs, read(spark, sf, "labels")))

@@ -218,3 +218,75 @@ def near_duplicates(
     return prints.join(classes, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# Similar texts: lanes of a signature, and shard keys that are made of two least hashes each.
+LANES, KEYS = 128, 6
+NO_HASH = (1 << 32) - 1
+FACTORS = np.array([2 * xxhash.xxh64_intdigest(str(i), 1) % 2**64 + 1 for i in range(2 * KEYS)], dtype=np.uint64)
+
+
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """Per lane, to which the low bits deal the hashes, the least of their high bits."""
+    lanes = np.full(LANES, NO_HASH, dtype=np.uint32)
+    np.minimum.at(lanes, (hashes % np.uint64(LANES)).astype(np.int64), (hashes >> np.uint64(32)).astype(np.uint32))
+    return lanes
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """The Jaccard similarity of two texts' shingles, estimated by their signatures; 1 without any."""
+    a, b = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
+    used = (a != NO_HASH) | (b != NO_HASH)
+    return float((a == b)[used].mean()) if used.any() else 1.0
+
+
+def shard_keys(hashes: np.ndarray) -> list[int]:
+    """Keys that texts of similarity s share with probability 1 - (1 - s * s) ** KEYS."""
+    if not len(hashes):
+        return [0]
+    least = [(hashes * factor).min() for factor in FACTORS]
+    pairs = zip(range(KEYS), least[0::2], least[1::2])
+    return [
+        int.from_bytes(xxhash.xxh64_digest(bytes([k]) + a.tobytes() + b.tobytes()), "big", signed=True)
+        for k, a, b in pairs
+    ]
+
+
+def distinct_documents(
+    docs: DataFrame, words: int = 5, least: float = 0.8, radius: int = 16, tree_size: int = 1024
+) -> DataFrame:
+    """One document of each class of near-duplicates, with its columns as they are.
+
+    Texts are near-duplicates if their SimHashes differ in at most `radius` bits and the similarity of
+    their word shingles, by their signatures, reaches `least`. Fingerprints that far apart need not agree
+    in a band, so the shards are those of the texts' shard keys. The document of least doc_id stays, one
+    without doc_id only if the class has no other; of repeated rows one stays.
+    """
+    held = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "distinct")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    source = held.select(
+        "__row", F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"),
+        text.alias("text"),
+    )
+
+    def run(rows):
+        for row, doc_id, digest, text in rows:
+            hashes = shingle_hashes(text, words)
+            lanes = signature(hashes).tobytes()
+            yield row, doc_id, digest, simhash(hashes), lanes, shard_keys(hashes)
+
+    schema = "node long, doc_id long, digest string, fingerprint long, payload binary, keys array<long>"
+    prints = stage(map_rows(source, run, schema), "prints")
+    # Equal texts are one node: the one to keep.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    columns = ["node", "doc_id", "fingerprint", "payload", "keys"]
+    first = prints.groupBy("digest").agg(F.min_by(F.struct(*columns), order).alias("first")).select("first.*")
+    first = stage(first, "texts")
+    keyed = first.select("node", F.explode("keys").alias("shard"))
+    shared = keyed.groupBy("shard").agg(F.count("*").alias("nodes")).where("nodes > 1").select("shard")
+    members = keyed.join(shared, "shard").join(first.select("node", "fingerprint", "payload"), "node")
+    found = components(links(members, radius, tree_size, lambda a, b: similarity(a, b) >= least))
+    roots = first.select("node", "doc_id").join(found, "node", "left")
+    kept = roots.groupBy(F.coalesce("root", "node")).agg(F.min_by("node", order).alias("__row")).select("__row")
+    gone = prints.select(F.col("node").alias("__row")).join(kept, "__row", "left_anti")
+    return held.join(gone, "__row", "left_anti").select(*(held[c] for c in docs.columns))
