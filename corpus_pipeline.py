@@ -14,7 +14,7 @@ from sampleward.sources.shared import stage
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are good and clean with a probability of one half or more."""
+    """Documents that are good and clean with a probability of 0.4 or more, of balanced grades."""
     return quality.select(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 

@@ -98,12 +98,14 @@ class Model(NamedTuple):
 
 
 def fit(
-    rows: list[np.ndarray], grades: np.ndarray, rounds: int = 200, penalty: float = 2e-3, least_rows: int = 5
-) -> Model:
+    rows: list[np.ndarray], grades: np.ndarray, rounds: int = 200, penalty: float = 2e-3,
+    least_rows: int = 5, least_distance: float = 3.0,
+) -> Model:
     """Maximum likelihood by Adam over all rows at once, with an L2 penalty.
 
     A feature is scaled by the log-odds of its presence in documents of the best grade, so that
-    features which tell grades apart are penalised less; those in fewer than `least_rows` are left out.
+    features which tell grades apart are penalised less; those in fewer than `least_rows` are left out, and those whose
+    presence differs from chance by less than `least_distance` standard deviations.
     """
     if len(np.unique(grades)) < 2:
         return Model(np.zeros(1 << HASH_BITS, dtype=np.float32), np.full(2, -40.0))
@@ -114,7 +116,9 @@ def fit(
     used, local, present = np.unique(places, return_inverse=True, return_counts=True)
     in_best = np.bincount(local, best[owner], minlength=len(used))
     odds = np.log((in_best + 1) / (best.sum() + 2)) - np.log((present - in_best + 1) / ((~best).sum() + 2))
-    scale = np.where(present >= least_rows, odds, 0.0)
+    share = best.mean()
+    distance = np.abs(in_best - present * share) / np.sqrt(present * share * (1 - share))
+    scale = np.where((present >= least_rows) & (distance >= least_distance), odds, 0.0)
     weights = np.zeros(len(used))
     # Thresholds begin at the grades' shares; gaps stay positive as exponentials.
     above = np.array([(np.sum(grades > k) + 1) / (len(grades) + 2) for k in range(top)])
@@ -179,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Model:
     )
 
 
-def grade(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def grade(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
     """doc_id, expected_grade, p_usable P(grade >= 1), p_good P(grade >= 2), keep (p_good >= least)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -193,7 +197,7 @@ def grade(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     return map_rows(texts(docs), run, schema)
 
 
-def select(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def select(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
     """The documents whose tail probability reaches `least`, with their columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
