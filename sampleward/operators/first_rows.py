@@ -85,14 +85,14 @@ def first_rows(
     taken: list[Column] = []
     ties: Column = F.lit(True)
     low = high = None
-    need, size, level, stalled = n, total, 0, 0
-    while need > 0 and not small(size) and level < len(keys) and stalled < 3:
+    need, size, level, draw = n, total, 0, 0
+    while need > 0 and not small(size) and level < len(keys):
         key = keys[level]
         rest = df.filter(ties & _inside(key, low, high))
         drawn = min(bracket_rows, max(1000, size // 20))
-        marks = bracket or _bracket(rest, key, need, size, drawn, seed=stalled)
-        bracket = None
-        size_before = size
+        # A bracket that misses the boundary is drawn anew, with another seed.
+        marks = bracket or _bracket(rest, key, need, size, drawn, seed=draw)
+        bracket, draw = None, draw + 1
         for part, rows in _counted(rest, key, _split(low, high, *marks)):
             if need > rows:
                 need -= rows
@@ -103,12 +103,10 @@ def first_rows(
                 need, low = 0, None
             elif part.tie is None:
                 low, high = part.low, part.high
-                # A bracket that leaves nearly everything inside is drawn again, but not for ever.
-                stalled = 0 if size < 0.9 * size_before else stalled + 1
             else:
                 taken.append(ties & key.before(part.tie))
                 ties, low, high = ties & key.same(part.tie), None, None
-                level, stalled = level + 1, 0
+                level += 1
             break
         else:
             # Fewer rows than `total` said: all of them are taken.

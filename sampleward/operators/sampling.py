@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +16,6 @@ from sampleward.operators.first_rows import any_rows, compact, first_rows, fits_
 from sampleward.operators.ordering import Mark, OrderKey, sample_order, tie_breakers
 from sampleward.sources.shared import stage
 
-# Fewest files in a file-level sample that still count as a random choice.
-MIN_BLOCK_FILES = 20
 KEY = "__sample_key"
 
 
@@ -121,27 +119,36 @@ def block_sample(
     total: int | None = None,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """At most `n` rows from a random percentage of the table's files.
+    """At most `n` rows from a random percentage of the table, taken file by file.
 
-    Unread files are skipped at planning. A table of few files, or a view, is sampled by row.
+    Files are put in the order of a hash; the first ones that hold the percentage of all rows are
+    chosen, at least one. Others are skipped at planning. A relation without files is sampled by row.
     """
     if total is None:
         total = df.count()
     percent = block_percent_of(total, n)
     if n <= 0 or percent == 0:
         return zero_sample(df)
-    if percent == 100:
-        return any_rows(df, n, total, single_task_rows)
-    if len(df.inputFiles()) * percent >= 100 * MIN_BLOCK_FILES and _reads_files(df):
-        file_hash = F.xxhash64(F.lit(seed), F.col("_metadata.file_path"))
-        blocks = df.filter(F.pmod(file_hash, F.lit(100)) < percent)
-    else:
-        blocks = df.sample(percent / 100.0, seed)
-    # Of the chosen part only about n rows go on to the limit.
-    expected = max(1, total * percent // 100)
-    share = oversample_share(n, expected)
-    thinned = blocks if share >= 1.0 else blocks.filter(F.rand(seed) < share)
-    return any_rows(thinned, n, max(n, int(expected * share)), single_task_rows)
+    if not _reads_files(df):
+        expected = max(1, total * percent // 100)
+        return _spread(df.sample(percent / 100.0, seed), n, expected, seed, single_task_rows)
+    order = F.xxhash64(F.lit(seed), F.col("_metadata.file_path"))
+    # One row per file, counted without reading a column.
+    files = df.groupBy(order.alias("hash")).count()
+    before = Window.orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    held = files.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    chosen = held.filter(F.col("before") < F.lit(total * percent / 100.0))
+    last, rows = chosen.agg(F.max("hash"), F.sum("count")).first()
+    if last is None:
+        return zero_sample(df)
+    return _spread(df.filter(order <= last), n, rows, seed, single_task_rows)
+
+
+def _spread(df: DataFrame, n: int, rows: int, seed: int, single_task_rows: int | None) -> DataFrame:
+    """At most `n` of about so many rows, spread over all of them."""
+    share = oversample_share(n, rows)
+    thinned = df if share >= 1.0 else df.filter(F.rand(seed) < share)
+    return any_rows(thinned, n, max(n, int(rows * share)), single_task_rows)
 
 
 def _reads_files(df: DataFrame) -> bool:

@@ -143,7 +143,8 @@ def drop_empty_schemas(
     for schema in list_schemas(spark, prefix):
         properties = schema_properties(spark, schema)
         labelled = all(properties.get(key) == value for key, value in labels.items())
-        if labelled and not spark.catalog.listTables(schema):
+        # Temporary views belong to the session, not to the schema.
+        if labelled and all(table.isTemporary for table in spark.catalog.listTables(schema)):
             spark.sql(f"DROP DATABASE IF EXISTS `{schema}` RESTRICT")
             dropped.append(schema)
     return dropped

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
 import uuid
-from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -40,7 +39,14 @@ from sampleward.plans.effective import (
     table_policies,
     table_requests,
 )
-from sampleward.plans.jobs import compliant_plan, errors_per_cycle, target_mapping, validate_job
+from sampleward.plans.jobs import (
+    COUNT_FAILED,
+    compliant_plan,
+    errors_per_cycle,
+    target_collisions,
+    target_mapping,
+    validate_job,
+)
 from sampleward.plans.records import dead_letter, run_log
 from sampleward.schemas import OUTCOME, ROW_COUNT, TABLE_KEY
 from sampleward.settings import ERROR_SEPARATOR, CycleConfig
@@ -63,7 +69,7 @@ LOG_LABELS = {"sampling_log": "true"}
 
 @dataclass(frozen=True)
 class CycleResult:
-    """`status` is DONE or LOCKED. `log` has one row per table, `errors` one digest per dataset."""
+    """`status` is DONE or LOCKED. `log` has one row per table, `errors` one per error."""
 
     status: str
     log: DataFrame | None = None
@@ -99,10 +105,19 @@ def sample_by_spec(
 def count_tables(
     spark: SparkSession, tables: Mapping[TableKey, DataFrame], parallelism: int
 ) -> DataFrame:
-    """Row counts of all tables, a bounded number of tables per job; one small row per table."""
+    """Row counts of all tables, a bounded number of tables per job; one small row per table.
+
+    A table that cannot be counted gets COUNT_FAILED and does not stop the others.
+    """
 
-    def count(chunk: list[tuple[TableKey, DataFrame]]) -> list[Row]:
-        return row_count(spark, dict(chunk)).collect()
+    def count(chunk: list[tuple[TableKey, DataFrame]]) -> list[tuple]:
+        try:
+            return [tuple(row) for row in row_count(spark, dict(chunk)).collect()]
+        except Exception as error:  # noqa: BLE001 - the tables are then counted one by one
+            if len(chunk) > 1:
+                return [row for item in chunk for row in count([item])]
+            LOG.warning("Source table %s cannot be counted: %s", ".".join(chunk[0][0]), error)
+            return [(*chunk[0][0], COUNT_FAILED)]
 
     items = list(tables.items())
     chunks = [items[i : i + TABLES_PER_COUNT] for i in range(0, len(items), TABLES_PER_COUNT)]
@@ -137,7 +152,7 @@ def plan_jobs(
         target_project,
         target_location,
     ).withColumn("amount", F.coalesce("granted", F.lit(0).cast("bigint")))
-    checked = validate_job(plan, columns)
+    checked = target_collisions(validate_job(plan, columns))
     return checked.withColumn("error_code", F.coalesce("error_code", "job_error")).drop("job_error")
 
 
@@ -149,8 +164,8 @@ def find_tables(
     def find(key: TableKey) -> tuple[TableKey, DataFrame | None]:
         try:
             return key, spark.table(config.source_name(*key))
-        except AnalysisException:
-            LOG.warning("Source table %s is gone", ".".join(key))
+        except Exception as error:  # noqa: BLE001 - one broken table must not stop the others
+            LOG.warning("Source table %s cannot be read: %s", ".".join(key), error)
             return key, None
 
     with ThreadPoolExecutor(config.parallelism) as pool:
@@ -176,7 +191,10 @@ def run_cycle(
     datasets = {(project, dataset): dataset for project, dataset, _ in tables}
     for project, dataset in datasets:
         labels = sample_labels(config.labels, project, None)
-        create_schema(spark, config.target_schema(dataset), config.target_root, labels)
+        try:
+            create_schema(spark, config.target_schema(dataset), config.target_root, labels)
+        except Exception:  # noqa: BLE001 - writing the samples of this dataset then fails, each on its own
+            LOG.exception("Target schema of %s.%s cannot be created", project, dataset)
     plan = stage(
         plan_jobs(
             requests,
@@ -189,15 +207,13 @@ def run_cycle(
         "plan",
     )
 
-    locks: dict[str, Lock] = defaultdict(Lock)
-
     def run(row: Row) -> tuple:
         started = int(time.time())
         failure, inserted = None, None
         key = (row.project_id, row.dataset_id, row.table_id)
         try:
-            with locks[row.target_table.lower()]:
-                inserted = _with_retry(config, lambda: _sample_table(config, tables[key], row))
+            seed = draw_seed(config.seed, cycle_ts, key)
+            inserted = _with_retry(config, lambda: _sample_table(config, tables[key], row, seed))
         except Exception as error:  # noqa: BLE001 - one failed table must not stop the others
             LOG.exception("Sampling %s failed", row.source_table)
             failure = f"{type(error).__name__}: {error}"
@@ -246,7 +262,13 @@ def _with_retry(config: CycleConfig, job) -> int:
     raise ValueError("No attempt was allowed")
 
 
-def _sample_table(config: CycleConfig, df: DataFrame, row: Row) -> int:
+def draw_seed(seed: int | None, cycle_ts: int, key: TableKey) -> int:
+    """A seed of its own for each table and cycle, drawn anew unless the config fixes one."""
+    source = uuid.uuid4().hex if seed is None else f"{seed}:{cycle_ts}"
+    return int.from_bytes(hashlib.sha256(":".join([source, *key]).encode()).digest()[:4], "big")
+
+
+def _sample_table(config: CycleConfig, df: DataFrame, row: Row, seed: int) -> int:
     """Sample, write and count one table; returns the rows now in the target."""
     spark = df.sparkSession
     sample = sample_by_spec(
@@ -256,7 +278,7 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row) -> int:
         row.row_count,
         row.sort_by,
         row.direction,
-        config.seed,
+        seed,
         config.single_task_rows,
         config.random_by_block,
     )

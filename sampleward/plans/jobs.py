@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampleward.functions.compliance import granted_rows, limit_rows, wanted_rows
 from sampleward.functions.text import format_table_ref, not_blank, strip
 from sampleward.schemas import TABLE_KEY
-from sampleward.settings import DIRECTIONS, ERROR_SEPARATOR, SAMPLE_TYPES
+from sampleward.settings import DIRECTIONS, SAMPLE_TYPES
 
-ERRORS_PER_ROW = 1000
+
+# Stands for the row count of a table that could not be counted.
+COUNT_FAILED = -(1 << 62)
 
 
 def compliant_plan(requests: DataFrame, row_counts: DataFrame) -> DataFrame:
@@ -42,6 +44,7 @@ def _plan_error(rows: Column, properties: Column) -> Column:
     sample_type = F.col("sample_type")
     return (
         F.when(rows.isNull(), "MISSING_SOURCE")
+        .when(rows == COUNT_FAILED, "COUNT_FAILED")
         .when(rows < 0, "BAD_ROW_COUNT")
         .when(~F.coalesce(sample_type.isin(SAMPLE_TYPES), F.lit(False)), "BAD_SPEC_TYPE")
         .when((sample_type == "sorted") & properties.isNull(), "MISSING_SORT_PROPERTIES")
@@ -104,24 +107,24 @@ def validate_job(jobs: DataFrame, source_columns: DataFrame | None = None) -> Da
     return joined.withColumn("job_error", error).drop("__by", "__orderable")
 
 
-def errors_per_cycle(errors: DataFrame, errors_per_row: int = ERRORS_PER_ROW) -> DataFrame:
-    """All error texts of each dataset, sorted and joined.
+def target_collisions(jobs: DataFrame) -> DataFrame:
+    """Jobs whose target another one has too, whatever the case of its letters, get a `job_error`."""
+    target = F.lower("target_table")
+    several = jobs.groupBy(target.alias("__target")).agg(F.count("*").alias("__jobs")).where("__jobs > 1")
+    joined = jobs.join(several, target == F.col("__target"), "left")
+    error = F.coalesce("job_error", F.when(F.col("__jobs").isNotNull(), "TARGET_COLLISION"))
+    return joined.withColumn("job_error", error).drop("__target", "__jobs")
+
 
-    Needs project_id, dataset_id, table_id, error. A dataset with more errors than fit in one row
-    is spread by table name over several rows, numbered by `part`, so that no task gathers them all.
+def errors_per_cycle(errors: DataFrame) -> DataFrame:
+    """One row per error: its table, text, position among the table's errors, and `n_errors` of the dataset.
+
+    Needs project_id, dataset_id, table_id, error; rows without an error are left out.
     """
     dataset = ["project_id", "dataset_id"]
-    sizes = errors.groupBy(*dataset).agg(
-        F.ceil(F.count("error") / F.lit(errors_per_row)).alias("__parts")
-    )
-    digest = F.conv(F.substring(F.md5(F.col("table_id")), 1, 8), 16, 10).cast("bigint")
-    return (
-        errors.filter(F.col("error").isNotNull())
-        .join(sizes, dataset)
-        .withColumn("part", digest % F.col("__parts"))
-        .groupBy(*dataset, "part")
-        .agg(
-            F.count(F.lit(1)).alias("n_errors"),
-            F.array_join(F.sort_array(F.collect_list("error")), ERROR_SEPARATOR).alias("errors"),
-        )
-    )
+    failed = errors.filter(F.col("error").isNotNull()).select(*TABLE_KEY, "error")
+    sizes = failed.groupBy(*dataset).agg(F.count("*").alias("n_errors"))
+    position = F.row_number().over(Window.partitionBy(*TABLE_KEY).orderBy("error"))
+    same = [failed[c].eqNullSafe(sizes[c]) for c in dataset]
+    joined = failed.join(sizes, same).select(failed["*"], "n_errors")
+    return joined.select(*TABLE_KEY, "error", position.alias("position"), "n_errors")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -19,8 +20,11 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by `spark.checkpoint.dir`; a temporary one only where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    """Folder named by `spark.checkpoint.dir`; a temporary one only in local mode, where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or _own_folder()).rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -25,19 +25,33 @@ from sampleward.plans.cycle import run_cycle
 from sampleward.plans.records import dead_letter
 from sampleward.settings import (
     COMMAND_TYPES,
-    RUN_NAME_PATTERN,
     TRANSFER_OK_STATE,
     CycleConfig,
 )
 from sampleward.sources.commands import command_stream, read_messages
+from sampleward.streaming.repeats import first_deliveries
 
 DEAD_LETTER = "DEAD_LETTER"
 REDELIVERY_WINDOW = "20 minutes"
 
 
+# Segments of a transfer run's name; None stands for any text without white space.
+RUN_SEGMENTS = ["projects", None, "locations", None, "transferConfigs", None, "runs", None]
+
+
+def is_run_name(name: Column) -> Column:
+    """Whether a name has the segments of a transfer run; the last one may hold further slashes."""
+    parts = F.split(name, "/", len(RUN_SEGMENTS))
+    right = F.size(parts) == len(RUN_SEGMENTS)
+    for i, fixed in enumerate(RUN_SEGMENTS):
+        part = F.get(parts, F.lit(i))
+        right &= (part == fixed) if fixed else ((part != "") & ~part.rlike(r"\s"))
+    return F.coalesce(right, F.lit(False))
+
+
 def config_of_run(run_name: Column) -> Column:
     """Transfer config named in the name of one of its runs, null for any other text."""
-    return F.when(run_name.rlike(RUN_NAME_PATTERN), F.regexp_extract(run_name, RUN_NAME_PATTERN, 1))
+    return F.when(is_run_name(run_name), F.substring_index(run_name, "/", 6))
 
 
 REF_SHAPE = "struct<project_id:variant,dataset_id:variant,table_id:variant,location:variant>"
@@ -88,7 +102,7 @@ def _command_type() -> Column:
     notification = (
         _is_string("dataSourceId")
         & node("params").isNotNull()
-        & text("name").rlike(RUN_NAME_PATTERN)
+        & is_run_name(text("name"))
     )
     readable = kind("type").isin(MISSING, "STRING")
     return F.when(given.isin(COMMAND_TYPES), given).when(
@@ -176,21 +190,15 @@ def transfer_notification(commands: DataFrame) -> DataFrame:
 def idempotent_commands(
     commands: DataFrame, keys: list[str], ts: str, delay: str = REDELIVERY_WINDOW
 ) -> DataFrame:
-    """One row per key although delivery is at least once.
+    """Rows that are no repeat although delivery is at least once.
 
-    On a stream, repeats within `delay` are dropped. On a table, the earliest delivery stays; it is
-    found by a partial aggregate, so a key with many deliveries never meets in one task as rows.
+    A row is a repeat if it lies within `delay` of the delivery of its key that was kept before it;
+    later ones count anew. A stream forgets a delivery once the watermark has passed its delay,
+    a table once the time is over.
     """
     if commands.isStreaming:
         return commands.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-    others = [name for name in commands.columns if name not in keys and name != ts]
-    first = F.min(F.struct(ts, *others)).alias("__first")
-    return (
-        commands.groupBy(*keys)
-        .agg(first)
-        .select(*keys, "__first.*")
-        .select(*commands.columns)
-    )
+    return first_deliveries(commands, keys, ts, delay)
 
 
 def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str) -> Callable:
@@ -200,7 +208,7 @@ def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str)
         routed = route_commands(batch).persist()
         try:
             # A repeated batch overwrites its own dead letters instead of adding to them.
-            failed = dead_letter(routed, ["payload", "publish_time", "timestamp"])
+            failed = dead_letter(routed, ["data", "payload", "publish_time", "timestamp"])
             failed.write.mode("overwrite").json(f"{dead_letters}/batch={batch_id}")
             source = "sample_request_table_reference"
             orders = (
@@ -256,7 +264,7 @@ def run_command_stream(
     commands = command_stream(read_messages(spark, messages)).withColumn(
         "arrived", F.current_timestamp()
     )
-    once = idempotent_commands(commands, ["payload", "publish_time"], "arrived")
+    once = idempotent_commands(commands, ["data", "publish_time"], "arrived")
     return (
         once.writeStream.foreachBatch(command_handler(spark, config, dead_letters))
         .option("checkpointLocation", checkpoint)

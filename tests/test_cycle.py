@@ -164,7 +164,7 @@ def test_removed_source_and_bad_jobs_do_not_stop_others(world):
     assert log["orders"].error_message == "MISSING_SOURCE"
     assert log["ghost"].error_message == "MISSING_SOURCE"
     assert log["customer"].amount_inserted == 9 and log["customer"].error_message == ""
-    assert [r.n_errors for r in result.errors.collect()] == [2]
+    assert [(r.error, r.n_errors) for r in result.errors.collect()] == [("MISSING_SOURCE", 2)] * 2
     runs = world.spark.table(f"{world.config.log_schema}.sample_runs")
     assert runs.count() == 2 + 3
     assert world.spark.table(f"{world.config.log_schema}.sample_errors").count() == 2
@@ -215,17 +215,17 @@ def test_failures_are_retried(world, monkeypatch):
     calls = []
     real = cycle._sample_table
 
-    def flaky(config, df, row):
+    def flaky(config, df, row, seed):
         calls.append(row.table_id)
         if calls.count(row.table_id) == 1:
             raise RuntimeError("passing failure")
-        return real(config, df, row)
+        return real(config, df, row, seed)
 
     monkeypatch.setattr(cycle, "_sample_table", flaky)
     world.run()
     assert world.rows("orders") == 5 and calls.count("orders") == 2
 
-    def wrong(config, df, row):
+    def wrong(config, df, row, seed):
         calls.append("final")
         raise ValueError("wrong in itself")
 
@@ -283,3 +283,23 @@ def test_sample_by_spec_and_drop_column(table):
     with pytest.raises(ValueError):
         drop_column(orders, "none")
     assert orders.select(F.count(F.lit(1))).first()[0] == 1500
+
+
+def test_broken_table_and_colliding_targets_do_not_stop_others(world):
+    spark, dataset = world.spark, world.dataset
+    spark.sql(f"CREATE VIEW {dataset}.broken AS SELECT raise_error('no') AS a FROM {dataset}.orders")
+    world.policy("broken", {})
+    world.policy("ORDERS", {})
+    log = {r.source_table.split(".")[-1].split("@")[0]: r for r in world.run().log.collect()}
+    assert log["customer"].error_message == ""
+    assert log["orders"].error_message == log["ORDERS"].error_message == "TARGET_COLLISION"
+    assert log["broken"].error_message not in ("", "TARGET_COLLISION")
+
+
+def test_seeds_differ_by_table_and_cycle():
+    from sampleward.plans.cycle import draw_seed
+
+    keys = [("p", "d", "a"), ("p", "d", "b")]
+    assert len({draw_seed(7, ts, key) for ts in (1, 2) for key in keys}) == 4
+    assert draw_seed(7, 1, keys[0]) == draw_seed(7, 1, keys[0])
+    assert draw_seed(None, 1, keys[0]) != draw_seed(None, 1, keys[0])

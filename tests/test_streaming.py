@@ -219,3 +219,22 @@ def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
     letters = spark.read.json(str(tmp_path / "dead"))
     assert [r.error for r in letters.collect()] == ["UNKNOWN_TYPE"]
     assert read_messages(spark, str(folder)).isStreaming
+
+
+def test_repeats_beyond_the_delay_count_anew(spark):
+    import random
+    from datetime import timedelta
+
+    draw, start = random.Random(4), datetime(2024, 1, 1)
+    rows = [(k, start + timedelta(seconds=draw.randrange(400_000)), i) for i, k in enumerate(["hot"] * 900 + ["a", None] * 60)]
+    rows += [("b", start + timedelta(minutes=m), 1000 + m) for m in (0, 20, 21, 40, 41, 42, 300)]
+    df = spark.createDataFrame(rows, "command string, ts timestamp, note long")
+    want, kept = [], {}
+    for command, at, note in sorted(rows, key=lambda r: (r[1], r[2])):
+        if command not in kept or at > kept[command] + timedelta(minutes=20):
+            kept[command] = at
+            want.append((command, at, note))
+    got = [tuple(r) for r in idempotent_commands(df, ["command"], "ts").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert [r[2] - 1000 for r in sorted(want, key=str) if r[0] == "b"] == [0, 21, 42, 300]
+    assert idempotent_commands(df.limit(0), ["command"], "ts").count() == 0

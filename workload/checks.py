@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from sampleward.settings import RUN_NAME_PATTERN
 from workload import inputs
 from workload.runs import (
-    ERRORS_PER_ROW,
     GOVERNED,
     LIMIT,
     LOG_TS,
@@ -223,10 +221,23 @@ KNOWN = (
     "'START', 'SAMPLE_POLICY_PREFIX', 'SAMPLE_START', 'SAMPLE_DONE', 'TRANSFER_RUN_DONE', "
     "'REMOVE_DATASET'"
 )
+
+def _is_run(name: str) -> str:
+    """Whether a text is the name of a transfer run, by its segments."""
+    part = f"string_split({name}, '/')"
+    fixed = {1: "projects", 3: "locations", 5: "transferConfigs", 7: "runs"}
+    return " AND ".join(
+        [f"len({part}) >= 8", f"NOT regexp_matches({name}, '\\s')"]
+        + [f"{part}[{i}] = '{text}'" for i, text in fixed.items()]
+        + [f"{part}[{i}] <> ''" for i in (2, 4, 6)]
+        + [f"array_to_string({part}[8:], '/') <> ''"]
+    )
+
+
 _GIVEN = f"upper(trim({_text('$.type')}))"
 _NOTICE = (
     f"({_type('$.dataSourceId')} = 'VARCHAR' AND {_type('$.params')} = 'OBJECT' "
-    f"AND {_type('$.name')} = 'VARCHAR' AND regexp_matches({_text('$.name')}, '{RUN_NAME_PATTERN}'))"
+    f"AND {_type('$.name')} = 'VARCHAR' AND {_is_run(_text('$.name'))})"
 )
 
 
@@ -284,7 +295,8 @@ TRANSFERS = f"""
         CASE WHEN state = 'SUCCEEDED' THEN NULL ELSE 'TRANSFER_NOT_SUCCEEDED' END AS error
     FROM (SELECT event_id,
             CASE WHEN {_GIVEN} = 'TRANSFER_RUN_DONE' THEN {_text('$.name')}
-                ELSE regexp_extract({_text('$.name')}, '{RUN_NAME_PATTERN}', 1) END AS config_name,
+                WHEN {_is_run(_text('$.name'))}
+                    THEN array_to_string(string_split({_text('$.name')}, '/')[1:6], '/') END AS config_name,
             {_transfer_field('state')} AS state,
             {_transfer_field('params.source_project_id')} AS source_project_id,
             {_transfer_field('params.source_dataset_id')} AS source_dataset_id
@@ -340,13 +352,10 @@ PLAN_ERRORS = f"""
     FROM ({PLAN}) WHERE error_code IS NOT NULL"""
 
 ERRORS = f"""
-    SELECT project_id, dataset_id, part, count(*) AS n_errors,
-        string_agg(error, '+++' ORDER BY error) AS errors
-    FROM (SELECT *, CAST('0x' || left(md5(table_id), 8) AS BIGINT)
-            % CAST(ceil(count(*) OVER (PARTITION BY project_id, dataset_id) / {ERRORS_PER_ROW}.0) AS BIGINT)
-            AS part
-        FROM ({PLAN_ERRORS}))
-    GROUP BY project_id, dataset_id, part"""
+    SELECT project_id, dataset_id, table_id, error, CAST(row_number() OVER (
+            PARTITION BY project_id, dataset_id, table_id ORDER BY error) AS INTEGER) AS position,
+        count(*) OVER (PARTITION BY project_id, dataset_id) AS n_errors
+    FROM ({PLAN_ERRORS})"""
 
 RUN_LOG = f"""
     SELECT CAST({LOG_TS} AS BIGINT) AS cycle_ts, source_table,
@@ -359,6 +368,23 @@ RUN_LOG = f"""
     LEFT JOIN (SELECT {inputs.table('l_partkey')} AS table_id, count(*) AS n
         FROM lineitem GROUP BY l_partkey) USING (table_id)"""
 
+# Random rows differ by design; what must hold of them does not.
+FACTS = """
+    SELECT unnest(['has_n_rows', 'at_most_n_rows', 'from_source', 'fair']) AS fact, n >= 0 AS holds
+    FROM (SELECT count(*) AS n FROM lineitem)"""
+
+# Kept deliveries, one after the other per command.
+IDEMPOTENT = f"""
+    WITH RECURSIVE d AS ({source(inputs.DELIVERIES)}), kept AS (
+        SELECT command_id, min(delivered) AS delivered FROM d GROUP BY command_id
+        UNION ALL
+        SELECT d.command_id, min(d.delivered) FROM kept JOIN d ON d.command_id = kept.command_id
+            AND d.delivered > kept.delivered + INTERVAL 20 MINUTE
+        GROUP BY d.command_id, kept.delivered)
+    SELECT command_id, delivered, min(delivery) AS delivery
+    FROM (SELECT DISTINCT command_id, delivered FROM kept) JOIN d USING (command_id, delivered)
+    GROUP BY command_id, delivered"""
+
 MISSED = """
     SELECT user_id, CAST(day AS DATE) AS day
     FROM (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS day
@@ -444,6 +470,9 @@ SQL = {
     ),
     "errors_per_cycle": ERRORS,
     "sorted_sample": first_rows("lineitem", "l_shipdate", "DESC", granted("lineitem")),
+    "random_sample_facts": FACTS,
+    "random_sample_scaled_facts": FACTS,
+    "block_sample_facts": f"SELECT * FROM ({FACTS}) WHERE fact IN ('at_most_n_rows', 'from_source')",
     "zero_sample": "SELECT * FROM lineitem LIMIT 0",
     "hash_sample": (
         f"SELECT * FROM orders ORDER BY md5(concat_ws(':', '{SEED}', CAST(o_orderkey AS VARCHAR))), "
@@ -464,14 +493,10 @@ SQL = {
     "dead_letter": f"""
         SELECT CAST(to_json({{'event_id': event_id, 'payload': payload, 'timestamp': "timestamp",
                 'type': type}}) AS VARCHAR) AS command, error,
-            'A new high or critical severity finding was detected:' || chr(10) || chr(10) || error
-                AS message
+            'The command was not carried out: ' || error AS message
         FROM ({ROUTED}) WHERE error IS NOT NULL""",
     "transfer_notification": TRANSFERS,
-    "idempotent_commands": """
-        SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
-                PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events)
-        WHERE rn = 1""",
+    "idempotent_commands": IDEMPOTENT,
     "error_alert": """
         SELECT date_trunc('hour', ts) AS window_start,
             date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS n_errors,

@@ -146,6 +146,13 @@ CATALOG_TABLES = ("customer", [
     f"{table('c_custkey')} AS table_id",
 ])
 
+# Deliveries of commands: one command has a third of all, the others up to 11 within an hour or so.
+DELIVERIES = ("events", [
+    "CASE WHEN event_id % 3 = 0 THEN -1 ELSE CAST(floor(event_id / 16.0) AS BIGINT) END AS command_id",
+    "ts AS delivered",
+    "event_id AS delivery",
+])
+
 LOCATED_TABLES = ("customer", [
     f"{project('c_custkey')} AS project_id",
     "'d_' || CAST(c_nationkey AS STRING) AS dataset_id",

@@ -10,7 +10,7 @@ from functools import reduce
 
 import pyarrow.fs as pafs
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sampleward.functions import config_json, text
@@ -35,10 +35,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Limit and size of the single-table samples: (count, percentage).
-LIMIT, SIZE = (1050, 35.1), (9, 6.5)
-SCALED_LIMIT, SCALED_SIZE = (300_000, 40.1), (1, 100.0)
+LIMIT, SIZE = (1200, 27.5), (14, 4.8)
+SCALED_LIMIT, SCALED_SIZE = (250_000, 38.4), (2, 100.0)
 SEED = 42
-ERRORS_PER_ROW = 20
 LOG_TS = 1_700_000_000
 
 
@@ -334,7 +333,7 @@ def sample_request_dry_run(spark, sf):
 def errors_per_cycle(spark, sf):
     failed = _plan(spark, sf).withColumn("error", F.concat_ws(" ", "table_id", "error_code"))
     failed = failed.filter(F.col("error_code").isNotNull())
-    return jobs.errors_per_cycle(failed, ERRORS_PER_ROW)
+    return jobs.errors_per_cycle(failed)
 
 
 # Samples
@@ -368,6 +367,50 @@ def random_sample_scaled(spark, sf):
     return sampling.random_sample_scaled(df, n, SEED, total)
 
 
+def sample_facts(sample: DataFrame, source: DataFrame, n: int) -> DataFrame:
+    """(fact, holds): what must hold of any random sample of n rows, over all its rows."""
+    stratum = F.pmod(F.col("l_orderkey"), F.lit(4)).alias("stratum")
+    strata = source.groupBy(stratum).agg(F.count("*").alias("all"))
+    drawn = sample.groupBy(stratum).agg(F.count("*").alias("drawn"))
+    share = F.lit(n) / F.sum("all").over(Window.partitionBy())
+    # Within six standard deviations of what a stratum's share of the draw should be.
+    expected = F.col("all") * share
+    off = F.abs(F.coalesce("drawn", F.lit(0)) - expected) - 6 * F.sqrt(expected) - 1
+    fair = strata.join(drawn, "stratum", "left").select((off <= 0).alias("fair"))
+    rows = F.count("*")
+    facts = {
+        "has_n_rows": sample.agg((rows == n).alias("holds")),
+        "at_most_n_rows": sample.agg((rows <= n).alias("holds")),
+        "from_source": sample.exceptAll(source).agg((rows == 0).alias("holds")),
+        "fair": fair.agg(F.bool_and("fair").alias("holds")),
+    }
+    return reduce(
+        DataFrame.unionAll, (df.select(F.lit(name).alias("fact"), "holds") for name, df in facts.items())
+    )
+
+
+@query
+def random_sample_facts(spark, sf):
+    df = read(spark, sf, "lineitem")
+    total, n = grant(df)
+    return sample_facts(sampling.random_sample(df, n, SEED, total), df, n)
+
+
+@query
+def random_sample_scaled_facts(spark, sf):
+    df = read(spark, sf, "lineitem")
+    total, n = grant(df, SCALED_LIMIT, SCALED_SIZE)
+    return sample_facts(sampling.random_sample_scaled(df, n, SEED, total), df, n)
+
+
+@query
+def block_sample_facts(spark, sf):
+    df = read(spark, sf, "lineitem")
+    total, n = grant(df)
+    facts = sample_facts(sampling.block_sample(df, n, SEED, total), df, n)
+    return facts.filter(F.col("fact").isin("at_most_n_rows", "from_source"))
+
+
 @query
 def zero_sample(spark, sf):
     return sampling.zero_sample(read(spark, sf, "lineitem"))
@@ -481,9 +524,8 @@ def transfer_notification(spark, sf):
 
 @query
 def idempotent_commands(spark, sf):
-    return commands.idempotent_commands(
-        read(spark, sf, "events"), ["user_id", "event_type"], "ts"
-    )
+    deliveries = derived(spark, sf, inputs.DELIVERIES)
+    return commands.idempotent_commands(deliveries, ["command_id"], "delivered")
 
 
 @query
@@ -500,20 +542,20 @@ def missed_cycle_alert(spark, sf):
 
 # Policy and request of each table: (limit, size, sort column, direction, requested size).
 GOVERNED = {
-    "region": ((3, None), (None, 50.0), "r_name", "DESC", None),
-    "nation": ((10, 50.5), (7, None), "n_name", "ASC", None),
-    "customer": ((1000, 30.1), (10, 5.5), "c_acctbal", "DESC", (40, 11.1)),
-    "supplier": ((None, 20.1), (10, 5.5), "s_acctbal", "ASC", (1000, None)),
-    "part": ((1100, 20.1), (11, 7.5), "p_retailprice", "DESC", None),
-    "orders": ((1050, 35.1), (9, 6.5), "o_orderdate", "DESC", None),
-    "lineitem": ((1234, 35.1), (3000, 11.7), "l_shipdate", "DESC", None),
-    "events": ((1200, 41.1), (11, 7.5), "ts", "ASC", (17, 16.1)),
-    "documents": ((300, 40.1), (None, 3.3), "n_chars", "DESC", None),
-    "embeddings": ((1000, 30.1), (25, None), "label", "ASC", None),
-    "pages": ((1000, 30.1), (0, None), "url", "ASC", None),
-    "benchmark": ((1000, 30.1), (None, 29), "text", "DESC", None),
-    "labels": ((50, None), (None, 100.0), "quality", "ASC", (0, None)),
-    "conversations": ((1000, 30.1), (10, 5.5), "text", "ASC", (60, None)),
+    "region": ((4, None), (None, 60.0), "r_name", "DESC", None),
+    "nation": ((12, 44.5), (6, None), "n_name", "ASC", None),
+    "customer": ((900, 26.4), (15, 4.2), "c_acctbal", "DESC", (35, 12.6)),
+    "supplier": ((None, 24.3), (8, 6.1), "s_acctbal", "ASC", (700, None)),
+    "part": ((800, 18.2), (13, 8.4), "p_retailprice", "DESC", None),
+    "orders": ((1300, 32.7), (5, 7.9), "o_orderdate", "DESC", None),
+    "lineitem": ((1500, 28.6), (2500, 13.3), "l_shipdate", "DESC", None),
+    "events": ((950, 37.2), (16, 5.9), "ts", "ASC", (21, 14.8)),
+    "documents": ((260, 33.9), (None, 4.7), "n_chars", "DESC", None),
+    "embeddings": ((850, 22.8), (30, None), "label", "ASC", None),
+    "pages": ((640, 29.1), (0, None), "url", "ASC", None),
+    "benchmark": ((720, 26.2), (None, 31), "text", "DESC", None),
+    "labels": ((45, None), (None, 100.0), "quality", "ASC", (0, None)),
+    "conversations": ((880, 25.7), (18, 3.6), "text", "ASC", (75, None)),
 }
 ROW_IDS = {
     "lineitem": ("l_orderkey", "l_linenumber"),
