@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,7 +32,10 @@ from sampleward.settings import (
 from sampleward.sources.commands import command_stream, read_messages
 from sampleward.streaming.repeats import first_deliveries
 
+LOG = logging.getLogger(__name__)
+
 DEAD_LETTER = "DEAD_LETTER"
+CARRIED_OUT = ["START", "SAMPLE_POLICY_PREFIX", "SAMPLE_START", "REMOVE_DATASET"]
 REDELIVERY_WINDOW = "20 minutes"
 
 
@@ -201,53 +205,77 @@ def idempotent_commands(
     return first_deliveries(commands, keys, ts, delay)
 
 
+LETTER_FIELDS = ["data", "payload", "publish_time", "timestamp"]
+FAILURE = "data string, payload string, publish_time string, timestamp bigint, error string"
+
+
 def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str) -> Callable:
-    """Function for foreachBatch that carries out each command of a batch."""
+    """Function for foreachBatch that carries out each command of a batch.
+
+    One START covers all narrower commands of its batch, and equal commands are carried out once. A
+    command that fails becomes a dead letter and does not stop the others, nor does a failed transfer.
+    """
+
+    def carry_out(order: Row) -> None:
+        if order.route == "START":
+            run_cycle(spark, config, order.timestamp)
+        elif order.route == "SAMPLE_POLICY_PREFIX":
+            run_cycle(spark, config, order.timestamp, prefix=order.prefix)
+        elif order.route == "SAMPLE_START":
+            run_cycle(spark, config, order.timestamp, prefix=order.object_path)
+        elif order.dataset_id.lower().startswith(config.staging_prefix):
+            drop_schema_cascade(spark, order.dataset_id.lower())
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = route_commands(batch).persist()
+        folder = f"{dead_letters}/batch={batch_id}"
         try:
+            valid = routed.filter(F.col("error").isNull())
+            transfers = transfer_notification(valid)
             # A repeated batch overwrites its own dead letters instead of adding to them.
-            failed = dead_letter(routed, ["data", "payload", "publish_time", "timestamp"])
-            failed.write.mode("overwrite").json(f"{dead_letters}/batch={batch_id}")
+            letters = dead_letter(routed, LETTER_FIELDS).unionAll(dead_letter(transfers, LETTER_FIELDS))
+            letters.write.mode("overwrite").json(folder)
             source = "sample_request_table_reference"
-            orders = (
-                command_nodes(routed.filter(F.col("error").isNull()), COMMAND_LEAVES)
-                .select(
-                    "route",
-                    "timestamp",
-                    text("prefix").alias("prefix"),
-                    text("dataset_id").alias("dataset_id"),
-                    config_object_path(
-                        text(f"{source}_project_id"),
-                        text(f"{source}_dataset_id"),
-                        text(f"{source}_table_id"),
-                    ).alias("object_path"),
-                )
-                .distinct()
-                .orderBy("timestamp")
+            orders = command_nodes(valid, COMMAND_LEAVES).select(
+                "route",
+                "timestamp",
+                text("prefix").alias("prefix"),
+                text("dataset_id").alias("dataset_id"),
+                config_object_path(
+                    text(f"{source}_project_id"),
+                    text(f"{source}_dataset_id"),
+                    text(f"{source}_table_id"),
+                ).alias("object_path"),
+                *(name for name in LETTER_FIELDS if name != "timestamp"),
+            )
+            finished = transfers.filter("next_command IS NOT NULL AND source_dataset_id IS NOT NULL")
+            orders = orders.filter(F.col("route").isin(CARRIED_OUT)).unionByName(
+                finished.select(
+                    F.col("next_command").alias("route"),
+                    F.col("source_dataset_id").alias("dataset_id"),
+                    *LETTER_FIELDS,
+                ),
+                allowMissingColumns=True,
             )
-            for order in orders.toLocalIterator():
-                if order.route == "START":
-                    run_cycle(spark, config, order.timestamp)
-                elif order.route == "SAMPLE_POLICY_PREFIX":
-                    run_cycle(spark, config, order.timestamp, prefix=order.prefix)
-                elif order.route == "SAMPLE_START":
-                    run_cycle(spark, config, order.timestamp, prefix=order.object_path)
-                elif order.route == "REMOVE_DATASET" and order.dataset_id.lower().startswith(
-                    config.staging_prefix
-                ):
-                    drop_schema_cascade(spark, order.dataset_id.lower())
-            finished = transfer_notification(routed.filter(F.col("error").isNull()))
-            for row in (
-                finished.filter(F.col("next_command").isNotNull())
-                .select("source_dataset_id")
-                .distinct()
-                .toLocalIterator()
-            ):
-                schema = (row.source_dataset_id or "").lower()
-                if schema.startswith(config.staging_prefix):
-                    drop_schema_cascade(spark, schema)
+            every = not orders.filter("route = 'START'").isEmpty()
+            if every:
+                orders = orders.filter("route IN ('START', 'REMOVE_DATASET')")
+                target = ["route", "dataset_id"]
+            else:
+                target = ["route", "prefix", "dataset_id", "object_path"]
+            first = F.min_by(F.struct(*orders.columns), F.struct("timestamp", "publish_time", "data"))
+            once = orders.groupBy(*target).agg(first.alias("first")).select("first.*").orderBy("timestamp")
+            failures = []
+            for order in once.toLocalIterator():
+                try:
+                    carry_out(order)
+                except Exception as error:  # noqa: BLE001 - one failed command must not stop the others
+                    LOG.exception("Command %s failed", order.route)
+                    fields = (order[name] for name in LETTER_FIELDS)
+                    failures.append((*fields, f"{type(error).__name__}: {error}"))
+            if failures:
+                failed = spark.createDataFrame(failures, FAILURE)
+                dead_letter(failed, LETTER_FIELDS).write.mode("append").json(folder)
         finally:
             routed.unpersist()
 

@@ -184,41 +184,58 @@ def test_missed_cycles(spark):
     assert bounded.count() == 3
 
 
+def run_batch(spark, tmp_path, bodies, config, name):
+    folder = tmp_path / name
+    os.makedirs(folder)
+    with open(folder / "a.json", "w") as out:
+        for body in bodies:
+            data = encode(body) if isinstance(body, dict) else body
+            out.write(json.dumps({"data": data, "publish_time": STAMP}) + "\n")
+    for _ in range(2):
+        query = run_command_stream(
+            spark, config, str(folder), str(tmp_path / f"{name}-c"), str(tmp_path / f"{name}-dead")
+        )
+        query.awaitTermination(120)
+        assert query.exception() is None
+    assert read_messages(spark, str(folder)).isStreaming
+    return spark.read.json(str(tmp_path / f"{name}-dead"))
+
+
 def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
     calls, dropped = [], []
-    monkeypatch.setattr(
-        commands_module, "run_cycle", lambda s, c, ts, prefix="": calls.append((ts, prefix))
-    )
+
+    def cycle(session, config, ts, prefix=""):
+        calls.append((ts, prefix))
+        if prefix == "broken/":
+            raise RuntimeError("this one fails")
+
+    monkeypatch.setattr(commands_module, "run_cycle", cycle)
     monkeypatch.setattr(commands_module, "drop_schema_cascade", lambda s, name: dropped.append(name))
+    config = type("Config", (), {"staging_prefix": "stg_"})()
+    failed = {**NOTICE, "state": "FAILED"}
     bodies = [
-        {"type": "START"},
-        {"type": "START"},
         {"type": "SAMPLE_POLICY_PREFIX", "prefix": "p/d/"},
+        {"type": "SAMPLE_POLICY_PREFIX", "prefix": "p/d/"},
+        {"type": "SAMPLE_POLICY_PREFIX", "prefix": "broken/"},
         {"type": "SAMPLE_START", **START},
         {"type": "REMOVE_DATASET", "project_id": "p", "dataset_id": "stg_one"},
         {"type": "REMOVE_DATASET", "project_id": "p", "dataset_id": "production"},
         {**NOTICE, "params": {"source_project_id": "p", "source_dataset_id": "stg_two"}},
+        failed,
         {"type": "nonsense"},
-    ]
-    folder = tmp_path / "messages"
-    os.makedirs(folder)
-    with open(folder / "a.json", "w") as out:
-        for body in bodies:
-            out.write(json.dumps({"data": encode(body), "publish_time": STAMP}) + "\n")
-    config = type("Config", (), {"staging_prefix": "stg_"})()
-    for _ in range(2):
-        query = run_command_stream(
-            spark, config, str(folder), str(tmp_path / "c"), str(tmp_path / "dead")
-        )
-        query.awaitTermination(120)
-        assert query.exception() is None
-    assert sorted(calls) == sorted(
-        [(1665140498, ""), (1665140498, "p/d/"), (1665140498, "p/d/t.json")]
-    )
+        "???one", "???two", "???three",
+    ]
+    letters = run_batch(spark, tmp_path, bodies, config, "narrow").collect()
+    assert sorted(calls) == sorted((1665140498, p) for p in ("p/d/", "broken/", "p/d/t.json"))
     assert sorted(dropped) == ["stg_one", "stg_two"]
-    letters = spark.read.json(str(tmp_path / "dead"))
-    assert [r.error for r in letters.collect()] == ["UNKNOWN_TYPE"]
-    assert read_messages(spark, str(folder)).isStreaming
+    errors = sorted(r.error for r in letters)
+    assert errors == ["BAD_PAYLOAD"] * 3 + ["RuntimeError: this one fails", "TRANSFER_NOT_SUCCEEDED", "UNKNOWN_TYPE"]
+    lost = {json.loads(r.command)["data"] for r in letters if r.error == "BAD_PAYLOAD"}
+    assert lost == {"???one", "???two", "???three"}
+
+    calls.clear()
+    run_batch(spark, tmp_path, [{"type": "START"}, *bodies[:2], {"type": "START"}], config, "wide")
+    assert calls == [(1665140498, "")]
 
 
 def test_repeats_beyond_the_delay_count_anew(spark):
