@@ -148,30 +148,30 @@ class Merges:
         return tuple([i for i in ids if i >= 0])
 
 
-class Remembered(dict):
+class Remembered:
     """Results by key, of which the latest are kept: about twice `most`, besides given first ones."""
 
     def __init__(self, many, first: dict | None = None, most: int = 250_000):
         """many: the results of a list of keys."""
-        super().__init__(first or {})
-        self.many, self.first, self.most, self.older = many, first or {}, most, {}
+        self.many, self.first, self.most = many, first or {}, most
+        self.known, self.older = dict(self.first), {}
 
     def of(self, keys: list) -> list:
-        new = set(keys).difference(self)
+        known = self.known  # a plain dict: only from one does a set subtract by look-ups
+        new = set(keys).difference(known)
         if not new:
-            return list(map(self.__getitem__, keys))
-        if len(self) >= len(self.first) + self.most:
-            self.older = dict(self)
-            self.clear()
-            self.update(self.first)
-            new = set(keys).difference(self)
+            return list(map(known.__getitem__, keys))
+        if len(known) >= len(self.first) + self.most:
+            self.older, self.known = known, dict(self.first)
+            known = self.known
+            new = set(keys).difference(known)
         older = self.older
-        known = new.intersection(older)
-        self.update((k, older[k]) for k in known)
-        rest = list(new - known)
-        self.update(zip(rest, self.many(rest)))
-        values = list(map(self.__getitem__, keys))
+        again = {k: older[k] for k in new if k in older}
+        known.update(again)
+        rest = list(new.difference(again))
+        known.update(zip(rest, self.many(rest)))
+        values = list(map(known.__getitem__, keys))
         for key in rest:
             if len(key) > SHORT:
-                del self[key]
+                del known[key]
         return values

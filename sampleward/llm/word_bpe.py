@@ -13,18 +13,18 @@ from tokenizers import Tokenizer
 from sampleward.llm.byte_bpe import byte_letters, read_merges
 from sampleward.llm.merges import Merges, Remembered
 
-# Lower-case letters to U+017F; the runs that a lower-case word of these letters is cut into.
+# Lower-case letters to U+017F; the runs that lower-case text of these letters is cut into.
 LETTERS = "a-zß-öø-ÿĀ-ſ"
-RUNS = re.compile(f"[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+").findall
+RUNS = re.compile(f"[{LETTERS}]+|[0-9]|[^0-9{LETTERS} \t-\r]+").findall
 
 
 class WordIds:
     """Ids as the tokenizers library gives them for a file that lower-cases and drops white space.
 
     No token of such a file spans white space, so a text's ids are those of its words one after
-    the other; words are what stands between ASCII white space. Words of Latin letters, digits and
-    harmless marks are cut into runs and merged here, many at once. All others, such as those with
-    special strings, apostrophes or letters of other scripts, go through the library itself.
+    the other. Lines of Latin letters, digits and harmless marks are cut into runs, which are merged
+    here, many at once, and remembered. Words of all other lines, such as those with special strings,
+    apostrophes or letters of other scripts, go through the library itself and are remembered too.
     """
 
     def __init__(self, path: str):
@@ -43,34 +43,37 @@ class WordIds:
         self.last = [model["vocab"][c + "</w>"] for c in letters]
         odd = {"'", *(t["content"][0] for t in spec["added_tokens"])}
         marks = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in odd)
-        self.plain = re.compile(rf"[a-zA-Z0-9{re.escape(marks)}À-įıĲ-ſ]+").fullmatch
-        self.runs = Remembered(self._runs)
-        self.words = Remembered(self._words)
+        self.plain = re.compile(rf"[ \t-\ra-zA-Z0-9{re.escape(marks)}À-įıĲ-ſ]*").fullmatch
+        self.remembered = Remembered(self._encode)
 
-    def _runs(self, runs: list[str]) -> list[tuple[int, ...]]:
-        strings = []
+    def _encode(self, keys: list[str | bytes]) -> list[tuple[int, ...]]:
+        """Ids of runs, which are str, and of words, which are bytes."""
+        runs = [key for key in keys if type(key) is str]
+        inner, strings = self.inner.__getitem__, []
         for run in runs:
             letters = run.encode()
-            strings.append([*(self.inner[b] for b in letters[:-1]), self.last[letters[-1]]])
-        return self.merges.merge(strings)
+            strings.append([*map(inner, letters[:-1]), self.last[letters[-1]]])
+        merged = iter(self.merges.merge(strings))
+        return [
+            next(merged)
+            if type(key) is str
+            else tuple(self.library.encode(key.decode(), add_special_tokens=False).ids)
+            for key in keys
+        ]
 
-    def _words(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        out, places, cut = [()] * len(words), [], []
-        for i, word in enumerate(map(bytes.decode, words)):
-            if self.plain(word):
-                places.append(i)
-                cut.append(RUNS(word.lower()))
-            else:
-                out[i] = tuple(self.library.encode(word, add_special_tokens=False).ids)
-        ids = iter(self.runs.of(list(chain.from_iterable(cut))))
-        for i, runs in zip(places, cut):
-            out[i] = tuple(chain.from_iterable(islice(ids, len(runs))))
-        return out
+    def cut(self, text: str) -> list[str | bytes]:
+        """Runs of plain lines and words of the others, in order."""
+        if self.plain(text):
+            return RUNS(text.lower())
+        keys: list[str | bytes] = []
+        for line in text.split("\n"):
+            keys += RUNS(line.lower()) if self.plain(line) else line.encode().split()
+        return keys
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        words = [text.encode().split() for text in texts]
-        ids = iter(self.words.of(list(chain.from_iterable(words))))
-        return [list(chain.from_iterable(islice(ids, len(w)))) for w in words]
+        cut = [self.cut(text) for text in texts]
+        ids = iter(self.remembered.of(list(chain.from_iterable(cut))))
+        return [list(chain.from_iterable(islice(ids, len(keys)))) for keys in cut]
 
 
 @lru_cache(maxsize=4)
