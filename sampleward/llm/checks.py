@@ -1,3 +1,16 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+TOP_K = """
+    WITH v AS (
+        SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id))
+    WHERE rank <= 5"""
+
+SQL: dict[str, str] = {"op8_top_k": TOP_K}
