@@ -24,7 +24,7 @@ def spec(kind, by=None, direction=None):
     return {"type": kind, "properties": {"by": by, "direction": direction}}
 
 
-A, B, C, D = (f"TEST_COLUMN_{letter}" for letter in "ABCD")
+A, B, C, D = "ship_day", "net_price", "region", "line_code"
 FULL = {
     "limit": size(1050, 35.1),
     "default_sample": {"size": size(9, 6.5), "spec": spec("random", D, "ASC")},

@@ -29,19 +29,19 @@ def requests(spark, texts):
 
 SIZES = [
     ('{"size":{"count":1}}', (1, None)),
-    ('{"size":{"count":2000}}', (2000, None)),
-    ('{"size":{"percentage":0.001}}', (None, 0.001)),
+    ('{"size":{"count":2600}}', (2600, None)),
+    ('{"size":{"percentage":0.004}}', (None, 0.004)),
     ('{"size":{"percentage":100.0}}', (None, 100.0)),
-    ('{"size":{"percentage":29}}', (None, 29.0)),
-    ('{"size":{"count":17,"percentage":31.9}}', (17, 31.9)),
+    ('{"size":{"percentage":28}}', (None, 28.0)),
+    ('{"size":{"count":23,"percentage":34.6}}', (23, 34.6)),
     ('{"size":{"count":0}}', (0, None)),
     ('{"size":{"count":-1}}', None),
     ('{"size":{"percentage":0}}', None),
-    ('{"size":{"percentage":-0.0001}}', None),
-    ('{"size":{"percentage":100.00001}}', None),
-    ('{"size":{"count":17,"percentage":"11.1"}}', None),
-    ('{"size":{"count":10.0}}', None),
-    ('{"size":{"count":"18"}}', None),
+    ('{"size":{"percentage":-0.002}}', None),
+    ('{"size":{"percentage":100.002}}', None),
+    ('{"size":{"count":23,"percentage":"12.5"}}', None),
+    ('{"size":{"count":12.0}}', None),
+    ('{"size":{"count":"19"}}', None),
     ('{"size":{"count":true}}', None),
     ('{"size":{"count":99999999999999999999}}', (MAX_LONG, None)),
     ('{"size":{"count":null,"percentage":5}}', (None, 5.0)),
@@ -148,8 +148,8 @@ def test_percentages_are_computed_in_double(spark):
 
 
 def test_block_percent(spark):
-    vectors = [(10, 10, 100), (1, 1, 100), (1, 10, 100), (1000000, 1, 1), (0, 1, 0)]
-    vectors += [(20, 11, 56), (25, 7, 29)]
+    vectors = [(12, 12, 100), (1, 1, 100), (3, 40, 100), (700000, 2, 1), (0, 5, 0)]
+    vectors += [(30, 7, 24), (40, 9, 23)]
     df = spark.createDataFrame(vectors, "rows bigint, amount bigint, want bigint")
     assert df.filter(block_percent(F.col("rows"), F.col("amount")) != F.col("want")).count() == 0
     assert all(block_percent_of(rows, amount) == want for rows, amount, want in vectors)
