@@ -85,14 +85,13 @@ def first_rows(
     taken: list[Column] = []
     ties: Column = F.lit(True)
     low = high = None
-    need, size, level, draw = n, total, 0, 0
+    need, size, level, draw, wider = n, total, 0, 0, 1
     while need > 0 and not small(size) and level < len(keys):
         key = keys[level]
         rest = df.filter(ties & _inside(key, low, high))
-        drawn = min(bracket_rows, max(1000, size // 20))
-        # A bracket that misses the boundary is drawn anew, with another seed.
+        drawn = min(bracket_rows, max(1000, size // 20)) * wider
         marks = bracket or _bracket(rest, key, need, size, drawn, seed=draw)
-        bracket, draw = None, draw + 1
+        bracket, draw, size_before = None, draw + 1, size
         for part, rows in _counted(rest, key, _split(low, high, *marks)):
             if need > rows:
                 need -= rows
@@ -103,10 +102,12 @@ def first_rows(
                 need, low = 0, None
             elif part.tie is None:
                 low, high = part.low, part.high
+                # A bracket that leaves nearly everything inside is drawn anew, with twice the values.
+                wider = 1 if size < 0.9 * size_before else 2 * wider
             else:
                 taken.append(ties & key.before(part.tie))
                 ties, low, high = ties & key.same(part.tie), None, None
-                level += 1
+                level, wider = level + 1, 1
             break
         else:
             # Fewer rows than `total` said: all of them are taken.
@@ -134,7 +135,8 @@ def _bracket(
         wanted = max(wanted // 10, 100)
     share = min(1.0, wanted / size)
     center = need * share
-    spread = 4.0 * math.sqrt(center * (1.0 - need / size)) + 8.0
+    # With all values drawn, the one at the rank itself is known.
+    spread = 4.0 * math.sqrt(center * (1.0 - need / size)) + 8.0 if share < 1.0 else 0.0
     low_rank, high_rank = math.floor(center - spread), math.ceil(center + spread)
     values = df.select(key.column.alias("value")).sample(share, seed)
     drawn = OrderKey(F.col("value"), key.data_type, key.ascending)

@@ -36,12 +36,12 @@ def missed_cycle_alert(
 ) -> DataFrame:
     """Days without a run for each `by`, between the first and last day of all runs.
 
-    The calendar is exploded from the bounds beside each distinct key; nothing is cross joined.
+    One aggregate per key gives its days, no more than the calendar has; the rest of the calendar is missed.
     """
-    days = runs.select(*by, F.to_date(ts).alias("day")).distinct()
-    bounds = days.agg(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi"))).scalar()
+    day = F.to_date(ts)
+    seen = runs.groupBy(*by).agg(F.collect_set(day).alias("__seen"))
+    bounds = runs.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
     low = bounds["lo"] if first_day is None else first_day
     high = bounds["hi"] if last_day is None else last_day
-    keys = days.select(*by).distinct()
-    calendar = keys.withColumn("day", F.explode(F.sequence(low, high)))
-    return calendar.join(days, [*by, "day"], "left_anti")
+    missed = F.array_except(F.sequence(low, high), F.col("__seen"))
+    return seen.select(*by, F.explode(missed).alias("day"))
