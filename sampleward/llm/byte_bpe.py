@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
 from itertools import batched, chain, islice
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -64,7 +66,7 @@ class ByteBpe:
         letters = byte_letters()
         byte_of = {letter: byte for byte, letter in enumerate(letters)}
         vocab: dict[str, int] = model["vocab"]
-        self.letter_ids = [vocab[letter] for letter in letters]
+        self.letter_ids = np.array([vocab[letter] for letter in letters], dtype=np.int64)
         self.merges = Merges(read_merges(model), len(vocab))
         added = spec["added_tokens"]
         self.specials = {t["content"]: t["id"] for t in added}
@@ -78,10 +80,25 @@ class ByteBpe:
             self.bytes_of[i] = token.encode()
         self.pattern = regex.compile(PRE_TOKENS)
         self.library = Tokenizer.from_file(path).pre_tokenizer
+        self.latin, self.latin_pattern = self._latin()
         self.unlike = regex.compile(f"[{self._unlike()}\\U00010000-\\U0010ffff]")
         known = {SPECIAL + content: (i,) for content, i in self.specials.items()}
         self.remembered = Remembered(self.merge, known)
 
+    @staticmethod
+    def _latin() -> tuple:
+        """The same pattern for texts of Latin letters alone, which the standard library cuts faster."""
+        low = [chr(c) for c in range(0x250)]
+        letter, number = (
+            "".join(re.escape(c) for c in low if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}")
+        )
+        white = "\t-\r \x85\xa0"
+        pattern = (
+            f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{white}{letter}{number}]+"
+            f"|[{white}]+(?![^{white}])|[{white}]+"
+        )
+        return re.compile("[\x00-\u024f]*").fullmatch, re.compile(pattern).findall
+
     def _unlike(self) -> str:
         """Letters that the two libraries' Unicode tables class differently, for a character class.
 
@@ -98,6 +115,8 @@ class ByteBpe:
 
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
+        if self.latin(text):
+            return self.latin_pattern(text)
         if self.unlike.search(text):
             return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
         return self.pattern.findall(text)
@@ -113,8 +132,10 @@ class ByteBpe:
 
     def merge(self, pre_tokens: list[str]) -> list[tuple[int, ...]]:
         """Ids of each pre-token."""
-        first = self.letter_ids
-        return self.merges.merge([[first[b] for b in token.encode()] for token in pre_tokens])
+        encoded = list(map(str.encode, pre_tokens))
+        letters = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+        return self.merges.merge(self.letter_ids[letters], lengths)
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         """Ids of each text. All new pre-tokens of the texts are merged together."""

@@ -38,30 +38,34 @@ class Merges:
         hit = self.keys[found] == keys
         return np.where(hit, self.ranks[found], NO_RANK), np.where(hit, self.merged[found], -1)
 
-    def merge(self, strings: list[list[int]]) -> list[tuple[int, ...]]:
-        """The symbols of each string after all merges."""
-        out: list = [None] * len(strings)
-        sizes: dict[int, list[int]] = {}
-        for i, string in enumerate(strings):
-            if len(string) < 2:
-                out[i] = tuple(string)
-            elif len(string) > SHORT:
-                out[i] = self.merge_long(string)
-            else:
-                sizes.setdefault(1 << (len(string) - 2).bit_length(), []).append(i)
-        for size, places in sizes.items():
+    def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> list[tuple[int, ...]]:
+        """The symbols of each string after all merges; the strings stand one after the other."""
+        starts = np.cumsum(lengths) - lengths
+        out: list = [()] * len(lengths)
+        for i in np.flatnonzero(lengths == 1).tolist():
+            out[i] = (int(symbols[starts[i]]),)
+        for i in np.flatnonzero(lengths > SHORT).tolist():
+            out[i] = self.merge_long(symbols[starts[i] : starts[i] + lengths[i]].tolist())
+        least, size = 2, 1
+        while least <= SHORT:
+            most = min(size + 1, SHORT)
+            places = np.flatnonzero((lengths >= least) & (lengths <= most))
             for k in range(0, len(places), AT_ONCE):
                 part = places[k : k + AT_ONCE]
-                for i, merged in zip(part, self.merge_short([strings[i] for i in part], size)):
-                    out[i] = merged
+                merged = self.merge_short(symbols, starts[part], lengths[part], size)
+                for i, ids in zip(part.tolist(), merged):
+                    out[i] = ids
+            least, size = most + 1, 2 * size
         return out
 
-    def merge_short(self, strings: list[list[int]], size: int) -> list[tuple[int, ...]]:
+    def merge_short(
+        self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int
+    ) -> list[tuple[int, ...]]:
         """Strings of up to size + 1 symbols; the state of each is a row of flat arrays."""
-        rows, width = len(strings), size + 2  # the last column of a row stays empty
-        lengths = np.array([len(s) for s in strings])
-        table = np.full((rows, width), -1, dtype=np.int64)
-        table[np.arange(width) < lengths[:, None]] = np.concatenate(strings)
+        rows, width = len(lengths), size + 2  # the last column of a row stays empty
+        places = starts[:, None] + np.arange(width)
+        table = symbols.take(np.minimum(places, len(symbols) - 1)).astype(np.int64)
+        table[np.arange(width) >= lengths[:, None]] = -1
         after = np.tile(np.arange(1, width + 1), (rows, 1))
         after[np.arange(width) >= lengths[:, None] - 1] = width - 1
         before = np.tile(np.arange(-1, width - 1), (rows, 1)).ravel()

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from functools import lru_cache
 from itertools import chain, islice
 
+import numpy as np
 from tokenizers import Tokenizer
 
 from sampleward.llm.byte_bpe import byte_letters, read_merges
@@ -39,8 +40,9 @@ class WordIds:
             raise ValueError(f"{path} is no lower-casing BPE with word ends")
         self.merges = Merges(read_merges(model), len(model["vocab"]))
         letters = byte_letters()
-        self.inner = [model["vocab"][c] for c in letters]
-        self.last = [model["vocab"][c + "</w>"] for c in letters]
+        self.inner, self.last = (
+            np.array([model["vocab"][c + end] for c in letters], dtype=np.int64) for end in ("", "</w>")
+        )
         odd = {"'", *(t["content"][0] for t in spec["added_tokens"])}
         marks = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in odd)
         self.plain = re.compile(rf"[ \t-\ra-zA-Z0-9{re.escape(marks)}À-įıĲ-ſ]*").fullmatch
@@ -48,12 +50,12 @@ class WordIds:
 
     def _encode(self, keys: list[str | bytes]) -> list[tuple[int, ...]]:
         """Ids of runs, which are str, and of words, which are bytes."""
-        runs = [key for key in keys if type(key) is str]
-        inner, strings = self.inner.__getitem__, []
-        for run in runs:
-            letters = run.encode()
-            strings.append([*map(inner, letters[:-1]), self.last[letters[-1]]])
-        merged = iter(self.merges.merge(strings))
+        runs = [key.encode() for key in keys if type(key) is str]
+        letters = np.frombuffer(b"".join(runs), dtype=np.uint8)
+        lengths = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+        symbols, ends = self.inner[letters], np.cumsum(lengths) - 1
+        symbols[ends] = self.last[letters[ends]]
+        merged = iter(self.merges.merge(symbols, lengths))
         return [
             next(merged)
             if type(key) is str

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -24,6 +25,7 @@ def strange_texts(n, seed=5):
 TEXTS = [*ODD, *strange_texts(800)]
 
 
+@cache
 def library(path):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
@@ -64,7 +66,8 @@ def test_short_and_long_merges_agree():
     pairs = {(a, b): (draw.randrange(10**6), 10 + a * 10 + b) for a in range(10) for b in range(10)}
     tree = merges.Merges(pairs, 200)
     strings = [[draw.randrange(10) for _ in range(draw.randrange(60))] for _ in range(300)]
-    assert tree.merge(strings) == [tree.merge_long(s) if len(s) > 1 else tuple(s) for s in strings]
+    symbols, lengths = np.array([x for s in strings for x in s]), np.array(list(map(len, strings)))
+    assert tree.merge(symbols, lengths) == [tree.merge_long(s) if len(s) > 1 else tuple(s) for s in strings]
 
 
 def test_remembered_forgets_and_stays_right():
