@@ -19,8 +19,10 @@ row has a doc_id has component_id null. Columns other than doc_id and text are i
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import groupby
+from math import acos, ceil, comb, pi
 from operator import itemgetter
 
 import numpy as np
@@ -132,18 +134,20 @@ class Forest:
 
 
 def shard_links(
-    members: Iterable[tuple[int, int, bool, object]], radius: int, within: bool, alike=None
+    members: Iterable[tuple[int, int, bool, object]], radius: int | Callable, within: bool, alike=None
 ) -> Iterator[tuple[int, int]]:
     """Spanning links of one cell's members (node, fingerprint, is in the tree, payload).
 
     Members of the tree come first; they probe it only where links within the tree are asked for.
-    alike(payload, payload) may reject a link. Nodes with one fingerprint share a place in the tree.
+    alike(payload, payload) may reject a link, and radius(payload) give each probe its own radius.
+    Nodes with one fingerprint share a place in the tree.
     """
+    reach = radius if callable(radius) else lambda payload: radius
     tree, forest, unsigned = BKTree(), Forest(), (1 << BITS) - 1
     held: list[list[tuple[int, object]]] = []
     for node, print_, in_tree, payload in members:
         print_ &= unsigned
-        for place in tree.near(print_, radius) if within or not in_tree else ():
+        for place in tree.near(print_, reach(payload)) if within or not in_tree else ():
             for other, others in held[place]:
                 if forest.root(other) != forest.root(node) and (alike is None or alike(payload, others)):
                     forest.join(other, node)
@@ -172,7 +176,7 @@ def deal(members: DataFrame, tree_size: int) -> DataFrame:
     )
 
 
-def links(members: DataFrame, radius: int, tree_size: int, alike=None) -> DataFrame:
+def links(members: DataFrame, radius: int | Callable, tree_size: int, alike=None) -> DataFrame:
     """(a, b) spanning links of nodes in members (shard, node, fingerprint[, payload])."""
     payload = "payload" if "payload" in members.columns else F.lit(None).cast("int").alias("payload")
     cells = deal(members, tree_size).select(
@@ -221,7 +225,7 @@ def near_duplicates(
 
 
 # Similar texts: lanes of a signature, and shard keys that are made of two least hashes each.
-LANES, KEYS = 128, 6
+LANES, KEYS = 128, 12
 NO_HASH = (1 << 32) - 1
 FACTORS = np.array([2 * xxhash.xxh64_intdigest(str(i), 1) % 2**64 + 1 for i in range(2 * KEYS)], dtype=np.uint64)
 
@@ -252,14 +256,52 @@ def shard_keys(hashes: np.ndarray) -> list[int]:
     ]
 
 
+# The radius for similar texts: chance that it loses a pair, and shingles up to which chances are summed up.
+LOSS, SUMMED = 1e-6, 64
+
+
+def differing(n: int, least: float) -> float:
+    """The greatest chance that a bit differs between SimHashes of n and of other shingles of that similarity."""
+    if n > SUMMED:
+        return acos(2 * least / (1 + least)) / pi + 0.005
+
+    def over(common: int, rest: int) -> np.ndarray:
+        """Per number of ones in the common shingles, the chance that they and the rest have a majority."""
+        half = (common + rest) // 2
+        return np.array([sum(comb(rest, k) for k in range(max(0, half + 1 - c), rest + 1)) / 2**rest for c in range(common + 1)])
+
+    most = 0.0
+    for m in range(ceil(least * n - 1e-9), int(n / least + 1e-9) + 1):
+        common = ceil(least * (n + m) / (1 + least) - 1e-9)
+        if common <= min(n, m):
+            a, b = over(common, n - common), over(common, m - common)
+            ones = np.array([comb(common, c) / 2**common for c in range(common + 1)])
+            most = max(most, float((ones * (a * (1 - b) + b * (1 - a))).sum()))
+    return most
+
+
+@lru_cache(maxsize=None)
+def radius_for(n: int, least: float) -> int:
+    """Bits in which SimHashes of n and of other distinct shingles of that similarity differ at most, but for LOSS."""
+    if n > SUMMED + 1:
+        return radius_for(SUMMED + 1, least)
+    p = differing(n, least)
+    tail, radius = 1.0, -1
+    while tail > LOSS:
+        radius += 1
+        tail -= comb(BITS, radius) * p**radius * (1 - p) ** (BITS - radius)
+    return radius
+
+
 def distinct_documents(
-    docs: DataFrame, words: int = 5, least: float = 0.8, radius: int = 16, tree_size: int = 1024
+    docs: DataFrame, words: int = 5, least: float = 0.8, tree_size: int = 1024
 ) -> DataFrame:
     """One document of each class of near-duplicates, with its columns as they are.
 
-    Texts are near-duplicates if their SimHashes differ in at most `radius` bits and the similarity of
-    their word shingles, by their signatures, reaches `least`. Fingerprints that far apart need not agree
-    in a band, so the shards are those of the texts' shard keys. The document of least doc_id stays, one
+    Texts are near-duplicates if the similarity of their sets of word shingles, by their signatures, reaches
+    `least`. SimHashes are those of the sets, so that repeats have no weight, and are probed within the radius
+    that such texts keep. Fingerprints that far apart need not agree in a band, so the shards are those of
+    the texts' shard keys. The document of least doc_id stays, one
     without doc_id only if the class has no other; of repeated rows one stays.
     """
     held = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "distinct")
@@ -271,9 +313,9 @@ def distinct_documents(
 
     def run(rows):
         for row, doc_id, digest, text in rows:
-            hashes = shingle_hashes(text, words)
-            lanes = signature(hashes).tobytes()
-            yield row, doc_id, digest, simhash(hashes), lanes, shard_keys(hashes)
+            hashes = np.unique(shingle_hashes(text, words))
+            payload = len(hashes).to_bytes(8) + signature(hashes).tobytes()
+            yield row, doc_id, digest, simhash(hashes), payload, shard_keys(hashes)
 
     schema = "node long, doc_id long, digest string, fingerprint long, payload binary, keys array<long>"
     prints = stage(map_rows(source, run, schema), "prints")
@@ -285,7 +327,14 @@ def distinct_documents(
     keyed = first.select("node", F.explode("keys").alias("shard"))
     shared = keyed.groupBy("shard").agg(F.count("*").alias("nodes")).where("nodes > 1").select("shard")
     members = keyed.join(shared, "shard").join(first.select("node", "fingerprint", "payload"), "node")
-    found = components(links(members, radius, tree_size, lambda a, b: similarity(a, b) >= least))
+
+    def radius(payload: bytes) -> int:
+        return radius_for(int.from_bytes(payload[:8]), least)
+
+    def alike(a: bytes, b: bytes) -> bool:
+        return similarity(a[8:], b[8:]) >= least
+
+    found = components(links(members, radius, tree_size, alike))
     roots = first.select("node", "doc_id").join(found, "node", "left")
     kept = roots.groupBy(F.coalesce("root", "node")).agg(F.min_by("node", order).alias("__row")).select("__row")
     gone = prints.select(F.col("node").alias("__row")).join(kept, "__row", "left_anti")

@@ -109,6 +109,30 @@ def test_distinct_documents_equal_brute_force(spark):
     assert simhash.distinct_documents(docs.limit(0)).count() == 0
 
 
+def test_copies_that_differ_in_repeated_lines(spark):
+    texts = []
+    for i in range(12):
+        base, line = words(i, 300, 10**6), words(100 + i, 25, 10**6)
+        texts += [base, "\n".join([base, *[line] * 40])]
+        assert jaccard(*texts[-2:]) > 0.85
+    kept = simhash.distinct_documents(documents(spark, enumerate(texts))).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 24, 2))
+
+
+def test_radius_keeps_similar_sets():
+    draw = np.random.default_rng(4)
+    for n in (4, 5, 9, 40, 64, 65, 400):
+        union = n * 5 // 4
+        common = -(-4 * union // 5)
+        sets = [draw.integers(0, 2**64, union, dtype=np.uint64) for _ in range(300)]
+        # One set within the other, and both with hashes of their own.
+        pairs = [(s[:common], s) if k % 2 else (s[: (u := (union + common) // 2)], np.r_[s[:common], s[u:]]) for k, s in enumerate(sets)]
+        for a, b in pairs:
+            if len(np.intersect1d(a, b)) / union >= 0.8:
+                distance = (simhash.simhash(a) ^ simhash.simhash(b)) & (2**64 - 1)
+                assert distance.bit_count() <= min(simhash.radius_for(len(a), 0.8), simhash.radius_for(len(b), 0.8))
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows, labels = labelled(spark, 120)
     clean = [i for i, _ in rows if i % 6 > 1]
