@@ -31,9 +31,9 @@ def rows_of(batches: Iterator[pa.RecordBatch], size: int = 64) -> Iterator[tuple
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str
+    df: DataFrame, function: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str, size: int = ROWS
 ) -> DataFrame:
-    """mapInArrow for a function from rows to rows, one call per task."""
+    """mapInArrow for a function from rows to rows, one call per task; `size` rows go back at once."""
     struct = StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
 
@@ -45,7 +45,7 @@ def map_rows(
         waiting: list[tuple] = []
         for row in function(rows_of(batches)):
             waiting.append(row)
-            if len(waiting) == ROWS:
+            if len(waiting) == size:
                 yield batch(waiting)
                 waiting = []
         if waiting:

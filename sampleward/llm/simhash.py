@@ -224,24 +224,24 @@ def near_duplicates(
     )
 
 
-# Similar texts: lanes of a signature, and shard keys that are made of two least hashes each.
-LANES, KEYS = 128, 12
-NO_HASH = (1 << 32) - 1
+# Similar texts: shard keys, each made of two least hashes.
+KEYS = 12
 FACTORS = np.array([2 * xxhash.xxh64_intdigest(str(i), 1) % 2**64 + 1 for i in range(2 * KEYS)], dtype=np.uint64)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """Per lane, to which the low bits deal the hashes, the least of their high bits."""
-    lanes = np.full(LANES, NO_HASH, dtype=np.uint32)
-    np.minimum.at(lanes, (hashes % np.uint64(LANES)).astype(np.int64), (hashes >> np.uint64(32)).astype(np.uint32))
-    return lanes
+def similarity(a: bytes, b: bytes) -> float:
+    """The Jaccard similarity of two sets of 64-bit hashes, each in order; 1 if both are empty."""
+    a, b = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common / (len(both) - common) if len(both) else 1.0
 
 
-def similarity(a: bytes, b: bytes) -> float:
-    """The Jaccard similarity of two texts' shingles, estimated by their signatures; 1 without any."""
-    a, b = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
-    used = (a != NO_HASH) | (b != NO_HASH)
-    return float((a == b)[used].mean()) if used.any() else 1.0
+def similar(a: bytes, b: bytes, least: float) -> bool:
+    """Whether the similarity reaches `least`; sets too different in size are not compared."""
+    low, high = sorted((len(a), len(b)))
+    return (low == high or low / high >= least) and similarity(a, b) >= least
 
 
 def shard_keys(hashes: np.ndarray) -> list[int]:
@@ -298,11 +298,11 @@ def distinct_documents(
 ) -> DataFrame:
     """One document of each class of near-duplicates, with its columns as they are.
 
-    Texts are near-duplicates if the similarity of their sets of word shingles, by their signatures, reaches
-    `least`. SimHashes are those of the sets, so that repeats have no weight, and are probed within the radius
-    that such texts keep. Fingerprints that far apart need not agree in a band, so the shards are those of
-    the texts' shard keys. The document of least doc_id stays, one
-    without doc_id only if the class has no other; of repeated rows one stays.
+    Texts are near-duplicates if the similarity of their sets of word shingles reaches `least`; each link is
+    held against the sets of shingle hashes. SimHashes are those of the sets, so that repeats have no weight,
+    and are probed within the radius that such texts keep. Fingerprints that far apart need not agree in a
+    band, so the shards are those of the texts' shard keys. The document of least doc_id stays, one without
+    doc_id only if the class has no other; of repeated rows one stays.
     """
     held = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "distinct")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -314,27 +314,34 @@ def distinct_documents(
     def run(rows):
         for row, doc_id, digest, text in rows:
             hashes = np.unique(shingle_hashes(text, words))
-            payload = len(hashes).to_bytes(8) + signature(hashes).tobytes()
-            yield row, doc_id, digest, simhash(hashes), payload, shard_keys(hashes)
+            yield row, doc_id, digest, simhash(hashes), shard_keys(hashes)
 
-    schema = "node long, doc_id long, digest string, fingerprint long, payload binary, keys array<long>"
+    def sets(rows):
+        for row, text in rows:
+            yield row, np.unique(shingle_hashes(text, words)).tobytes()
+
+    schema = "node long, doc_id long, digest string, fingerprint long, keys array<long>"
     prints = stage(map_rows(source, run, schema), "prints")
     # Equal texts are one node: the one to keep.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
-    columns = ["node", "doc_id", "fingerprint", "payload", "keys"]
+    columns = ["node", "doc_id", "fingerprint", "keys"]
     first = prints.groupBy("digest").agg(F.min_by(F.struct(*columns), order).alias("first")).select("first.*")
     first = stage(first, "texts")
     keyed = first.select("node", F.explode("keys").alias("shard"))
-    shared = keyed.groupBy("shard").agg(F.count("*").alias("nodes")).where("nodes > 1").select("shard")
-    members = keyed.join(shared, "shard").join(first.select("node", "fingerprint", "payload"), "node")
+    # Of shards with the same nodes one is enough.
+    nodes = [F.count("*").alias("nodes"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
+    shared = keyed.groupBy("shard").agg(*nodes).where("nodes > 1").toDF("shard", "nodes", "x", "y")
+    shared = shared.groupBy("nodes", "x", "y").agg(F.min("shard").alias("shard")).select("shard")
+    members = stage(keyed.join(shared, "shard"), "members")
+    # Sets are made anew for those that meet others; long texts, so few rows at once.
+    wanted = source.join(members.select(F.col("node").alias("__row")).distinct(), "__row").select("__row", "text")
+    hashes = stage(map_rows(wanted, sets, "node long, payload binary", size=64), "hashes")
+    members = members.join(first.select("node", "fingerprint"), "node").join(hashes, "node")
 
     def radius(payload: bytes) -> int:
-        return radius_for(int.from_bytes(payload[:8]), least)
-
-    def alike(a: bytes, b: bytes) -> bool:
-        return similarity(a[8:], b[8:]) >= least
+        return radius_for(len(payload) // 8, least)
 
-    found = components(links(members, radius, tree_size, alike))
+    found = components(links(members, radius, tree_size, lambda a, b: similar(a, b, least)))
     roots = first.select("node", "doc_id").join(found, "node", "left")
     kept = roots.groupBy(F.coalesce("root", "node")).agg(F.min_by("node", order).alias("__row")).select("__row")
     gone = prints.select(F.col("node").alias("__row")).join(kept, "__row", "left_anti")

@@ -119,6 +119,19 @@ def test_copies_that_differ_in_repeated_lines(spark):
     assert sorted(r.doc_id for r in kept) == list(range(0, 24, 2))
 
 
+def test_pairs_around_the_least_similarity(spark):
+    draw, texts, want = random.Random(6), [], []
+    for i in range(240):
+        base = words(i, n := draw.choice([150, 600]), 10**6)
+        rest = int(n * (1 - (j := draw.uniform(0.75, 0.85))) / j)
+        grown = f"{base} {words(1000 + i, rest, 10**6)}"
+        want += [2 * i] if jaccard(base, grown) >= 0.8 else [2 * i, 2 * i + 1]
+        texts += [base, grown]
+    assert 300 < len(want) < 420
+    kept = simhash.distinct_documents(documents(spark, enumerate(texts))).collect()
+    assert sorted(r.doc_id for r in kept) == want
+
+
 def test_radius_keeps_similar_sets():
     draw = np.random.default_rng(4)
     for n in (4, 5, 9, 40, 64, 65, 400):
