@@ -9,6 +9,8 @@ it, plain, quoted or with a type between, and the value after it: quoted literal
 of these joined by + or standing side by side. Names stand for the literals last assigned to them, so a
 literal counts for each name it reaches through constants. It is reported when the sensitivity of the
 name's words times the plausibility of the literal reaches `threshold`, unless a base span covers it.
+Spaces make a literal less plausible, but not a quoted one of a name that is a secret for certain.
+Masking takes a quoted literal in which an assigned base value begins to its end.
 
 Offsets are code points, ends exclusive. Nulls count as empty texts, which have no spans. Every row
 gives one row, repeated ones too; columns other than doc_id and text are ignored.
@@ -48,6 +50,7 @@ TERM = re.compile(
     re.ASCII,
 )
 BARE = re.compile(r"[ \t]*([^\s\"'`,;(){}\[\]<>]+)(?:[ \t]+[#;].*|[;,])?[ \t]*$", re.MULTILINE)
+QUOTED = re.compile(r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`")
 NAME = re.compile(r"[A-Za-z_$][\w$.]*", re.ASCII)
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 # How far before an operator a name may begin, and how many terms a value may have.
@@ -82,6 +85,7 @@ class Literal(NamedTuple):
     text: str
     start: int
     end: int
+    quoted: bool
 
 
 def base_spans(text: str) -> list[Span]:
@@ -102,8 +106,8 @@ def name_score(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(w, 0.0) for w in set(words)))
 
 
-def literal_score(text: str) -> float:
-    """How plausible a literal is as a secret: by length, character kinds and entropy."""
+def literal_score(text: str, phrase: bool = False) -> float:
+    """How plausible a literal is as a secret: by length, character kinds and entropy; spaces are well in a phrase."""
     if len(text) < 6 or PLACEHOLDER.search(text) or "\n" in text:
         return 0.0
     counts = Counter(text)
@@ -111,7 +115,7 @@ def literal_score(text: str) -> float:
     kinds = sum(any(map(test, text)) for test in (str.islower, str.isupper, str.isdigit))
     kinds += any(not c.isalnum() and not c.isspace() for c in text)
     score = 0.25 + 0.15 * kinds + 0.1 * min(entropy, 4.0)
-    return min(1.0, score) * (0.5 if " " in text else 1.0) * (entropy > 1.5)
+    return min(1.0, score) * (0.5 if " " in text and not phrase else 1.0) * (entropy > 1.5)
 
 
 def value_after(text: str, at: int) -> tuple[list[Literal], list[str]]:
@@ -126,11 +130,11 @@ def value_after(text: str, at: int) -> tuple[list[Literal], list[str]]:
         if group == 4:
             names.append(m[4])
         else:
-            literals.append(Literal(m[group], *m.span(group)))
+            literals.append(Literal(m[group], *m.span(group), True))
     if not literals and bare:  # an unquoted value that ends its line, as configuration files have
         name_like = NAME.fullmatch(bare[1]) and not any(map(str.isdigit, bare[1]))
         if not name_like:
-            literals.append(Literal(bare[1], *bare.span(1)))
+            literals.append(Literal(bare[1], *bare.span(1), False))
     return literals, names
 
 
@@ -155,7 +159,7 @@ def assigned_literals(text: str, threshold: float) -> list[Literal]:
     for score, _, literals, names in targets:
         later = [x for n in names if n in values for x in values[n][0]]
         for literal in [*literals, *later]:
-            if score * literal_score(literal.text) >= threshold:
+            if score * literal_score(literal.text, literal.quoted and score == 1.0) >= threshold:
                 found[literal.start] = literal
     return list(found.values())
 
@@ -174,8 +178,12 @@ def find_spans(text: str, threshold: float = 0.5) -> list[Span]:
 
 def mask(text: str) -> str:
     """The text with each secret, not the name before it, replaced."""
-    out, at = [], 0
-    for start, end in sorted((s.secret_start, s.secret_end) for s in find_spans(text)):
+    out, at, secrets = [], 0, []
+    for kind, _, _, start, end in find_spans(text):
+        if kind == "assign" and (quoted := QUOTED.match(text, start - 1)):
+            end = max(end, quoted.end() - 1)
+        secrets.append((start, end))
+    for start, end in sorted(secrets):
         if end <= at:
             continue
         if start >= at:

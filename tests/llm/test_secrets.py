@@ -58,6 +58,15 @@ def test_literals_of_sensitive_names():
     assert literals("smtp.pwd: Xk9#mQ2$vL8\nport: 25") == ["Xk9#mQ2$vL8"]
 
 
+def test_phrases_are_secrets_of_certain_names():
+    phrase = "correct horse battery staple"
+    assert literals(f'password = "{phrase}"') == literals(f"passphrase: '{phrase}'") == [phrase]
+    assert literals(f'pass: "{phrase}"') == literals(f"passphrase: {phrase}") == []
+    assert secret_scan.mask(f'password = "{phrase}" x') == 'password = "[SECRET]" x'
+    assert secret_scan.mask(f'passphrase = "{phrase}"') == 'passphrase = "[SECRET]"'
+    assert secret_scan.mask("token: 'correct dummy staple' x") == "token: '[SECRET]' x"
+
+
 def test_constants_are_propagated():
     assert literals('A = "Xk9#mQ2$vL8"\ndb_pwd = A') == ["Xk9#mQ2$vL8"]
     assert literals('A = "Xk9#mQ2$"\nB = A + "vL8!!x"\ndb_pwd = B') == ["Xk9#mQ2$", "vL8!!x"]
