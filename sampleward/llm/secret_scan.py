@@ -6,8 +6,9 @@ lower-case hexadecimal digits). A match that is too short is dropped with what i
 
 The lexer adds the kind `literal`. At each assignment operator (=, :, :=, =>) it reads the name before
 it, plain, quoted or with a type between, and the value after it: quoted literals, names, and chains
-of these joined by + or standing side by side. Names stand for the literals last assigned to them, so a
-literal counts for each name it reaches through constants. It is reported when the sensitivity of the
+of these joined by +, after which the line may end, or standing side by side. Names stand for what was last
+assigned to them before, or else for their last value, so a literal counts for each name it reaches through
+constants. The literals of a value count each and, all of them, as what they are joined to. A literal is reported when the sensitivity of the
 name's words times the plausibility of the literal reaches `threshold`, unless a base span covers it.
 Spaces make a literal less plausible, but not a quoted one of a name that is a secret for certain.
 Masking takes a quoted literal in which an assigned base value begins to its end.
@@ -41,11 +42,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 OPERATOR = re.compile(r":=|=>|=(?!=)|:(?!:)")
+# For the text backwards, from the operator on.
 NAME_BEFORE = re.compile(
-    r"([\"'`]?)([A-Za-z_$][\w$.-]*)\1[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]|]*[ \t]*)?\Z", re.ASCII
+    r"[ \t]*+(?:[\w.\[\]|]*[A-Za-z_][ \t]*+:[ \t]*+)?([\"'`]?)([\w$.-]*[A-Za-z_$])\1", re.ASCII
 )
 TERM = re.compile(
-    r"[ \t]*(?:\+[ \t]*)?(?:[rbfu]{0,2}(?:\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)"
+    r"[ \t]*(?:\+\s*)?(?:[rbfu]{0,2}(?:\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)"
     r"|([A-Za-z_$][\w$.]*)(?![\w(\[]))",
     re.ASCII,
 )
@@ -53,8 +55,6 @@ BARE = re.compile(r"[ \t]*([^\s\"'`,;(){}\[\]<>]+)(?:[ \t]+[#;].*|[;,])?[ \t]*$"
 QUOTED = re.compile(r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`")
 NAME = re.compile(r"[A-Za-z_$][\w$.]*", re.ASCII)
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-# How far before an operator a name may begin, and how many terms a value may have.
-REACH, TERMS = 160, 64
 
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "pass": 0.7, "secret": 1.0,
@@ -118,52 +118,65 @@ def literal_score(text: str, phrase: bool = False) -> float:
     return min(1.0, score) * (0.5 if " " in text and not phrase else 1.0) * (entropy > 1.5)
 
 
-def value_after(text: str, at: int) -> tuple[list[Literal], list[str]]:
+def value_after(text: str, at: int) -> list[Literal | str]:
     """Literals and names of the value that begins at a place."""
-    literals, names = [], []
+    terms = []
     bare = BARE.match(text, at)
-    for _ in range(TERMS):
-        if not (m := TERM.match(text, at)):
-            break
+    while m := TERM.match(text, at):
         at = m.end()
         group = m.lastindex
-        if group == 4:
-            names.append(m[4])
-        else:
-            literals.append(Literal(m[group], *m.span(group), True))
-    if not literals and bare:  # an unquoted value that ends its line, as configuration files have
+        terms.append(m[4] if group == 4 else Literal(m[group], *m.span(group), True))
+    if bare and all(isinstance(t, str) for t in terms):  # an unquoted value that ends its line, as configuration files have
         name_like = NAME.fullmatch(bare[1]) and not any(map(str.isdigit, bare[1]))
         if not name_like:
-            literals.append(Literal(bare[1], *bare.span(1), False))
-    return literals, names
+            terms.append(Literal(bare[1], *bare.span(1), False))
+    return terms
 
 
 def assigned_literals(text: str, threshold: float) -> list[Literal]:
     """Literals that reach a sensitive name."""
-    values: dict[str, tuple[list[Literal], list[str]]] = {}
-    targets = []
+    values: dict[str, list] = {}
+    targets, backwards = [], ""
     for m in OPERATOR.finditer(text):
-        begin = max(0, m.start() - REACH)
-        if not (name := NAME_BEFORE.search(text, begin, m.start())):
+        backwards = backwards or text[::-1]
+        if not (name := NAME_BEFORE.match(backwards, len(text) - m.start())):
             continue
-        literals, names = value_after(text, m.end())
-        if not literals and not names:
+        if not (terms := value_after(text, m.end())):
             continue
-        score = name_score(name[2])
-        known = [values[n] for n in names if n in values]  # as last assigned before this place
-        literals = literals + [x for found, _ in known for x in found if x not in literals]
-        values[name[2]] = (literals, [n for n in names if n not in values])
-        if score:
-            targets.append((score, name[2], literals, names))
+        name = name[2][::-1]
+        # A name stands for what was last assigned to it before this place.
+        values[name] = value = [values.get(t, t) if isinstance(t, str) else t for t in terms]
+        if score := name_score(name):
+            targets.append((score, value))
     found = {}
-    for score, _, literals, names in targets:
-        later = [x for n in names if n in values for x in values[n][0]]
-        for literal in [*literals, *later]:
+    for score, value in targets:
+        parts = reached(value, values)
+        for literal in parts:
             if score * literal_score(literal.text, literal.quoted and score == 1.0) >= threshold:
                 found[literal.start] = literal
+        parts = [x for x in parts if x.quoted or x.text not in values]  # the others are names of values
+        whole, phrase = "".join(x.text for x in parts), score == 1.0 and all(x.quoted for x in parts)
+        if len(parts) > 1 and score * literal_score(whole, phrase) >= threshold:
+            found |= {x.start: x for x in parts if x.text}
     return list(found.values())
 
 
+def reached(value: list, values: dict[str, list]) -> list[Literal]:
+    """The literals of a value in order, each once, through all names; those not assigned before have their last value."""
+    literals, seen, waiting = {}, set(), [value]
+    while waiting:
+        term = waiting.pop()
+        if isinstance(term, Literal):
+            literals.setdefault(term.start, term)
+            continue
+        if isinstance(term, str):
+            term = values.get(term, [])
+        if id(term) not in seen:
+            seen.add(id(term))
+            waiting.extend(reversed(term))
+    return list(literals.values())
+
+
 def find_spans(text: str, threshold: float = 0.5) -> list[Span]:
     """All spans by start, then kind as in KINDS."""
     if not text:

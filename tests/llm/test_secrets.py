@@ -74,6 +74,18 @@ def test_constants_are_propagated():
     assert literals('A = "Xk9#mQ2$vL8"\nA = "zzPlain-01!"\ndb_pwd = A') == ["zzPlain-01!"]
 
 
+def test_constants_reach_names_by_any_way():
+    assert literals('db_pwd = A\nA = B\nB = "s3cr3tValue9"') == ["s3cr3tValue9"]
+    assert literals('db_pwd = A\nA = B\nB = A + "s3cr3tValue9"') == ["s3cr3tValue9"]
+    assert literals('db_pwd = "hu7$" + "eR2!x"') == literals('A = "hu7$"\ndb_pwd = A + "eR2!x"') == ["hu7$", "eR2!x"]
+    assert literals('db_password = "hunt" + "er2!x"') == ["hunt", "er2!x"]
+    assert literals('db_pwd = "Xk9#" +\n    "mQ2$" +\n    "vL8"') == ["Xk9#", "mQ2$", "vL8"]
+    assert literals(f'db_pwd{" " * 400}= "Xk9#mQ2$vL8"') == ["Xk9#mQ2$vL8"]
+    assert literals("db_pwd = " + " + ".join(["x"] * 100) + ' + "Xk9#mQ2$vL8"') == ["Xk9#mQ2$vL8"]
+    chain = "".join(f"A{i} = A{i + 1}\n" for i in range(2000))
+    assert literals(f'db_pwd = A0\n{chain}A2000 = "Xk9#mQ2$vL8"') == ["Xk9#mQ2$vL8"]
+
+
 def test_harmless_text_has_no_literals():
     for text in (
         'title = "Xk9#mQ2$vL8"', 'pwd_length = "Xk9#mQ2$vL8"', 'db_pwd = "changeme"', 'db_pwd = "${PWD_ENV}"',
