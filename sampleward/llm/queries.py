@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from sampleward.llm import (
     binary_output,
     byte_bpe,
+    language,
+    lexical,
     packing,
     quality,
+    resampling,
     secret_scan,
     sharding,
     simhash,
@@ -85,3 +88,19 @@ def op8_top_k(spark, sf):
 def op5_quality(spark, sf):
     docs = read(spark, sf, "documents")
     return quality.grade(docs, quality.train(docs, read(spark, sf, "labels")))
+
+
+@query
+def op11_language(spark, sf):
+    docs = read(spark, sf, "documents")
+    return language.identify(docs, language.train(docs))
+
+
+@query
+def op12_lexical(spark, sf):
+    return lexical.search(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@query
+def op13_resampling(spark, sf):
+    return resampling.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
