@@ -1,10 +1,12 @@
-"""The first n rows of an order, without gathering them in one task.
-
-A small n is a plain ORDER BY ... LIMIT. For a large one that would move n rows of every scan task
-into a single task. Instead the boundary is closed in on: a bounded sample of the current sort
-column gives two marks around it, one counting pass tells between which marks the n-th row lies,
-and only that part is looked at again, or its next sort column where many rows share one value.
-Rows before the boundary are taken by a filter alone, so they are neither shuffled nor sorted.
+"""The first n rows of an order, in two phases and without gathering them in one task.
+
+Phase 1 reads the sort column alone and finds the value at rank n, its mark: by ORDER BY ... LIMIT of that
+narrow column where few values move, else by closing in on it: a bounded sample gives two values around
+the mark, one counting pass tells between which of them it lies, and only that part is looked at again. Phase 2
+reads whole rows: those before the mark by a pushed filter, and only from the files that hold
+any where phase 1 has seen them. Rows at the mark are cut by the next sort column in the same way, or by
+ORDER BY ... LIMIT where they are few. The last sort columns are a row's file and its place there, so no two rows
+are alike and the same rows are found at all sizes.
 """
 
 from __future__ import annotations
@@ -14,8 +16,10 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sampleward.functions.compliance import oversample_share
 from sampleward.operators.ordering import (
@@ -30,10 +34,23 @@ from sampleward.settings import (
     SCAN_TASK_ROWS,
     SINGLE_TASK_ROWS,
     SINGLE_TASK_WIDE_ROWS,
+    SMALL_TABLE_ROWS,
     WRITE_TASK_ROWS,
 )
 from sampleward.sources.shared import stage
 
+FILE, PLACE = "_metadata.file_path", "_metadata.row_index"
+# Files named in a filter at most.
+NAMED_FILES = 10_000
+
+
+def has_columns(df: DataFrame, *names: str) -> bool:
+    """Whether rows still carry such columns; those of their file are gone in views and derived tables."""
+    try:
+        return bool(df.select(*names).columns)
+    except AnalysisException:
+        return False
+
 
 def scan_tasks(total: int) -> int:
     return math.ceil(total / SCAN_TASK_ROWS)
@@ -56,6 +73,19 @@ def compact(df: DataFrame, rows: int, total: int) -> DataFrame:
     return df.hint("rebalance") if tasks > 1 and rows < tasks * WRITE_TASK_ROWS else df
 
 
+@dataclass(frozen=True)
+class Nth:
+    """The value at a rank: how many rows come before it and share it, and the files that hold the rows before it.
+
+    Where exactly so many rows as the rank lie up to the mark, `before` may count all of them.
+    """
+
+    mark: Mark
+    before: int
+    same: int
+    files: list[str] | None = None
+
+
 def first_rows(
     df: DataFrame,
     keys: list[OrderKey],
@@ -64,10 +94,12 @@ def first_rows(
     single_task_rows: int | None = None,
     bracket_rows: int = BRACKET_ROWS,
     bracket: tuple[Mark, Mark] | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Exactly the first `n` rows by `keys`. `total` is the row count of `df`, counted if absent.
+    """Exactly the first `n` rows by `keys`, in that order if asked and they are few. `total` is the row count of `df`, counted if absent.
 
-    `bracket` may give the first two marks, where the distribution of the first key is known.
+    `bracket` may give two marks that very likely lie around the n-th row, where the distribution of the
+    first key is known. Of rows without a file that agree in all keys, any are taken.
     """
     if n <= 0:
         return df.limit(0)
@@ -75,55 +107,119 @@ def first_rows(
         total = df.count()
     if n >= total:
         return df
-    if fits_one_task(df, n, total, single_task_rows):
+    located, columns = has_columns(df, FILE, PLACE), sort_columns(keys)
+    if located:
+        keys = [*keys, OrderKey(F.col(FILE), T.StringType()), OrderKey(F.col(PLACE), T.LongType())]
+    small = SMALL_TABLE_ROWS if single_task_rows is None else single_task_rows
+    if total <= small and fits_one_task(df, n, total, single_task_rows):
+        # A few scan tasks, for which a second job takes longer than reading whole rows. No two rows are
+        # alike in the order, so these are the same rows.
         return df.orderBy(*sort_columns(keys)).limit(n)
+    pieces: list[DataFrame] = []
+    ties, need, size = F.lit(True), n, total
+    for level, key in enumerate(keys):
+        rest = df.filter(ties)
+        if level and fits_one_task(df, need, size, single_task_rows):
+            pieces.append(rest.orderBy(*sort_columns(keys[level:])).limit(need))
+            break
+        at = nth(rest, key, need, size, single_task_rows, bracket_rows, None if level else bracket, located)
+        if at is None:
+            # Fewer rows than `total` said: all of them are taken.
+            return df
+        whole = at.before + at.same == need
+        wanted = rest.filter(key.until(at.mark) if whole else key.before(at.mark))
+        if at.files is not None:
+            wanted = wanted.filter(F.col(FILE).isin(at.files))
+        pieces.append(wanted)
+        if whole:
+            break
+        need -= at.before
+        ties, size = ties & key.same(at.mark), at.same
+    else:
+        pieces.append(any_rows(df.filter(ties), need, size, single_task_rows))
+    found = reduce(DataFrame.unionAll, pieces)
+    if ordered and fits_one_task(df, n, n, single_task_rows):
+        return found.orderBy(*columns).limit(n)
+    return compact(found, n, total)
 
-    def small(rows: int) -> bool:
-        return fits_one_task(df, rows, rows, single_task_rows)
 
-    # Of the current column, rows up to `low` are taken and rows from `high` on are not.
-    taken: list[Column] = []
-    ties: Column = F.lit(True)
+def nth(
+    df: DataFrame,
+    key: OrderKey,
+    need: int,
+    size: int,
+    single_task_rows: int | None = None,
+    bracket_rows: int = BRACKET_ROWS,
+    bracket: tuple[Mark, Mark] | None = None,
+    located: bool = False,
+) -> Nth | None:
+    """The value at rank `need` of about `size` rows; None if there are fewer rows."""
+    bound = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     low = high = None
-    need, size, level, draw, wider = n, total, 0, 0, 1
-    while need > 0 and not small(size) and level < len(keys):
-        key = keys[level]
-        rest = df.filter(ties & _inside(key, low, high))
+    before, draw, wider = 0, 0, 1
+    if bracket is not None and need <= bound:
+        # Few rows come before the upper mark, so their keys can be put in order at once.
+        if found := _nth_of_few(df, df.filter(key.until(bracket[1])), key, need, 0, located):
+            return found
+        bracket = None
+    while min(size, (need - before) * scan_tasks(size)) > bound:
+        inside = df.filter(_inside(key, low, high))
         drawn = min(bracket_rows, max(1000, size // 20)) * wider
-        marks = bracket or _bracket(rest, key, need, size, drawn, seed=draw)
+        marks = bracket or _bracket(inside, key, need - before, size, drawn, seed=draw)
         bracket, draw, size_before = None, draw + 1, size
-        for part, rows in _counted(rest, key, _split(low, high, *marks)):
-            if need > rows:
-                need -= rows
+        for part, rows in _counted(inside, key, _split(low, high, *marks)):
+            if need - before > rows:
+                before += rows
                 continue
-            size = rows
-            if need == rows:
-                taken.append(ties & part.end(key))
-                need, low = 0, None
-            elif part.tie is None:
-                low, high = part.low, part.high
-                # A bracket that leaves nearly everything inside is drawn anew, with twice the values.
-                wider = 1 if size < 0.9 * size_before else 2 * wider
-            else:
-                taken.append(ties & key.before(part.tie))
-                ties, low, high = ties & key.same(part.tie), None, None
-                level, wider = level + 1, 1
+            if part.tie is not None:
+                return Nth(part.tie, before, rows)
+            low, high, size = part.low, part.high, rows
+            # A bracket that leaves nearly everything inside is drawn anew, with twice the values.
+            wider = 1 if size < 0.9 * size_before else 2 * wider
             break
         else:
-            # Fewer rows than `total` said: all of them are taken.
-            return df
+            return None
+    return _nth_of_few(df, df.filter(_inside(key, low, high)), key, need, before, located and low is None)
+
+
+def first_keys(df: DataFrame, key: OrderKey, need: int, located: bool) -> DataFrame:
+    """(kind, text, file, rank) of the first rows, of which nothing but the sort column is read."""
+    file = F.col(FILE) if located else F.lit(None).cast("string")
+    narrow = df.select(key.column.alias("value"), file.alias("file"))
+    value = OrderKey(F.col("value"), key.data_type, key.ascending)
+    order = value.sort_columns()
+    kind, text = value.mark_columns()
+    # The limit has put these rows into one task already.
+    rank = F.row_number().over(Window.orderBy(*order))
+    return narrow.orderBy(*order).limit(need).select(
+        kind.alias("kind"), text.alias("text"), "file", rank.alias("rank")
+    )
 
-    if low is not None:
-        taken.append(ties & key.until(low))
-    pieces = [df.filter(reduce(or_, taken))] if taken else []
-    if need > 0:
-        tail = df.filter(ties if level == len(keys) else ties & _inside(keys[level], low, high))
-        if level == len(keys):
-            # What is left agrees in every sort column, so any of it will do.
-            pieces.append(any_rows(tail, need, size, single_task_rows))
-        else:
-            pieces.append(tail.orderBy(*sort_columns(keys[level:])).limit(need))
-    return compact(reduce(DataFrame.unionAll, pieces), n, total)
+
+def _nth_of_few(
+    df: DataFrame, inside: DataFrame, key: OrderKey, need: int, before: int, located: bool
+) -> Nth | None:
+    """The value at rank `need` of df, which lies among the first of `inside`, where `before` rows are passed."""
+    rank = need - before
+    located = located and need <= NAMED_FILES
+    top = first_keys(inside, key, rank + 1, located)
+    mark = F.struct("kind", "text")
+    at, after, files = top.agg(
+        F.max(F.when(F.col("rank") == rank, mark)),
+        F.max(F.when(F.col("rank") == rank + 1, mark)),
+        F.collect_set(F.when(F.col("rank") <= rank, F.col("file"))),
+    ).first()
+    if at is None:
+        return None
+    files = files if located else None
+    found = Mark(at["kind"], at["text"])
+    if after is not None and after != at:
+        # All rows that share the mark are among the first, so rank `need` ends with them.
+        return Nth(found, need, 0, files)
+    before, same = df.filter(key.until(found)).agg(
+        F.count(F.when(key.before(found), 1)), F.count(F.when(key.same(found), 1))
+    ).first()
+    return Nth(found, before, same, files)
 
 
 def _bracket(
@@ -163,10 +259,6 @@ class Part:
     def condition(self, key: OrderKey) -> Column:
         return key.same(self.tie) if self.tie else _inside(key, self.low, self.high)
 
-    def end(self, key: OrderKey) -> Column:
-        """All rows up to the end of this part."""
-        return key.until(self.tie) if self.tie else _inside(key, None, self.high)
-
 
 def _inside(key: OrderKey, low: Mark | None, high: Mark | None) -> Column:
     inside = F.lit(True)

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sampleward.functions.compliance import block_percent_of, oversample_share
-from sampleward.operators.first_rows import any_rows, compact, first_rows, fits_one_task
+from sampleward.operators.first_rows import FILE, PLACE, compact, first_rows, has_columns
 from sampleward.operators.ordering import Mark, OrderKey, sample_order, tie_breakers
 from sampleward.sources.shared import stage
 
@@ -33,7 +33,7 @@ def sorted_sample(
     single_task_rows: int | None = None,
 ) -> DataFrame:
     """First `n` rows by one column, ties broken by all other orderable columns."""
-    return first_rows(df, sample_order(df, by, direction), n, total, single_task_rows)
+    return first_rows(df, sample_order(df, by, direction), n, total, single_task_rows, ordered=True)
 
 
 def random_sample(
@@ -43,16 +43,22 @@ def random_sample(
     total: int | None = None,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """Exactly `n` rows, each row with the same chance."""
+    """Exactly `n` rows, each row with the same chance: those whose places have the least hashes.
+
+    Hashes need no column, and the rows of a seed are the same at all sizes and in every run over the
+    same files. Relations whose rows have no place are drawn once instead.
+    """
     if n <= 0:
         return zero_sample(df)
     if total is None:
         total = df.count()
     if n >= total:
         return df
-    if fits_one_task(df, n, total, single_task_rows):
-        return df.orderBy(F.rand(seed)).limit(n)
-    return random_sample_scaled(df, n, seed, total, single_task_rows)
+    if not has_columns(df, FILE, PLACE):
+        return _drawn_sample(df, n, seed, total, single_task_rows)
+    key = OrderKey(F.xxhash64(F.lit(seed), F.col(FILE), F.col(PLACE)), T.LongType())
+    marks = (Mark("value", str(min(max(int((q - 0.5) * 2**64), -(2**63)), 2**63 - 1))) for q in _around(n, total))
+    return first_rows(df, [key], n, total, single_task_rows, bracket=tuple(marks))
 
 
 def random_sample_scaled(
@@ -62,15 +68,24 @@ def random_sample_scaled(
     total: int | None = None,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """Exactly `n` random rows for a large n: draw slightly more, keep them, cut to n.
+    """Exactly `n` random rows for a large n: the same rows, which need not be written before they are taken."""
+    return random_sample(df, n, seed, total, single_task_rows)
+
+
+def _around(n: int, total: int) -> tuple[float, float]:
+    """Shares of a uniform key's range between which its n-th of `total` values lies but for a negligible chance."""
+    spread = 6.0 * math.sqrt(n) + 8.0
+    return max(0.0, (n - spread) / total), min(1.0, (n + spread) / total)
+
+
+def _drawn_sample(
+    df: DataFrame, n: int, seed: int, total: int, single_task_rows: int | None
+) -> DataFrame:
+    """Slightly more than `n` rows are drawn and written with their random number, then cut to `n`.
 
-    The drawn rows are written once with their random number, so the cut sees fixed values even
-    after an executor is lost. A draw that falls short is repeated with a larger share.
+    The cut sees fixed values even after an executor is lost. A draw that falls short is repeated with a
+    larger share.
     """
-    if n <= 0:
-        return zero_sample(df)
-    if total is None:
-        total = df.count()
     share = oversample_share(n, total)
     while True:
         drawn = df.withColumn(KEY, F.rand(seed))
@@ -83,12 +98,14 @@ def random_sample_scaled(
     if rows <= n:
         return staged.drop(KEY)
     keys = [OrderKey(F.col(KEY), T.DoubleType())]
-    # The kept numbers are uniform, so the n-th smallest lies near its share of their range.
-    center = share * n / rows
-    spread = 6.0 * share * math.sqrt(n * (rows - n)) / rows**1.5
-    bracket = Mark("value", repr(center - spread)), Mark("value", repr(center + spread))
-    cut = first_rows(staged, keys, n, rows, single_task_rows, bracket=bracket)
-    return cut.drop(KEY)
+    marks = tuple(Mark("value", repr(share * q)) for q in _around(n, rows))
+    return first_rows(staged, keys, n, rows, single_task_rows, bracket=marks).drop(KEY)
+
+
+def _unmixed(column: Column) -> Column:
+    """A value as text that no other value, nor null, shares, also beside other values and colons."""
+    text = F.replace(F.replace(column.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+    return F.coalesce(text, F.lit("\\null"))
 
 
 def hash_sample(
@@ -99,17 +116,22 @@ def hash_sample(
     total: int | None = None,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """`n` rows that look random but are the same in every run: ordered by a hash of the key."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in key)))
-    keyed = df.withColumn(KEY, digest)
+    """`n` rows that look random but are the same in every run: ordered by a hash of the key, of which alone phase 1 reads."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(_unmixed(F.col(k)) for k in key)))
     used = {name.lower() for name in key}
     fields = {field.name.lower(): field.dataType for field in df.schema.fields}
     keys = [
-        OrderKey(F.col(KEY), T.StringType()),
+        OrderKey(digest, T.StringType()),
         *(OrderKey(F.col(name), fields[name.lower()]) for name in key),
         *tie_breakers(df, used),
     ]
-    return first_rows(keyed, keys, n, total, single_task_rows).drop(KEY)
+    if total is None:
+        total = df.count()
+    if n <= 0 or n >= total:
+        return first_rows(df, keys, n, total)
+    # Keys of many rows may put the n-th hash anywhere; the marks are only where it lies if they do not.
+    marks = tuple(Mark("value", f"{min(int(q * 2**64), 2**64 - 1):016x}") for q in _around(n, total))
+    return first_rows(df, keys, n, total, single_task_rows, bracket=marks)
 
 
 def block_sample(
@@ -129,10 +151,9 @@ def block_sample(
     percent = block_percent_of(total, n)
     if n <= 0 or percent == 0:
         return zero_sample(df)
-    if not _reads_files(df):
-        expected = max(1, total * percent // 100)
-        return _spread(df.sample(percent / 100.0, seed), n, expected, seed, single_task_rows)
-    order = F.xxhash64(F.lit(seed), F.col("_metadata.file_path"))
+    if not has_columns(df, FILE):
+        return random_sample(df, n, seed, total, single_task_rows)
+    order = F.xxhash64(F.lit(seed), F.col(FILE))
     # One row per file, counted without reading a column.
     files = df.groupBy(order.alias("hash")).count()
     before = Window.orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,19 +162,4 @@ def block_sample(
     last, rows = chosen.agg(F.max("hash"), F.sum("count")).first()
     if last is None:
         return zero_sample(df)
-    return _spread(df.filter(order <= last), n, rows, seed, single_task_rows)
-
-
-def _spread(df: DataFrame, n: int, rows: int, seed: int, single_task_rows: int | None) -> DataFrame:
-    """At most `n` of about so many rows, spread over all of them."""
-    share = oversample_share(n, rows)
-    thinned = df if share >= 1.0 else df.filter(F.rand(seed) < share)
-    return any_rows(thinned, n, max(n, int(rows * share)), single_task_rows)
-
-
-def _reads_files(df: DataFrame) -> bool:
-    """Whether rows still carry the name of the file they came from."""
-    try:
-        return bool(df.select("_metadata.file_path").columns)
-    except Exception:  # noqa: BLE001 - a view or a derived table has no such column
-        return False
+    return random_sample(df.filter(order <= last), n, seed, rows, single_task_rows)

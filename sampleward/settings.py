@@ -37,6 +37,8 @@ SINGLE_TASK_WIDE_ROWS = 20_000
 # Rows expected in one scan task, and the fewest rows worth a task of their own when writing.
 SCAN_TASK_ROWS = 500_000
 WRITE_TASK_ROWS = 10_000
+# A table of so many rows is not worth a look at its sort column before its rows are read.
+SMALL_TABLE_ROWS = 1_000_000
 # Values of a sort column looked at to bracket a threshold.
 BRACKET_ROWS = 100_000
 

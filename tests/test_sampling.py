@@ -2,15 +2,17 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sampleward.operators import first_rows as first_rows_module
 from sampleward.operators import sampling
 from sampleward.operators.first_rows import any_rows, first_rows
-from sampleward.operators.ordering import sample_order, tie_breakers
+from sampleward.operators.ordering import OrderKey, sample_order, tie_breakers
 
 
 def rank(value):
@@ -133,6 +135,9 @@ def test_block_sample_has_at_most_n_rows(spark, table):
     files = many.select("_metadata.file_path").distinct().count()
     assert files == 120
     assert 0 < got.count() <= 2500
+    # About the percentage of the files, and each one sampled over its whole length.
+    held = got.select(F.col("_metadata.file_path").alias("f")).groupBy("f").count().collect()
+    assert 120 * 42 // 100 - 2 <= len(held) <= 120 * 42 // 100 + 2 and min(r["count"] for r in held) > 20
     view = lineitem.groupBy("l_orderkey").count()
     assert sampling.block_sample(view, 5, seed=5).count() <= 5
 
@@ -186,7 +191,78 @@ def test_wide_rows_have_a_smaller_bound(table):
     assert not first_rows_module.fits_one_task(table("documents"), 100_000, 400_000, None)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
 def test_plans_stay_pruned(table):
     plan = sampling.sorted_sample(table("lineitem"), 10, "l_shipdate", "DESC")
-    text = plan._jdf.queryExecution().toString()
-    assert "TakeOrderedAndProject" in text
+    assert "TakeOrderedAndProject" in plan_of(plan)
+
+
+def test_phase_one_reads_the_sort_column_alone(table):
+    lineitem = table("lineitem")
+    for key, schema in [
+        (sample_order(lineitem, "l_shipdate", "DESC")[0], "ReadSchema: struct<l_shipdate:"),
+        (OrderKey(F.xxhash64(F.col(first_rows_module.FILE)), T.LongType()), "ReadSchema: struct<>"),
+    ]:
+        text = plan_of(first_rows_module.first_keys(lineitem, key, 10, True))
+        assert schema in text and text.count("ReadSchema") == 1, text
+        assert "," not in text.split("ReadSchema: struct<")[1].split(">")[0]
+
+
+def test_phase_two_pushes_the_mark_and_skips_files(spark, table):
+    parts = sampling.stage(table("lineitem").repartitionByRange(40, "l_shipdate"))
+    got = sampling.sorted_sample(parts, 65, "l_shipdate", "DESC", single_task_rows=100)
+    text = plan_of(got)
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    assert scans and all("l_shipdate" in s.split("PushedFilters: ")[1] for s in scans), scans
+    assert sampling.random_sample(parts, 20, 3, single_task_rows=100).select(F.col("_metadata.file_path")).distinct().count() <= 20
+    for sample in (got, sampling.random_sample(parts, 5, 3, single_task_rows=100), sampling.hash_sample(parts, 5, ["l_orderkey", "l_linenumber"], 3, single_task_rows=100)):
+        named = plan_of(sample).split("file_path")[1:]
+        assert named, "no file is named"
+    # Of 40 files by date, the last ones hold the latest rows.
+    assert len({*re.findall(r"part-\d+", text)}) < 6
+
+
+@pytest.mark.parametrize("sample", ["random", "hash", "sorted"])
+def test_rows_are_the_same_at_all_sizes(table, sample):
+    """On either side of each bound, and where the first key has few values or nulls."""
+    lineitem = sampling.stage(table("lineitem").repartition(12))
+    draw = {
+        "random": lambda n, bound: sampling.random_sample(lineitem, n, 3, single_task_rows=bound),
+        "hash": lambda n, bound: sampling.hash_sample(lineitem, n, ["l_returnflag", "l_linenumber"], 3, single_task_rows=bound),
+        "sorted": lambda n, bound: sampling.sorted_sample(lineitem, n, "l_returnflag", "ASC", single_task_rows=bound),
+    }[sample]
+    for n in (50, 2999):
+        want = bag(draw(n, None).collect())
+        assert sum(want.values()) == n
+        for bound in (10, 3000):
+            assert bag(draw(n, bound).collect()) == want, (n, bound)
+
+
+def test_rows_alike_in_all_columns_are_cut_by_their_place(spark):
+    same = sampling.stage(spark.range(900).selectExpr("1 AS a", "map(1, id % 4) AS m").repartition(5))
+    for n in (450,):
+        want = sorted(str(r) for r in sampling.sorted_sample(same, n, "a", "ASC").collect())
+        assert len(want) == n
+        again = sampling.sorted_sample(same, n, "a", "ASC", single_task_rows=20)
+        assert sorted(str(r) for r in again.collect()) == want
+
+
+def test_hash_keys_do_not_run_into_each_other(spark):
+    df = spark.createDataFrame([("a", "b:c"), ("a:b", "c"), ("a", None), (None, "a"), ("\\null", "a")], "x string, y string")
+    hashed = df.select(F.concat_ws(":", sampling._unmixed(F.col("x")), sampling._unmixed(F.col("y"))).alias("k"))
+    assert hashed.distinct().count() == 5
+    assert sampling.hash_sample(df, 4, ["x", "y"], 1).count() == 4
+
+
+def test_random_rows_are_even(table):
+    """Over many seeds, each row is drawn about equally often, wherever it lies."""
+    orders = sampling.stage(table("orders").repartition(6).select("o_orderkey"))
+    total, times = orders.count(), Counter()
+    for seed in range(6):
+        times.update(r[0] for r in sampling.random_sample(orders, 300, seed, total).collect())
+    share = 6 * 300 / total
+    counts = Counter(min(n, 8) for n in times.values())
+    assert abs(total - len(times) - total * (1 - 300 / total) ** 6) < 6 * math.sqrt(total) and counts[8] < 10

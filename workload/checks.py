@@ -370,7 +370,8 @@ RUN_LOG = f"""
 
 # Random rows differ by design; what must hold of them does not.
 FACTS = """
-    SELECT unnest(['has_n_rows', 'at_most_n_rows', 'from_source', 'fair']) AS fact, n >= 0 AS holds
+    SELECT unnest(['has_n_rows', 'at_most_n_rows', 'from_source', 'fair_by_storage', 'fair_by_date', 'fair_by_hash'])
+        AS fact, n >= 0 AS holds
     FROM (SELECT count(*) AS n FROM lineitem)"""
 
 # Kept deliveries, one after the other per command.

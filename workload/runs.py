@@ -10,8 +10,9 @@ from functools import reduce
 
 import pyarrow.fs as pafs
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sampleward.functions import config_json, text
 from sampleward.functions.compliance import granted_rows
@@ -367,23 +368,40 @@ def random_sample_scaled(spark, sf):
     return sampling.random_sample_scaled(df, n, SEED, total)
 
 
+def slices(column: str, parts: int, source: DataFrame) -> Column:
+    """Number of the slice of a column's range, in the order in which the table is stored or sorted."""
+    low, high = source.agg(F.min(column).cast("string"), F.max(column).cast("string")).first()
+    kind = source.schema[column].dataType
+    number = F.datediff if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else (lambda at, start: at - start)
+    low, high = F.lit(low).cast(kind), F.lit(high).cast(kind)
+    return F.floor(number(F.col(column), low) * F.lit(parts) / (number(high, low) + 1))
+
+
 def sample_facts(sample: DataFrame, source: DataFrame, n: int) -> DataFrame:
-    """(fact, holds): what must hold of any random sample of n rows, over all its rows."""
-    stratum = F.pmod(F.col("l_orderkey"), F.lit(4)).alias("stratum")
-    strata = source.groupBy(stratum).agg(F.count("*").alias("all"))
-    drawn = sample.groupBy(stratum).agg(F.count("*").alias("drawn"))
-    share = F.lit(n) / F.sum("all").over(Window.partitionBy())
-    # Within six standard deviations of what a stratum's share of the draw should be.
-    expected = F.col("all") * share
-    off = F.abs(F.coalesce("drawn", F.lit(0)) - expected) - 6 * F.sqrt(expected) - 1
-    fair = strata.join(drawn, "stratum", "left").select((off <= 0).alias("fair"))
+    """(fact, holds): what must hold of any random sample of n rows, over all its rows.
+
+    Strata are slices of the order in which rows are stored, slices of another column, and hashes: a prefix,
+    a file or the first rows of an order have no even shares in all of them.
+    """
+    strata = {
+        "fair_by_storage": slices("l_orderkey", 10, source),
+        "fair_by_date": slices("l_shipdate", 10, source),
+        "fair_by_hash": F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(10)),
+    }
     rows = F.count("*")
     facts = {
         "has_n_rows": sample.agg((rows == n).alias("holds")),
         "at_most_n_rows": sample.agg((rows <= n).alias("holds")),
         "from_source": sample.exceptAll(source).agg((rows == 0).alias("holds")),
-        "fair": fair.agg(F.bool_and("fair").alias("holds")),
     }
+    for name, stratum in strata.items():
+        there = source.groupBy(stratum.alias("stratum")).agg(F.count("*").alias("all"))
+        drawn = sample.groupBy(stratum.alias("stratum")).agg(F.count("*").alias("drawn"))
+        # Within six standard deviations of what a stratum's share of the draw should be.
+        expected = F.col("all") * F.lit(n) / F.sum("all").over(Window.partitionBy())
+        off = F.abs(F.coalesce("drawn", F.lit(0)) - expected) - 6 * F.sqrt(expected) - 1
+        fair = there.join(drawn, "stratum", "left").select((off <= 0).alias("fair"))
+        facts[name] = fair.agg(F.bool_and("fair").alias("holds"))
     return reduce(
         DataFrame.unionAll, (df.select(F.lit(name).alias("fact"), "holds") for name, df in facts.items())
     )
