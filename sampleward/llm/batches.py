@@ -14,11 +14,12 @@ from pyspark.sql.types import StructType
 ROWS = 1024
 
 
-def texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and text alone, a null text as the empty one; other columns are not read."""
+def texts(docs: DataFrame, text: str = "text", others: Iterable[str] = ()) -> DataFrame:
+    """doc_id, text and the named columns alone, a null text as the empty one; other columns are not read."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        *others,
     )
 
 

@@ -2,8 +2,9 @@
 
 Fingerprints are 64 bits, each the majority of that bit over the hashes of a text's word shingles.
 Two fingerprints link when they differ in at most `radius` bits. They are put into shards so that
-each linked pair meets in one at least: the bits are cut into radius + 1 bands, and fingerprints that
-agree in a band share the shard of its value, since `radius` differing bits leave one band untouched.
+each linked pair meets in one at least: the bits are cut into blocks, and fingerprints that agree in all
+blocks but `radius` share the shard of these values, since `radius` differing bits touch no more blocks than that.
+With more blocks a shard's key is longer, so shards stay small at any number of fingerprints.
 
 Every shard has a BK-tree, in which a child hangs below its parent by their Hamming distance; a probe
 follows only edges whose distance can lead into the radius. A shard with more fingerprints than
@@ -14,15 +15,14 @@ links in a tree only a spanning forest is kept. No candidate is capped.
 Classes are the connected components of the links. Nulls count as empty texts, whose fingerprint is
 zero and links like any other. Equal fingerprints are one node, so copies cost nothing further. A
 repeated row gives a row each. Rows without doc_id are linked, but name no class: a class in which no
-row has a doc_id has component_id null. Columns other than doc_id and text are ignored.
+row has a doc_id has component_id null. Texts of any length are hashed whole. Columns other than doc_id and
+text are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
-from itertools import groupby
-from math import acos, ceil, comb, pi
+from collections.abc import Iterable, Iterator
+from itertools import combinations, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -32,9 +32,12 @@ from pyspark.sql import functions as F
 
 from sampleward.llm.batches import map_rows, texts
 from sampleward.llm.components import components
+from sampleward.operators.first_rows import FILE, PLACE, has_columns
 from sampleward.sources.shared import stage
 
 SEED, BITS = 42, 64
+# Fingerprints up to which a shard's key is one block; shards of a block of 21 bits then have some hundred each.
+FEW = 1 << 29
 
 
 def shingles(text: str, words: int) -> list[bytes]:
@@ -64,14 +67,18 @@ def simhash(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fingerprint long for each row."""
+def fingerprints(docs: DataFrame, words: int = 3, placed: bool = False) -> DataFrame:
+    """doc_id, fingerprint long for each row, and if asked its file and place there."""
 
     def run(rows):
-        for doc_id, text in rows:
-            yield doc_id, simhash(shingle_hashes(text, words))
+        for text, *others in rows:
+            yield *others, simhash(shingle_hashes(text, words))
 
-    return map_rows(texts(docs), run, "doc_id long, fingerprint long")
+    others, schema = ["doc_id"], "doc_id long"
+    if placed:
+        docs = docs.withColumns({"__file": F.col(FILE), "__place": F.col(PLACE)})
+        others, schema = ["doc_id", "__file", "__place"], "doc_id long, __file string, __place long"
+    return map_rows(texts(docs, others=others[1:]).select("text", *others), run, f"{schema}, fingerprint long")
 
 
 class BKTree:
@@ -134,33 +141,29 @@ class Forest:
 
 
 def shard_links(
-    members: Iterable[tuple[int, int, bool, object]], radius: int | Callable, within: bool, alike=None
+    members: Iterable[tuple[int, bool]], radius: int, within: bool
 ) -> Iterator[tuple[int, int]]:
-    """Spanning links of one cell's members (node, fingerprint, is in the tree, payload).
+    """Spanning links of one cell's members (fingerprint, is in the tree).
 
     Members of the tree come first; they probe it only where links within the tree are asked for.
-    alike(payload, payload) may reject a link, and radius(payload) give each probe its own radius.
-    Nodes with one fingerprint share a place in the tree.
     """
-    reach = radius if callable(radius) else lambda payload: radius
     tree, forest, unsigned = BKTree(), Forest(), (1 << BITS) - 1
-    held: list[list[tuple[int, object]]] = []
-    for node, print_, in_tree, payload in members:
-        print_ &= unsigned
-        for place in tree.near(print_, reach(payload)) if within or not in_tree else ():
-            for other, others in held[place]:
-                if forest.root(other) != forest.root(node) and (alike is None or alike(payload, others)):
-                    forest.join(other, node)
-                    yield other, node
+    for node, in_tree in members:
+        print_ = node & unsigned
+        for place in tree.near(print_, radius) if within or not in_tree else ():
+            other = tree.prints[place]
+            if other != print_ and forest.join(other, print_):
+                yield _signed(other), node
         if in_tree:
-            place = tree.add(print_)
-            if place == len(held):
-                held.append([])
-            held[place].append((node, payload))
+            tree.add(print_)
+
+
+def _signed(print_: int) -> int:
+    return print_ - (1 << BITS) if print_ >> (BITS - 1) else print_
 
 
 def deal(members: DataFrame, tree_size: int) -> DataFrame:
-    """Members (shard, node, ...) with the tree they belong to or probe: cell, in_tree.
+    """Members (shard, node) with the tree they belong to or probe: cell, in_tree.
 
     A shard of up to tree_size members is one cell. A larger one is dealt into parts by a hash; for
     parts i <= j there is a cell with the tree of part i, probed by part j.
@@ -176,46 +179,45 @@ def deal(members: DataFrame, tree_size: int) -> DataFrame:
     )
 
 
-def links(members: DataFrame, radius: int | Callable, tree_size: int, alike=None) -> DataFrame:
-    """(a, b) spanning links of nodes in members (shard, node, fingerprint[, payload])."""
-    payload = "payload" if "payload" in members.columns else F.lit(None).cast("int").alias("payload")
-    cells = deal(members, tree_size).select(
-        "shard", "cell.tree", "cell.probe", (~F.col("in_tree")).alias("probing"), "node", "fingerprint", payload
-    )
-    cells = cells.repartition("shard", "tree", "probe").sortWithinPartitions(
-        "shard", "tree", "probe", "probing", "fingerprint", "node"
-    )
+def links(members: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """(a, b) spanning links of nodes in members (shard, node), a node being its fingerprint."""
+    cells = deal(members, tree_size).select("shard", "cell.tree", "cell.probe", (~F.col("in_tree")).alias("probing"), "node")
+    cells = cells.repartition("shard", "tree", "probe").sortWithinPartitions("shard", "tree", "probe", "probing", "node")
 
     def run(rows):
         for (_, tree, probe), cell in groupby(rows, key=itemgetter(0, 1, 2)):
-            cell = ((node, print_, not probing, payload) for *_, probing, node, print_, payload in cell)
-            yield from shard_links(cell, radius, tree == probe, alike)
+            yield from shard_links(((node, not probing) for *_, probing, node in cell), radius, tree == probe)
 
     return map_rows(cells, run, "a long, b long")
 
 
-def bands(prints: DataFrame, radius: int) -> DataFrame:
-    """(shard, node, fingerprint): each distinct fingerprint in the shard of each of its bands."""
-    count = radius + 1
-    edges = [BITS * i // count for i in range(count + 1)]
-    shards = []
-    for i, (low, high) in enumerate(zip(edges, edges[1:])):
-        mask = (1 << (high - low)) - 1
-        value = F.shiftrightunsigned("fingerprint", low).bitwiseAND(F.lit(mask).cast("long"))
-        shards.append(F.struct(F.lit(i).alias("band"), value.alias("value")))
-    return prints.select(
-        F.explode(F.array(*shards)).alias("shard"), F.col("fingerprint").alias("node"), "fingerprint"
-    )
+def shards(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(shard, node): each fingerprint in the shard of each choice of all blocks but `radius`."""
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    masks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
+    keys = []
+    for number, chosen in enumerate(combinations(masks, blocks - radius)):
+        value = F.col("fingerprint").bitwiseAND(F.lit(_signed(sum(chosen))).cast("long"))
+        keys.append(F.struct(F.lit(number).alias("choice"), value.alias("value")))
+    return prints.select(F.explode(F.array(*keys)).alias("shard"), F.col("fingerprint").alias("node"))
+
+
+def linked(prints: DataFrame, radius: int, tree_size: int, blocks: int | None = None) -> DataFrame:
+    """(node, root) of all fingerprints that link with another; root is the least one of the class."""
+    if blocks is None:
+        # Either number of blocks gives the same links.
+        blocks = radius + 1 if prints.count() <= FEW else radius + 4
+    distinct = prints.select("fingerprint").distinct()
+    return components(links(shards(distinct, radius, blocks), radius, tree_size))
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 3, radius: int = 2, tree_size: int = 2048
+    docs: DataFrame, words: int = 3, radius: int = 2, tree_size: int = 2048, blocks: int | None = None
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the class) for each row."""
     prints = stage(fingerprints(docs, words), "simhash")
     first = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    found = components(links(bands(first, radius), radius, tree_size))
-    joined = first.join(found, F.col("fingerprint") == F.col("node"), "left")
+    joined = first.join(linked(prints, radius, tree_size, blocks), F.col("fingerprint") == F.col("node"), "left")
     joined = joined.withColumn("root", F.coalesce("root", "fingerprint"))
     classes = joined.join(joined.groupBy("root").agg(F.min("first").alias("component_id")), "root")
     classes = classes.select("fingerprint", "component_id")
@@ -224,125 +226,21 @@ def near_duplicates(
     )
 
 
-# Similar texts: shard keys, each made of two least hashes.
-KEYS = 12
-FACTORS = np.array([2 * xxhash.xxh64_intdigest(str(i), 1) % 2**64 + 1 for i in range(2 * KEYS)], dtype=np.uint64)
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """The Jaccard similarity of two sets of 64-bit hashes, each in order; 1 if both are empty."""
-    a, b = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-    both = np.concatenate([a, b])
-    both.sort(kind="stable")
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return common / (len(both) - common) if len(both) else 1.0
-
-
-def similar(a: bytes, b: bytes, least: float) -> bool:
-    """Whether the similarity reaches `least`; sets too different in size are not compared."""
-    low, high = sorted((len(a), len(b)))
-    return (low == high or low / high >= least) and similarity(a, b) >= least
-
-
-def shard_keys(hashes: np.ndarray) -> list[int]:
-    """Keys that texts of similarity s share with probability 1 - (1 - s * s) ** KEYS."""
-    if not len(hashes):
-        return [0]
-    least = [(hashes * factor).min() for factor in FACTORS]
-    pairs = zip(range(KEYS), least[0::2], least[1::2])
-    return [
-        int.from_bytes(xxhash.xxh64_digest(bytes([k]) + a.tobytes() + b.tobytes()), "big", signed=True)
-        for k, a, b in pairs
-    ]
-
-
-# The radius for similar texts: chance that it loses a pair, and shingles up to which chances are summed up.
-LOSS, SUMMED = 1e-6, 64
-
-
-def differing(n: int, least: float) -> float:
-    """The greatest chance that a bit differs between SimHashes of n and of other shingles of that similarity."""
-    if n > SUMMED:
-        return acos(2 * least / (1 + least)) / pi + 0.005
-
-    def over(common: int, rest: int) -> np.ndarray:
-        """Per number of ones in the common shingles, the chance that they and the rest have a majority."""
-        half = (common + rest) // 2
-        return np.array([sum(comb(rest, k) for k in range(max(0, half + 1 - c), rest + 1)) / 2**rest for c in range(common + 1)])
-
-    most = 0.0
-    for m in range(ceil(least * n - 1e-9), int(n / least + 1e-9) + 1):
-        common = ceil(least * (n + m) / (1 + least) - 1e-9)
-        if common <= min(n, m):
-            a, b = over(common, n - common), over(common, m - common)
-            ones = np.array([comb(common, c) / 2**common for c in range(common + 1)])
-            most = max(most, float((ones * (a * (1 - b) + b * (1 - a))).sum()))
-    return most
-
-
-@lru_cache(maxsize=None)
-def radius_for(n: int, least: float) -> int:
-    """Bits in which SimHashes of n and of other distinct shingles of that similarity differ at most, but for LOSS."""
-    if n > SUMMED + 1:
-        return radius_for(SUMMED + 1, least)
-    p = differing(n, least)
-    tail, radius = 1.0, -1
-    while tail > LOSS:
-        radius += 1
-        tail -= comb(BITS, radius) * p**radius * (1 - p) ** (BITS - radius)
-    return radius
-
-
 def distinct_documents(
-    docs: DataFrame, words: int = 5, least: float = 0.8, tree_size: int = 1024
+    docs: DataFrame, words: int = 3, radius: int = 2, tree_size: int = 2048, blocks: int | None = None
 ) -> DataFrame:
     """One document of each class of near-duplicates, with its columns as they are.
 
-    Texts are near-duplicates if the similarity of their sets of word shingles reaches `least`; each link is
-    held against the sets of shingle hashes. SimHashes are those of the sets, so that repeats have no weight,
-    and are probed within the radius that such texts keep. Fingerprints that far apart need not agree in a
-    band, so the shards are those of the texts' shard keys. The document of least doc_id stays, one without
-    doc_id only if the class has no other; of repeated rows one stays.
+    The document of least doc_id stays, one without doc_id only if the class has no other; of repeated rows one stays.
+    Rows are told apart by their places in files, so texts are read once for the fingerprints and once for the
+    result; rows without such places are written to the shared folder first.
     """
-    held = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "distinct")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    source = held.select(
-        "__row", F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("digest"),
-        text.alias("text"),
-    )
-
-    def run(rows):
-        for row, doc_id, digest, text in rows:
-            hashes = np.unique(shingle_hashes(text, words))
-            yield row, doc_id, digest, simhash(hashes), shard_keys(hashes)
-
-    def sets(rows):
-        for row, text in rows:
-            yield row, np.unique(shingle_hashes(text, words)).tobytes()
-
-    schema = "node long, doc_id long, digest string, fingerprint long, keys array<long>"
-    prints = stage(map_rows(source, run, schema), "prints")
-    # Equal texts are one node: the one to keep.
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
-    columns = ["node", "doc_id", "fingerprint", "keys"]
-    first = prints.groupBy("digest").agg(F.min_by(F.struct(*columns), order).alias("first")).select("first.*")
-    first = stage(first, "texts")
-    keyed = first.select("node", F.explode("keys").alias("shard"))
-    # Of shards with the same nodes one is enough.
-    nodes = [F.count("*").alias("nodes"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
-    shared = keyed.groupBy("shard").agg(*nodes).where("nodes > 1").toDF("shard", "nodes", "x", "y")
-    shared = shared.groupBy("nodes", "x", "y").agg(F.min("shard").alias("shard")).select("shard")
-    members = stage(keyed.join(shared, "shard"), "members")
-    # Sets are made anew for those that meet others; long texts, so few rows at once.
-    wanted = source.join(members.select(F.col("node").alias("__row")).distinct(), "__row").select("__row", "text")
-    hashes = stage(map_rows(wanted, sets, "node long, payload binary", size=64), "hashes")
-    members = members.join(first.select("node", "fingerprint"), "node").join(hashes, "node")
-
-    def radius(payload: bytes) -> int:
-        return radius_for(len(payload) // 8, least)
-
-    found = components(links(members, radius, tree_size, lambda a, b: similar(a, b, least)))
-    roots = first.select("node", "doc_id").join(found, "node", "left")
-    kept = roots.groupBy(F.coalesce("root", "node")).agg(F.min_by("node", order).alias("__row")).select("__row")
-    gone = prints.select(F.col("node").alias("__row")).join(kept, "__row", "left_anti")
-    return held.join(gone, "__row", "left_anti").select(*(held[c] for c in docs.columns))
+    held = docs if has_columns(docs, FILE, PLACE) else stage(docs, "distinct")
+    prints = stage(fingerprints(held, words, placed=True), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__file", "__place")
+    first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    joined = first.join(linked(prints, radius, tree_size, blocks), F.col("fingerprint") == F.col("node"), "left")
+    kept = joined.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("first").alias("kept"))
+    kept = kept.select("kept.__file", "kept.__place")
+    placed = held.withColumns({"__file": F.col(FILE), "__place": F.col(PLACE)})
+    return placed.join(kept, ["__file", "__place"], "left_semi").select(*docs.columns)

@@ -57,8 +57,8 @@ def test_near_duplicates_equal_brute_force(spark):
         if d is not None:
             least[root(i)] = min(d, least.get(root(i), d))
     want = [(d, f"{prints[i]:016x}", least.get(root(i))) for i, (d, _) in enumerate(rows)]
-    for tree_size in (2048, 2):
-        got = simhash.near_duplicates(df, tree_size=tree_size).collect()
+    for tree_size, blocks in ((2048, None), (2, None), (2, 6), (2048, 5)):
+        got = simhash.near_duplicates(df, tree_size=tree_size, blocks=blocks).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 

@@ -7,6 +7,7 @@ import numpy as np
 import corpus_pipeline
 from helpers import ODD, documents, words
 from sampleward.llm import quality, secret_scan, simhash
+from sampleward.sources.shared import stage
 
 
 def labelled(spark, n=240):
@@ -62,19 +63,14 @@ def test_odd_documents_and_labels(spark):
     assert quality.grade(docs.limit(0), model).count() == 0
 
 
-def jaccard(a, b):
-    a, b = (set(simhash.shingles(t or "", 5)) for t in (a, b))
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
 def near_rows():
     draw, rows = random.Random(5), []
     for group in range(15):
-        base = words(group, 300, 10**6).split(" ")
+        base = words(group, 900, 10**6).split(" ")
         for _ in range(4):
             copy = list(base)
-            for _ in range(draw.randrange(0, 4)):
-                copy[draw.randrange(300)] = "zz"
+            for _ in range(draw.randrange(0, 3)):
+                copy[draw.randrange(len(copy))] = "zz"
             rows.append(" ".join(copy))
     rows += [words(1000 + i, 120, 10**6) for i in range(60)]  # alone
     half = words(5000, 150, 10**6)
@@ -85,8 +81,9 @@ def near_rows():
 
 def test_distinct_documents_equal_brute_force(spark):
     texts = [*near_rows(), *ODD, None, "  ", "A a", "a  A"]
-    rows = list(enumerate(texts)) + [(7, texts[7]), (None, texts[9]), (None, "alone without id")]
-    docs = documents(spark, rows).selectExpr("*", "'x' AS node", "'y' AS digest", "'z' AS root")
+    rows = list(enumerate(texts)) + [(7, texts[7]), (7, texts[7]), (None, texts[9]), (None, "alone without id"), (None, "alone without id")]
+    docs = documents(spark, rows).selectExpr("*", "'x' AS node", "'y' AS fingerprint", "'z' AS root", "1 AS place")
+    prints = [simhash.simhash(simhash.shingle_hashes(t or "", 3)) & (1 << 64) - 1 for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -96,56 +93,22 @@ def test_distinct_documents_equal_brute_force(spark):
 
     for i in range(len(rows)):
         for j in range(i):
-            if jaccard(rows[i][1], rows[j][1]) >= 0.8:
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
                 parent[root(i)] = root(j)
     classes = {}
-    for i, (d, _) in enumerate(rows):
-        classes.setdefault(root(i), []).append((d is None, d if d is not None else -1))
-    want = sorted(min(c) for c in classes.values())
-    for tree_size in (1024, 2):
-        got = simhash.distinct_documents(docs, tree_size=tree_size)
+    for i, (d, t) in enumerate(rows):
+        classes.setdefault(root(i), []).append((d is None, -1 if d is None else d, t))
+    want = sorted(min(c, key=lambda r: r[:2])[:2] for c in classes.values())
+    assert len(rows) - len(want) > 30
+    # Rows with and without places in files, in shards of one tree and of many, of one block and of four.
+    written = stage(docs.repartition(5))
+    for source, setting in [(docs, {}), (written, {"tree_size": 2}), (written, {"blocks": 6})]:
+        got = simhash.distinct_documents(source, **setting)
         assert got.columns == docs.columns
         assert sorted((r.doc_id is None, -1 if r.doc_id is None else r.doc_id) for r in got.collect()) == want
     assert simhash.distinct_documents(docs.limit(0)).count() == 0
 
 
-def test_copies_that_differ_in_repeated_lines(spark):
-    texts = []
-    for i in range(12):
-        base, line = words(i, 300, 10**6), words(100 + i, 25, 10**6)
-        texts += [base, "\n".join([base, *[line] * 40])]
-        assert jaccard(*texts[-2:]) > 0.85
-    kept = simhash.distinct_documents(documents(spark, enumerate(texts))).collect()
-    assert sorted(r.doc_id for r in kept) == list(range(0, 24, 2))
-
-
-def test_pairs_around_the_least_similarity(spark):
-    draw, texts, want = random.Random(6), [], []
-    for i in range(240):
-        base = words(i, n := draw.choice([150, 600]), 10**6)
-        rest = int(n * (1 - (j := draw.uniform(0.75, 0.85))) / j)
-        grown = f"{base} {words(1000 + i, rest, 10**6)}"
-        want += [2 * i] if jaccard(base, grown) >= 0.8 else [2 * i, 2 * i + 1]
-        texts += [base, grown]
-    assert 300 < len(want) < 420
-    kept = simhash.distinct_documents(documents(spark, enumerate(texts))).collect()
-    assert sorted(r.doc_id for r in kept) == want
-
-
-def test_radius_keeps_similar_sets():
-    draw = np.random.default_rng(4)
-    for n in (4, 5, 9, 40, 64, 65, 400):
-        union = n * 5 // 4
-        common = -(-4 * union // 5)
-        sets = [draw.integers(0, 2**64, union, dtype=np.uint64) for _ in range(300)]
-        # One set within the other, and both with hashes of their own.
-        pairs = [(s[:common], s) if k % 2 else (s[: (u := (union + common) // 2)], np.r_[s[:common], s[u:]]) for k, s in enumerate(sets)]
-        for a, b in pairs:
-            if len(np.intersect1d(a, b)) / union >= 0.8:
-                distance = (simhash.simhash(a) ^ simhash.simhash(b)) & (2**64 - 1)
-                assert distance.bit_count() <= min(simhash.radius_for(len(a), 0.8), simhash.radius_for(len(b), 0.8))
-
-
 def test_pipeline_stages(spark, tmp_path):
     rows, labels = labelled(spark, 120)
     clean = [i for i, _ in rows if i % 6 > 1]
