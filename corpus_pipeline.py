@@ -19,7 +19,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates on five-word shingles of similarity 0.8 or more."""
+    """One document of each class of near-duplicates by SimHash, in the sense of op9_simhash."""
     return simhash.distinct_documents(docs)
 
 
