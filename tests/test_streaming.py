@@ -3,6 +3,7 @@
 import base64
 import json
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,6 +18,7 @@ from sampleward.streaming.commands import (
     run_command_stream,
     transfer_notification,
 )
+from sampleward.streaming.repeats import first_deliveries, step_function
 
 STAMP = "2022-10-07T11:01:38.5Z"
 RUN = "projects/P/locations/L/transferConfigs/C/runs/R"
@@ -238,20 +240,80 @@ def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
     assert calls == [(1665140498, "")]
 
 
-def test_repeats_beyond_the_delay_count_anew(spark):
-    import random
-    from datetime import timedelta
-
-    draw, start = random.Random(4), datetime(2024, 1, 1)
-    rows = [(k, start + timedelta(seconds=draw.randrange(400_000)), i) for i, k in enumerate(["hot"] * 900 + ["a", None] * 60)]
-    rows += [("b", start + timedelta(minutes=m), 1000 + m) for m in (0, 20, 21, 40, 41, 42, 300)]
-    df = spark.createDataFrame(rows, "command string, ts timestamp, note long")
+def brute_deliveries(rows):
+    """Rows (key, time, note): those kept one after the other; one without a time per key."""
     want, kept = [], {}
-    for command, at, note in sorted(rows, key=lambda r: (r[1], r[2])):
-        if command not in kept or at > kept[command] + timedelta(minutes=20):
-            kept[command] = at
+    for command, at, note in sorted(rows, key=lambda r: (r[1] is not None, r[1] or START_TIME, r[2])):
+        place = (command, at is None)
+        if place not in kept or (at is not None and at > kept[place] + timedelta(minutes=20)):
+            kept[place] = at
             want.append((command, at, note))
-    got = [tuple(r) for r in idempotent_commands(df, ["command"], "ts").collect()]
-    assert sorted(map(str, got)) == sorted(map(str, want))
-    assert [r[2] - 1000 for r in sorted(want, key=str) if r[0] == "b"] == [0, 21, 42, 300]
-    assert idempotent_commands(df.limit(0), ["command"], "ts").count() == 0
+    return want
+
+
+START_TIME = datetime(2024, 1, 1)
+
+
+def repeated_rows():
+    draw = random.Random(4)
+    rows = [(k, START_TIME + timedelta(seconds=draw.randrange(400_000)), i) for i, k in enumerate(["hot"] * 900 + ["a", None] * 60)]
+    rows += [("b", START_TIME + timedelta(minutes=m), 1000 + m) for m in (0, 20, 21, 40, 41, 42, 300)]
+    rows += [("once", START_TIME, 5000), ("soon", START_TIME, 5001), ("soon", START_TIME + timedelta(minutes=19), 5002)]
+    rows += [("hot", None, 6001), ("hot", None, 6000), ("never", None, 6002), (None, None, 6003), ("once", START_TIME, 4999)]
+    return rows
+
+
+@pytest.mark.parametrize("range_rows", [10**6, 400, 37, 3])
+def test_repeats_beyond_the_delay_count_anew(spark, range_rows):
+    rows = repeated_rows()
+    df = spark.createDataFrame(rows, "command string, ts timestamp, note long")
+    got = [tuple(r) for r in first_deliveries(df, ["command"], "ts", "20 minutes", range_rows).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute_deliveries(rows)))
+    assert sorted(n - 1000 for c, _, n in got if c == "b") == [0, 21, 42, 300]
+    assert first_deliveries(df.limit(0), ["command"], "ts", "20 minutes").count() == 0
+
+
+def test_repeats_in_rows_of_any_type(spark):
+    rows = repeated_rows()
+    df = spark.createDataFrame(rows, "command string, ts timestamp, note long").selectExpr(
+        "struct(command, 1 AS one) AS command", "ts", "map('note', note) AS by_name", "parse_json(to_json(struct(note))) AS document"
+    )
+    out = first_deliveries(df, ["command"], "ts", "20 minutes", 100)
+    assert out.dtypes == df.dtypes
+    got = out.selectExpr("command.command", "ts", "by_name['note']", "variant_get(document, '$.note', 'long')").collect()
+    assert all(by_name == note for *_, by_name, note in got)
+    assert sorted(str(tuple(r[:2])) for r in got) == sorted(str(r[:2]) for r in brute_deliveries(rows))
+
+
+def test_steps_of_a_range_are_those_of_its_times():
+    draw = random.Random(9)
+    for _ in range(200):
+        times = sorted(draw.sample(range(100, 400), draw.randrange(1, 60)))
+        delay = draw.randrange(1, 80)
+        bounds, ends = step_function(times, delay)
+        for kept in [*range(20, times[0]), -(10**9)]:
+            i = next((i for i, b in enumerate(bounds) if b > kept + delay), None)
+            want = kept
+            for t in times:
+                want = t if t > want + delay else want
+            assert (kept if i is None else ends[i]) == want
+
+
+def test_repeated_commands_of_a_table_equal_the_stream(spark, tmp_path):
+    base, folder = datetime(2024, 1, 1), str(tmp_path / "messages")
+    rows = []
+    for i, (body, _, _) in enumerate(ROUTES):
+        for repeat in range(1 + i % 3):
+            rows.append((encode(json.dumps(body)), STAMP, base + timedelta(seconds=i, minutes=4 * repeat)))
+    spark.createDataFrame(rows, "data string, publish_time string, arrived timestamp").coalesce(1).write.parquet(folder)
+    table = command_stream(spark.read.parquet(folder))
+    stream = command_stream(spark.readStream.schema("data string, publish_time string, arrived timestamp").parquet(folder))
+    keys = ["data", "publish_time"]
+    batch = idempotent_commands(table, keys, "arrived")
+    assert batch.dtypes == table.dtypes
+    streamed = drain(idempotent_commands(stream, keys, "arrived").drop("document"), tmp_path / "c", "command_repeats")
+    columns = ["data", "publish_time", "payload", "timestamp"]
+    got = sorted(map(str, batch.select(*columns).collect()))
+    assert got == sorted(map(str, streamed.select(*columns).collect())) and len(got) == len({r[0] for r in rows})
+    assert batch.select("arrived").distinct().count() == len(got)
+    assert route_commands(batch).where("error IS NULL").count() == 9
