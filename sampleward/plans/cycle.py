@@ -47,6 +47,13 @@ from sampleward.plans.jobs import (
     target_mapping,
     validate_job,
 )
+from sampleward.plans.orders import (
+    common_prefix,
+    covered_requests,
+    latest_requests,
+    one_order,
+    order_outcomes,
+)
 from sampleward.plans.records import dead_letter, run_log
 from sampleward.schemas import OUTCOME, ROW_COUNT, TABLE_KEY
 from sampleward.settings import ERROR_SEPARATOR, CycleConfig
@@ -69,12 +76,13 @@ LOG_LABELS = {"sampling_log": "true"}
 
 @dataclass(frozen=True)
 class CycleResult:
-    """`status` is DONE or LOCKED. `log` has one row per table, `errors` one per error."""
+    """`status` is DONE or LOCKED. `log` has one row per table and time, `errors` one per error, `commands` one per order."""
 
     status: str
     log: DataFrame | None = None
     errors: DataFrame | None = None
     dropped: tuple[str, ...] = ()
+    commands: DataFrame | None = None
 
 
 def sample_by_spec(
@@ -127,15 +135,22 @@ def count_tables(
     return small_table(spark, rows, ROW_COUNT)
 
 
-def resolve_requests(spark: SparkSession, config: CycleConfig, prefix: str = "") -> DataFrame:
-    """Effective limit, size and spec of every table that has a policy."""
-    objects = scan_config_objects(spark, config.policy_root, prefix)
-    policies = table_policies(objects)
-    if prefix:
-        objects = scan_config_objects(spark, config.policy_root, config.default_policy_path)
+def resolve_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> DataFrame:
+    """A row per order and table it covers, with the effective limit and what is to be sampled.
+
+    Both config roots are listed once for all orders. A SAMPLE_START for a table without a policy is
+    capped by the default policy.
+    """
+    prefix = common_prefix(orders)
+    objects = scan_config_objects(spark, config.policy_root, config.default_policy_path, exact=True)
     default = default_policy(objects, config.default_policy_path)
+    policies = stage(table_policies(scan_config_objects(spark, config.policy_root, prefix)), "policies")
     requests = table_requests(scan_config_objects(spark, config.request_root, prefix))
-    return effective_request(effective_policy(policies, default), requests)
+    asked = orders.where("route = 'SAMPLE_START'").select(*TABLE_KEY).distinct()
+    unknown = asked.join(policies, TABLE_KEY, "left_anti")
+    known = policies.unionByName(unknown, allowMissingColumns=True)
+    effective = effective_request(effective_policy(known, default), requests)
+    return covered_requests(effective, policies, orders)
 
 
 def plan_jobs(
@@ -153,7 +168,8 @@ def plan_jobs(
         target_location,
     ).withColumn("amount", F.coalesce("granted", F.lit(0).cast("bigint")))
     checked = target_collisions(validate_job(plan, columns))
-    return checked.withColumn("error_code", F.coalesce("error_code", "job_error")).drop("job_error")
+    foreign = F.when(F.coalesce("target_project", F.lit(target_project)) != target_project, "FOREIGN_TARGET")
+    return checked.withColumn("error_code", F.coalesce("error_code", foreign, "job_error")).drop("job_error")
 
 
 def find_tables(
@@ -177,29 +193,38 @@ def run_cycle(
     spark: SparkSession, config: CycleConfig, cycle_ts: int | None = None, prefix: str = ""
 ) -> CycleResult:
     """Run one cycle, or only the part of it under a config `prefix`."""
-    cycle_ts = int(time.time()) if cycle_ts is None else cycle_ts
-    lock_objects = scan_config_objects(spark, config.request_root, config.lock_path)
+    return run_orders(spark, config, one_order(spark, int(time.time()) if cycle_ts is None else cycle_ts, prefix))
+
+
+def run_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> CycleResult:
+    """Run all orders of a batch as one plan: each table is sampled once per target, and every order is logged."""
+    lock_objects = scan_config_objects(spark, config.request_root, config.lock_path, exact=True)
     if object_present(lock_objects, config.lock_path):
         LOG.warning("Sampling is locked by %s, nothing is changed", config.lock_path)
         return CycleResult("LOCKED")
-    if not prefix:
+    orders = stage(orders, "orders")
+    whole = not orders.where("route = 'START'").isEmpty()
+    if whole:
         drop_orphan_staging(spark, config.staging_prefix)
 
-    requests = stage(resolve_requests(spark, config, prefix), "requests")
-    keys = (tuple(row) for row in requests.select(*TABLE_KEY).toLocalIterator())
+    covered = stage(resolve_orders(spark, config, orders), "requests")
+    requests = stage(latest_requests(covered), "latest")
+    keys = (tuple(row) for row in requests.select(*TABLE_KEY).distinct().toLocalIterator())
     tables = find_tables(spark, config, keys)
     datasets = {(project, dataset): dataset for project, dataset, _ in tables}
-    for project, dataset in datasets:
+    for project, dataset, target in requests.select(*TABLE_KEY[:2], "target_dataset").distinct().toLocalIterator():
+        if (project, dataset) not in datasets:
+            continue
         labels = sample_labels(config.labels, project, None)
         try:
-            create_schema(spark, config.target_schema(dataset), config.target_root, labels)
+            create_schema(spark, config.target_schema(target), config.target_root, labels)
         except Exception:  # noqa: BLE001 - writing the samples of this dataset then fails, each on its own
             LOG.exception("Target schema of %s.%s cannot be created", project, dataset)
     plan = stage(
         plan_jobs(
             requests,
             count_tables(spark, tables, config.parallelism),
-            dataset_locations(spark, datasets),
+            dataset_locations(spark, datasets, config.source_catalogs),
             source_schema(spark, tables),
             config.target_project,
             config.target_location,
@@ -212,39 +237,44 @@ def run_cycle(
         failure, inserted = None, None
         key = (row.project_id, row.dataset_id, row.table_id)
         try:
-            seed = draw_seed(config.seed, cycle_ts, key)
+            seed = draw_seed(config.seed, row.timestamp, key)
             inserted = _with_retry(config, lambda: _sample_table(config, tables[key], row, seed))
         except Exception as error:  # noqa: BLE001 - one failed table must not stop the others
             LOG.exception("Sampling %s failed", row.source_table)
             failure = f"{type(error).__name__}: {error}"
-        return row.source_table, inserted, started, int(time.time()), failure
+        return row.source_table, row.target_table, inserted, started, int(time.time()), failure
 
     with ThreadPoolExecutor(config.parallelism) as pool:
         jobs = plan.filter(F.col("error_code").isNull()).toLocalIterator()
         outcomes = list(pool.map(inheritable_thread_target(spark)(run), jobs))
 
     outcome = small_table(spark, outcomes, OUTCOME)
-    finished = plan.join(outcome.drop("row_count"), "source_table", "left").withColumn(
+    finished = plan.join(outcome.drop("row_count"), ["source_table", "target_table"], "left").withColumn(
         "error_code", F.coalesce("error_code", "failure")
     )
     now = F.lit(int(time.time()))
+    # A record for each time at which a table was asked for, also if it was sampled only once.
+    target = [F.lower(name).alias(f"__{name}") for name in ("target_dataset", "target_id")]
+    stamps = covered.select(*TABLE_KEY, *target, F.col("timestamp").alias("stamp")).distinct()
+    stamped = finished.select("*", *target).join(stamps, [*TABLE_KEY, "__target_dataset", "__target_id"])
     log = stage(
         run_log(
-            finished,
+            stamped,
             outcome,
-            cycle_ts,
+            F.col("stamp"),
             F.coalesce("started", now),
             F.coalesce("ended", now),
         ),
         "log",
     )
     failed = finished.filter(F.col("error_code").isNotNull()).withColumn("error", F.col("error_code"))
-    _append_logs(spark, config, log, failed, cycle_ts)
+    commands = stage(order_outcomes(orders, covered, finished), "commands")
+    _append_logs(spark, config, log, failed, commands)
 
     dropped: list[str] = []
-    if not prefix:
+    if whole:
         dropped = _drop_obsolete(spark, config, finished.filter(F.col("error_code").isNull()))
-    return CycleResult("DONE", log, errors_per_cycle(failed), tuple(dropped))
+    return CycleResult("DONE", log, errors_per_cycle(failed), tuple(dropped), commands)
 
 
 def _with_retry(config: CycleConfig, job) -> int:
@@ -282,12 +312,12 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row, seed: int) -> in
         config.single_task_rows,
         config.random_by_block,
     )
-    schema, table = config.target_schema(row.dataset_id), row.table_id.lower()
+    schema, table = config.target_schema(row.target_dataset), row.target_id.lower()
     labels = sample_labels(config.labels, row.project_id, row.location)
     source_root = config.location_roots.get(row.location or "")
     if row.crosses_location and source_root:
         staging = staging_schema_name(
-            spark, config.staging_prefix, row.dataset_id, table, row.location, uuid.uuid4().hex
+            spark, config.staging_prefix, row.target_dataset, table, row.location, uuid.uuid4().hex
         )
         written = cross_location_copy(sample, staging, source_root, schema, table, labels)
     else:
@@ -296,22 +326,23 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row, seed: int) -> in
 
 
 def _append_logs(
-    spark: SparkSession, config: CycleConfig, log: DataFrame, failed: DataFrame, cycle_ts: int
+    spark: SparkSession, config: CycleConfig, log: DataFrame, failed: DataFrame, commands: DataFrame
 ) -> None:
     create_schema(spark, config.log_schema, config.target_root, LOG_LABELS)
     log.write.mode("append").saveAsTable(f"`{config.log_schema}`.`sample_runs`")
-    letters = dead_letter(failed, ["source_table", "target_table", "sample_type", "granted"])
-    letters.withColumn("cycle_ts", F.lit(cycle_ts).cast("bigint")).write.mode(
-        "append"
-    ).saveAsTable(f"`{config.log_schema}`.`sample_errors`")
+    letters = dead_letter(failed, ["source_table", "target_table", "sample_type", "granted"], others=["timestamp"])
+    letters.withColumnRenamed("timestamp", "cycle_ts").write.mode("append").saveAsTable(
+        f"`{config.log_schema}`.`sample_errors`"
+    )
+    commands.write.mode("append").saveAsTable(f"`{config.log_schema}`.`command_runs`")
 
 
 def _drop_obsolete(spark: SparkSession, config: CycleConfig, sampled: DataFrame) -> list[str]:
     """Drop samples this cycle did not provide, then schemas left empty. New ones are in place."""
     current = sampled.select(
         F.lit(config.target_project).alias("project_id"),
-        F.lower(F.concat(F.lit(config.target_schema_prefix), "dataset_id")).alias("dataset_id"),
-        F.lower("table_id").alias("table_id"),
+        F.lower(F.concat(F.lit(config.target_schema_prefix), "target_dataset")).alias("dataset_id"),
+        F.lower("target_id").alias("table_id"),
     )
     existing = list_tables(spark, config.target_project, config.target_schema_prefix)
     dropped, errors = drop_tables(spark, full_refresh_targets(existing, current))

@@ -54,8 +54,16 @@ def _plan_error(rows: Column, properties: Column) -> Column:
 def target_mapping(
     plan: DataFrame, target_project: str, target_location: str | None = None
 ) -> DataFrame:
-    """Add source and target names: same dataset and table, in the target project and location."""
+    """Add source and target names: same dataset and table, in the target project and location.
+
+    A plan may name other targets by target_dataset, target_id and target_location, of which a location that is
+    null stands for the given one.
+    """
     location = F.lit(target_location).cast("string")
+    dataset, table = F.col("dataset_id"), F.col("table_id")
+    if "target_dataset" in plan.columns:
+        dataset, table = F.col("target_dataset"), F.col("target_id")
+        location = F.coalesce("target_location", location)
     return (
         plan.withColumn(
             "source_table",
@@ -66,7 +74,7 @@ def target_mapping(
         .withColumn(
             "target_table",
             format_table_ref(
-                F.lit(target_project), F.col("dataset_id"), F.col("table_id"), location
+                F.lit(target_project), dataset, table, location
             ),
         )
         .withColumn("crosses_location", ~F.col("location").eqNullSafe(location))

@@ -31,9 +31,28 @@ CATALOG_TABLE = T.StructType(
     [T.StructField(name, T.StringType()) for name in TABLE_KEY]
     + [T.StructField("labels", T.MapType(T.StringType(), T.StringType()))]
 )
+SIZE = T.StructType([T.StructField("count", T.LongType()), T.StructField("percentage", T.DoubleType())])
+PROPERTIES = T.StructType([T.StructField("by", T.StringType()), T.StructField("direction", T.StringType())])
+SPEC = T.StructType([T.StructField("type", T.StringType()), T.StructField("properties", PROPERTIES)])
+ORDER = T.StructType(
+    [
+        T.StructField("order_id", T.StringType()),
+        T.StructField("route", T.StringType()),
+        T.StructField("timestamp", T.LongType()),
+        T.StructField("prefix", T.StringType()),
+        *(T.StructField(name, T.StringType()) for name in TABLE_KEY),
+        T.StructField("size", SIZE),
+        T.StructField("spec", SPEC),
+        T.StructField("target_project", T.StringType()),
+        T.StructField("target_dataset", T.StringType()),
+        T.StructField("target_id", T.StringType()),
+        T.StructField("target_location", T.StringType()),
+    ]
+)
 OUTCOME = T.StructType(
     [
         T.StructField("source_table", T.StringType()),
+        T.StructField("target_table", T.StringType()),
         T.StructField("row_count", T.LongType()),
         T.StructField("started", T.LongType()),
         T.StructField("ended", T.LongType()),

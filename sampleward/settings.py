@@ -72,4 +72,4 @@ class CycleConfig:
 
     def source_name(self, project: str, dataset: str, table: str) -> str:
         catalog = self.source_catalogs.get(project, "spark_catalog")
-        return ".".join(f"`{part}`" for part in (catalog, dataset, table))
+        return ".".join("`" + part.replace("`", "``") + "`" for part in (catalog, dataset, table))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -15,6 +16,8 @@ from sampleward.schemas import CATALOG_TABLE, LOCATION, ROW_COUNT, SOURCE_COLUMN
 from sampleward.settings import LOCATION_PROPERTY
 from sampleward.sources.shared import small_table
 
+LOG = logging.getLogger(__name__)
+
 TableKey = tuple[str, str, str]
 
 # Catalog calls made at the same time.
@@ -78,9 +81,10 @@ def label_match(labels: Column, wanted: Mapping[str, str]) -> Column:
     return matches
 
 
-def schema_properties(spark: SparkSession, schema: str) -> dict[str, str]:
+def schema_properties(spark: SparkSession, schema: str, catalog: str | None = None) -> dict[str, str]:
     """Properties set on a schema, read from its description."""
-    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED `{schema}`").collect()
+    name = ".".join("`" + part.replace("`", "``") + "`" for part in (catalog, schema) if part)
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {name}").collect()
     text = next((row.info_value for row in rows if row.info_name == "Properties"), "")
     inner = text.removeprefix("((").removesuffix("))")
     pairs = (pair.partition(",") for pair in inner.split("), (") if inner)
@@ -117,10 +121,23 @@ def list_tables(
     return found if condition is None else found.filter(condition)
 
 
-def dataset_locations(spark: SparkSession, datasets: Mapping[tuple[str, str], str]) -> DataFrame:
-    """Location of each (project, dataset), read from a property of its schema."""
-    rows = [
-        (*key, schema_properties(spark, schema).get(LOCATION_PROPERTY))
-        for key, schema in datasets.items()
-    ]
+def dataset_locations(
+    spark: SparkSession, datasets: Mapping[tuple[str, str], str], catalogs: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Location of each (project, dataset), read from a property of its schema in the project's catalog.
+
+    A dataset that cannot be described has no location, and does not stop the others.
+    """
+
+    def locate(item: tuple[tuple[str, str], str]) -> tuple:
+        key, schema = item
+        try:
+            found = schema_properties(spark, schema, (catalogs or {}).get(key[0]))
+        except Exception as error:  # noqa: BLE001 - its tables may be readable all the same
+            LOG.warning("Dataset %s has no description: %s", ".".join(key), error)
+            found = {}
+        return *key, found.get(LOCATION_PROPERTY)
+
+    with ThreadPoolExecutor(METADATA_CALLS) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(locate), datasets.items()))
     return small_table(spark, rows, LOCATION)

@@ -33,14 +33,19 @@ class FileGroup(InputPartition):
 
 
 class ConfigObjectsReader(DataSourceReader):
-    def __init__(self, root: str, prefix: str, group_rows: int):
+    def __init__(self, root: str, prefix: str, group_rows: int, exact: bool = False):
         self.root = root
         self.prefix = prefix
+        self.exact = exact
         self.group_rows = group_rows
 
     def partitions(self) -> list[FileGroup]:
         filesystem, base = pafs.FileSystem.from_uri(self.root)
         base = base.rstrip("/")
+        if self.exact:  # one object, looked up without listing its folder
+            info = filesystem.get_file_info(f"{base}/{self.prefix}")
+            found = info.type == pafs.FileType.File
+            return [FileGroup([(info.path, self.prefix)] if found else [])]
         # A prefix that names a folder is listed alone, not the whole root.
         folder = self.prefix.rpartition("/")[0]
         start = f"{base}/{folder}" if folder else base
@@ -76,7 +81,7 @@ class ConfigObjectsReader(DataSourceReader):
 
 
 class ConfigObjects(DataSource):
-    """Options: `path` (root), `prefix`, `files_per_partition`."""
+    """Options: `path` (root), `prefix`, `exact` (one object of that path), `files_per_partition`."""
 
     @classmethod
     def name(cls) -> str:
@@ -90,15 +95,16 @@ class ConfigObjects(DataSource):
             self.options["path"],
             self.options.get("prefix", ""),
             int(self.options.get("files_per_partition", FILES_PER_PARTITION)),
+            self.options.get("exact", "false") == "true",
         )
 
 
 def scan_config_objects(
-    spark: SparkSession, root: str, prefix: str = "", condition: Column | None = None
+    spark: SparkSession, root: str, prefix: str = "", condition: Column | None = None, exact: bool = False
 ) -> DataFrame:
-    """Rows (path, content) of all objects under `root` whose path starts with `prefix`."""
+    """Rows (path, content) of all objects under `root` whose path starts with `prefix`, or is just it."""
     spark.dataSource.register(ConfigObjects)
-    objects = spark.read.format("config_objects").option("prefix", prefix).load(root)
+    objects = spark.read.format("config_objects").option("prefix", prefix).option("exact", exact).load(root)
     return objects if condition is None else objects.filter(condition)
 
 

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,26 +16,29 @@ from sampleward.functions.config_json import (
     kind,
     node,
     number,
+    parse_requests,
     sealed,
     text,
     with_nodes,
 )
-from sampleward.functions.text import config_object_path, strip
+from sampleward.functions.text import strip
 from sampleward.operators.tables import drop_schema_cascade
-from sampleward.plans.cycle import run_cycle
+from sampleward.plans.cycle import run_orders
 from sampleward.plans.records import dead_letter
+from sampleward.schemas import ORDER, TABLE_KEY
 from sampleward.settings import (
     COMMAND_TYPES,
     TRANSFER_OK_STATE,
     CycleConfig,
 )
 from sampleward.sources.commands import command_stream, read_messages
+from sampleward.sources.shared import stage
 from sampleward.streaming.repeats import first_deliveries
 
 LOG = logging.getLogger(__name__)
 
 DEAD_LETTER = "DEAD_LETTER"
-CARRIED_OUT = ["START", "SAMPLE_POLICY_PREFIX", "SAMPLE_START", "REMOVE_DATASET"]
+ORDERED = ["START", "SAMPLE_POLICY_PREFIX", "SAMPLE_START"]
 REDELIVERY_WINDOW = "20 minutes"
 
 
@@ -206,76 +209,89 @@ def idempotent_commands(
 
 
 LETTER_FIELDS = ["data", "payload", "publish_time", "timestamp"]
-FAILURE = "data string, payload string, publish_time string, timestamp bigint, error string"
 
 
-def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str) -> Callable:
-    """Function for foreachBatch that carries out each command of a batch.
+def command_orders(valid: DataFrame) -> DataFrame:
+    """Orders of valid commands, equal ones once, with the fields of a dead letter.
 
-    One START covers all narrower commands of its batch, and equal commands are carried out once. A
-    command that fails becomes a dead letter and does not stop the others, nor does a failed transfer.
+    A SAMPLE_START has its table, and the size, spec and target of its message.
     """
+    source, target = "sample_request_table_reference", "target_table"
+    read = command_nodes(valid, COMMAND_LEAVES).filter(F.col("route").isin(ORDERED)).select(
+        "route",
+        "timestamp",
+        text("prefix").alias("prefix"),
+        *(text(f"{source}_{name}").alias(name) for name in TABLE_KEY),
+        F.to_json(F.col("__node_sample_request_sample")).alias("__sample"),
+        text(f"{target}_project_id").alias("target_project"),
+        text(f"{target}_dataset_id").alias("target_dataset"),
+        text(f"{target}_table_id").alias("target_id"),
+        text(f"{target}_location").alias("target_location"),
+        F.struct("publish_time", "data", "payload").alias("__letter"),
+    )
+    what = [name for name in read.columns if name != "__letter"]
+    once = read.groupBy(*what).agg(F.min("__letter").alias("__letter"))
+    once = once.withColumn("order_id", F.sha2(F.to_json(F.struct(*what)), 256))
+    parsed = parse_requests(once, "__sample")
+    return parsed.select(*ORDER.fieldNames(), "__letter.data", "__letter.payload", "__letter.publish_time")
+
 
-    def carry_out(order: Row) -> None:
-        if order.route == "START":
-            run_cycle(spark, config, order.timestamp)
-        elif order.route == "SAMPLE_POLICY_PREFIX":
-            run_cycle(spark, config, order.timestamp, prefix=order.prefix)
-        elif order.route == "SAMPLE_START":
-            run_cycle(spark, config, order.timestamp, prefix=order.object_path)
-        elif order.dataset_id.lower().startswith(config.staging_prefix):
-            drop_schema_cascade(spark, order.dataset_id.lower())
+def staging_removals(valid: DataFrame, transfers: DataFrame) -> DataFrame:
+    """(dataset_id and the fields of a dead letter) of the schemas that commands and finished transfers are done with."""
+    asked = command_nodes(valid, COMMAND_LEAVES).filter("route = 'REMOVE_DATASET'")
+    asked = asked.select(text("dataset_id").alias("dataset_id"), *LETTER_FIELDS)
+    finished = transfers.filter("next_command = 'REMOVE_DATASET' AND source_dataset_id IS NOT NULL")
+    both = asked.unionAll(finished.select(F.col("source_dataset_id").alias("dataset_id"), *LETTER_FIELDS))
+    return both.dropDuplicates(["dataset_id"])
+
+
+def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str) -> Callable:
+    """Function for foreachBatch that carries out the commands of a batch, all samplings as one plan.
+
+    A table that several commands ask for is sampled once per target, for the latest of them, and each command
+    is logged with its own time. A SAMPLE_START is carried out as sent, within the policy. A command that fails
+    becomes a dead letter and does not stop the others, nor does a failed transfer.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = route_commands(batch).persist()
         folder = f"{dead_letters}/batch={batch_id}"
+
+        def failures(failed: DataFrame) -> None:
+            dead_letter(failed, LETTER_FIELDS).write.mode("append").json(folder)
+
+        def text_of(error: Exception) -> Column:
+            return F.lit(f"{type(error).__name__}: {error}")
+
         try:
             valid = routed.filter(F.col("error").isNull())
             transfers = transfer_notification(valid)
             # A repeated batch overwrites its own dead letters instead of adding to them.
             letters = dead_letter(routed, LETTER_FIELDS).unionAll(dead_letter(transfers, LETTER_FIELDS))
             letters.write.mode("overwrite").json(folder)
-            source = "sample_request_table_reference"
-            orders = command_nodes(valid, COMMAND_LEAVES).select(
-                "route",
-                "timestamp",
-                text("prefix").alias("prefix"),
-                text("dataset_id").alias("dataset_id"),
-                config_object_path(
-                    text(f"{source}_project_id"),
-                    text(f"{source}_dataset_id"),
-                    text(f"{source}_table_id"),
-                ).alias("object_path"),
-                *(name for name in LETTER_FIELDS if name != "timestamp"),
-            )
-            finished = transfers.filter("next_command IS NOT NULL AND source_dataset_id IS NOT NULL")
-            orders = orders.filter(F.col("route").isin(CARRIED_OUT)).unionByName(
-                finished.select(
-                    F.col("next_command").alias("route"),
-                    F.col("source_dataset_id").alias("dataset_id"),
-                    *LETTER_FIELDS,
-                ),
-                allowMissingColumns=True,
-            )
-            every = not orders.filter("route = 'START'").isEmpty()
-            if every:
-                orders = orders.filter("route IN ('START', 'REMOVE_DATASET')")
-                target = ["route", "dataset_id"]
-            else:
-                target = ["route", "prefix", "dataset_id", "object_path"]
-            first = F.min_by(F.struct(*orders.columns), F.struct("timestamp", "publish_time", "data"))
-            once = orders.groupBy(*target).agg(first.alias("first")).select("first.*").orderBy("timestamp")
-            failures = []
-            for order in once.toLocalIterator():
+            removals = staging_removals(valid, transfers)
+            # Other schemas than those of this config are left alone.
+            own = F.lower("dataset_id").startswith(config.staging_prefix)
+            removals = stage(removals.filter(own), "removals")
+            for row in removals.select("dataset_id").toLocalIterator():
                 try:
-                    carry_out(order)
+                    drop_schema_cascade(spark, row.dataset_id.lower())
                 except Exception as error:  # noqa: BLE001 - one failed command must not stop the others
-                    LOG.exception("Command %s failed", order.route)
-                    fields = (order[name] for name in LETTER_FIELDS)
-                    failures.append((*fields, f"{type(error).__name__}: {error}"))
-            if failures:
-                failed = spark.createDataFrame(failures, FAILURE)
-                dead_letter(failed, LETTER_FIELDS).write.mode("append").json(folder)
+                    LOG.exception("Staging schema %s cannot be dropped", row.dataset_id)
+                    same = removals.filter(F.col("dataset_id") == row.dataset_id)
+                    failures(same.withColumn("error", text_of(error)))
+            orders = stage(command_orders(valid), "batch_orders")
+            if orders.isEmpty():
+                return
+            try:
+                result = run_orders(spark, config, orders.select(*ORDER.fieldNames()))
+            except Exception as error:  # noqa: BLE001 - the commands of this batch have failed, not the stream
+                LOG.exception("The commands of batch %s failed", batch_id)
+                failures(orders.withColumn("error", text_of(error)))
+                return
+            if result.commands is not None:
+                failed = result.commands.filter("route = 'SAMPLE_START' AND error IS NOT NULL")
+                failures(orders.join(failed.select("order_id", "error"), "order_id"))
         finally:
             routed.unpersist()
 

@@ -18,9 +18,12 @@ from sampleward.operators.tables import (
     sample_labels,
     write_sample,
 )
-from sampleward.plans.cycle import run_cycle, sample_by_spec
+from sampleward.plans import cycle as cycle_module
+from sampleward.plans.cycle import run_cycle, run_orders, sample_by_spec
+from sampleward.schemas import ORDER
 from sampleward.settings import CycleConfig
-from sampleward.sources.catalog import list_schemas, list_tables, schema_properties, table_labels
+from sampleward.sources.config_objects import scan_config_objects
+from sampleward.sources.catalog import dataset_locations, list_schemas, list_tables, schema_properties, table_labels
 
 DEFAULT = {
     "limit": buckets.size(10, 3.0),
@@ -303,3 +306,72 @@ def test_seeds_differ_by_table_and_cycle():
     assert len({draw_seed(7, ts, key) for ts in (1, 2) for key in keys}) == 4
     assert draw_seed(7, 1, keys[0]) == draw_seed(7, 1, keys[0])
     assert draw_seed(None, 1, keys[0]) != draw_seed(None, 1, keys[0])
+
+
+def order(route, stamp, **fields):
+    return tuple((dict.fromkeys(ORDER.fieldNames()) | {"order_id": f"{route}{stamp}{fields}", "route": route, "timestamp": stamp} | fields).values())
+
+
+def test_orders_of_a_batch_are_one_plan(spark, world, monkeypatch):
+    listed, read = [], cycle_module.scan_config_objects
+    monkeypatch.setattr(
+        cycle_module, "scan_config_objects",
+        lambda s, root, prefix="", *a, **k: (listed.append((prefix, k.get("exact", False))), read(s, root, prefix, *a, **k))[1],
+    )
+    here = {"project_id": "prod", "dataset_id": world.dataset}
+    target = {"target_project": "target", "target_dataset": world.dataset}
+    folder = f"prod/{world.dataset}/"
+    rows = [
+        order("SAMPLE_POLICY_PREFIX", 100, prefix=f"{folder}cust"),
+        order("SAMPLE_POLICY_PREFIX", 300, prefix=f"{folder}customer"),
+        order("SAMPLE_POLICY_PREFIX", 400, prefix="prod/nowhere/"),
+    ]
+    for i in range(20):  # as sent, the latest of all
+        size = {"count": 7 + i, "percentage": None}
+        spec = {"type": "sorted", "properties": {"by": "o_totalprice", "direction": "DESC"}}
+        rows.append(order("SAMPLE_START", 500 + i, **here, table_id="orders", size=size, spec=spec, **target, target_id="orders"))
+    rows += [
+        order("SAMPLE_START", 600, **here, table_id="orders", size={"count": 10**6, "percentage": None}, **target, target_id="other"),
+        order("SAMPLE_START", 700, **here, table_id="customer", **target | {"target_project": "foreign"}, target_id="x"),
+        order("SAMPLE_START", 800, **here, table_id="gone", **target, target_id="gone"),
+    ]
+    result = run_orders(spark, world.config, spark.createDataFrame(rows, ORDER))
+    # The lock and the default policy are looked up, both roots are listed once.
+    assert sorted(listed) == sorted([("sampling.lock", True), ("default_policy.json", True), ("prod/", False), ("prod/", False)])
+    got = [r.o_totalprice for r in world.sample("orders").collect()]
+    want = [r.o_totalprice for r in sorted_sample(spark.table(f"{world.dataset}.orders"), 10, "o_totalprice", "DESC").collect()]
+    assert sorted(got) == sorted(want)  # 26 asked for, 10 granted by the default policy
+    assert world.sample("other").count() == 10 and world.sample("customer").count() == 60
+    log = {(r.cycle_ts, r.target_table.split(".")[2].split("@")[0]): r for r in result.log.collect()}
+    assert set(log) == {(t, "customer") for t in (100, 300)} | {(500 + i, "orders") for i in range(20)} | {
+        (600, "other"), (700, "x"), (800, "gone")
+    }
+    assert log[100, "customer"].amount_inserted == log[300, "customer"].amount_inserted == 60
+    commands = {r.timestamp: r for r in result.commands.collect()}
+    assert (commands[400].jobs, commands[100].jobs, commands[519].failed) == (0, 1, 0)
+    assert (commands[700].error, commands[800].error) == ("FOREIGN_TARGET", "MISSING_SOURCE")
+    assert spark.table(f"{world.config.log_schema}.command_runs").count() == len(rows)
+
+
+def test_starts_of_one_batch_are_all_logged(spark, world):
+    rows = [order("START", t) for t in (100, 200)] + [order("SAMPLE_POLICY_PREFIX", 50, prefix=f"prod/{world.dataset}/")]
+    result = run_orders(spark, world.config, spark.createDataFrame(rows, ORDER))
+    assert sorted((r.cycle_ts, r.target_table.split(".")[2]) for r in result.log.collect()) == [
+        (t, f"{name}@EU") for t in (50, 100, 200) for name in ("customer", "orders")
+    ]
+
+
+def test_dataset_that_cannot_be_described_stops_no_other(spark, world):
+    found = dataset_locations(spark, {("prod", world.dataset): world.dataset, ("else", "no`where"): "no`where"}, {"else": "nocat"})
+    assert sorted(map(tuple, found.collect()), key=str) == [("else", "no`where", None), ("prod", world.dataset, "EU")]
+    buckets.write(world.policies, "prod/odd`set/orders.json", "")
+    errors = {r.table_id: r.error for r in world.run().errors.collect()}
+    assert errors == {"orders": "MISSING_SOURCE"} and world.sample("orders").count() == 5
+
+
+def test_one_object_is_looked_up_alone(spark, world):
+    buckets.write(world.policies, "default_policy.json.bak", {})
+    one = scan_config_objects(spark, world.policies, "default_policy.json", exact=True)
+    assert [r.path for r in one.collect()] == ["default_policy.json"]
+    assert scan_config_objects(spark, world.policies, "default_policy", exact=True).count() == 0
+    assert scan_config_objects(spark, world.policies, "prod", exact=True).count() == 0

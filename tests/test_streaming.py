@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from sampleward.plans.cycle import CycleResult
 from sampleward.sources.commands import command_stream, read_messages
 from sampleward.streaming import commands as commands_module
 from sampleward.streaming.alerts import error_alert, missed_cycle_alert
@@ -206,21 +207,27 @@ def run_batch(spark, tmp_path, bodies, config, name):
 def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
     calls, dropped = [], []
 
-    def cycle(session, config, ts, prefix=""):
-        calls.append((ts, prefix))
-        if prefix == "broken/":
+    def run(session, config, orders):
+        calls.append(sorted((o.route, o.timestamp, o.prefix, o.table_id, o.target_dataset) for o in orders.collect()))
+        commands = orders.selectExpr("order_id", "route", "timestamp", "1L AS jobs", "1L AS failed", "'BROKEN' AS error")
+        return CycleResult("DONE", commands=commands)
+
+    def drop(session, name):
+        dropped.append(name)
+        if name == "stg_stuck":
             raise RuntimeError("this one fails")
 
-    monkeypatch.setattr(commands_module, "run_cycle", cycle)
-    monkeypatch.setattr(commands_module, "drop_schema_cascade", lambda s, name: dropped.append(name))
+    monkeypatch.setattr(commands_module, "run_orders", run)
+    monkeypatch.setattr(commands_module, "drop_schema_cascade", drop)
     config = type("Config", (), {"staging_prefix": "stg_"})()
     failed = {**NOTICE, "state": "FAILED"}
     bodies = [
         {"type": "SAMPLE_POLICY_PREFIX", "prefix": "p/d/"},
         {"type": "SAMPLE_POLICY_PREFIX", "prefix": "p/d/"},
-        {"type": "SAMPLE_POLICY_PREFIX", "prefix": "broken/"},
+        {"type": "SAMPLE_POLICY_PREFIX", "prefix": "p/e/"},
         {"type": "SAMPLE_START", **START},
         {"type": "REMOVE_DATASET", "project_id": "p", "dataset_id": "stg_one"},
+        {"type": "REMOVE_DATASET", "project_id": "p", "dataset_id": "stg_stuck"},
         {"type": "REMOVE_DATASET", "project_id": "p", "dataset_id": "production"},
         {**NOTICE, "params": {"source_project_id": "p", "source_dataset_id": "stg_two"}},
         failed,
@@ -228,16 +235,25 @@ def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
         "???one", "???two", "???three",
     ]
     letters = run_batch(spark, tmp_path, bodies, config, "narrow").collect()
-    assert sorted(calls) == sorted((1665140498, p) for p in ("p/d/", "broken/", "p/d/t.json"))
-    assert sorted(dropped) == ["stg_one", "stg_two"]
+    stamp = 1665140498
+    assert calls == [[
+        ("SAMPLE_POLICY_PREFIX", stamp, "p/d/", None, None), ("SAMPLE_POLICY_PREFIX", stamp, "p/e/", None, None),
+        ("SAMPLE_START", stamp, None, "t", "d"),
+    ]]
+    assert sorted(dropped) == ["stg_one", "stg_stuck", "stg_two"]
     errors = sorted(r.error for r in letters)
-    assert errors == ["BAD_PAYLOAD"] * 3 + ["RuntimeError: this one fails", "TRANSFER_NOT_SUCCEEDED", "UNKNOWN_TYPE"]
+    # A wide command whose tables failed has their errors in the log, a single one is a dead letter.
+    assert errors == ["BAD_PAYLOAD"] * 3 + ["BROKEN", "RuntimeError: this one fails", "TRANSFER_NOT_SUCCEEDED", "UNKNOWN_TYPE"]
     lost = {json.loads(r.command)["data"] for r in letters if r.error == "BAD_PAYLOAD"}
     assert lost == {"???one", "???two", "???three"}
+    assert json.loads(json.loads(next(r.command for r in letters if r.error == "BROKEN"))["payload"])["type"] == "SAMPLE_START"
+
+    def broken(session, config, orders):
+        raise RuntimeError("no storage")
 
-    calls.clear()
-    run_batch(spark, tmp_path, [{"type": "START"}, *bodies[:2], {"type": "START"}], config, "wide")
-    assert calls == [(1665140498, "")]
+    monkeypatch.setattr(commands_module, "run_orders", broken)
+    letters = run_batch(spark, tmp_path, bodies[:4], config, "broken").collect()
+    assert [r.error for r in letters] == ["RuntimeError: no storage"] * 3
 
 
 def brute_deliveries(rows):
