@@ -24,46 +24,39 @@ def spec(kind, by=None, direction=None):
     return {"type": kind, "properties": {"by": by, "direction": direction}}
 
 
-A, B, C, D = "ship_day", "net_price", "region", "line_code"
-FULL = {
-    "limit": size(1050, 35.1),
-    "default_sample": {"size": size(9, 6.5), "spec": spec("random", D, "ASC")},
-}
-MALFORMED = '{"limit": {"count": 1}, default_sample: {}}'
 DEFAULT = {
-    "limit": size(1000, 30.1),
-    "default_sample": {"size": size(10, 5.5), "spec": spec("sorted", A, "DESC")},
+    "limit": size(640, 22.5),
+    "default_sample": {"size": size(25, 3.0), "spec": spec("sorted", "booked_at", "ASC")},
+}
+TRIPS = {
+    "limit": size(75, 80.0),
+    "default_sample": {"size": size(12, 0.5), "spec": spec("sorted", "km", "DESC")},
 }
 
-AA, AB, BC = "project_id_a/dataset_id_a", "project_id_a/dataset_id_b", "project_id_b/dataset_id_c"
-
+# A shop and a fleet. Each table's policy and request stand for one way in which they can be laid together.
 POLICIES = {
     "default_policy.json": DEFAULT,
-    f"{AA}/empty_policy.json": "",
-    f"{AA}/non_json.json": MALFORMED,
-    f"{AA}/non_json_b.json": MALFORMED,
-    f"{AB}/policy_full.json": FULL,
-    f"{AB}/policy_full_again.json": FULL,
-    f"{BC}/policy_full_simple_default_sample.json": {
-        "limit": size(1200, 41.1),
-        "default_sample": {"size": size(11, 7.5), "spec": spec("random")},
-    },
-    f"{BC}/policy_only_limit.json": {"limit": size(1100, 20.1)},
-    f"{AA}/readme.txt": "no config",
-    f"{AA}/deeper/table.json": FULL,
+    "shop/sales/receipts.json": "",
+    "shop/sales/refunds.json": {},
+    "shop/sales/baskets.json": {"default_sample": {"size": size(8)}},
+    "shop/sales/archive/old.json": TRIPS,
+    "shop/stock/shelves.json": {"limit": size(percentage=12.5)},
+    "shop/stock/pallets.json": '{"limit": {"count": 9}, "default_sample": [',
+    "fleet/trips/legs.json": TRIPS,
+    "fleet/trips/stops.json": TRIPS,
+    "fleet/trips/fuel.json": {"default_sample": {"spec": {"type": "sorted"}}},
+    "fleet/depots/bays.json": {"limit": size(3)},
+    "fleet/notes.md": "who owns which table",
 }
 REQUESTS = {
-    f"{AA}/empty_policy.json": {"size": size(17, 11.1), "spec": spec("sorted", B, "ASC")},
-    f"{AA}/non_json.json": {"size": size(18, 11.2)},
-    f"{AA}/non_json_b.json": {"size": size(0)},
-    f"{AA}/invalid_table_id.json": {"size": size(17, 11.1), "spec": spec("sorted", B, "ASC")},
-    f"{AB}/policy_full.json": {"size": size(17, "11.1"), "spec": spec("sorted", B, "ASC")},
-    f"{AB}/policy_full_again.json": MALFORMED,
-    f"{BC}/policy_full_simple_default_sample.json": {
-        "size": size(17, "11.1"),
-        "spec": spec("sorted", 123, "ASC"),
-    },
-    f"{BC}/policy_only_limit.json": {"spec": spec("sorted", C, "DESC")},
+    "shop/sales/refunds.json": {"size": size(percentage=50.0), "spec": spec("random")},
+    "shop/sales/baskets.json": {"size": size(31)},
+    "shop/sales/vouchers.json": {"size": size(4)},
+    "shop/stock/shelves.json": {"size": size(5000)},
+    "shop/stock/pallets.json": {"spec": spec("sorted", "weight", "DESC")},
+    "fleet/trips/legs.json": {"size": size("40"), "spec": spec("random")},
+    "fleet/trips/stops.json": "size: 40",
+    "fleet/depots/bays.json": {"spec": {"type": "sorted", "properties": {"by": "bay"}}},
 }
 
 

@@ -53,7 +53,7 @@ SIZES = [
     ("null", None),
     ("", None),
     ('"{}"', None),
-    ("{field_int:17}", None),
+    ("{rows:5}", None),
     ("{'size':{'count':3}}", None),
     (None, None),
     ('{"__doc__":"x","size":{"count":3,"more":[1]}}', (3, None)),

@@ -26,12 +26,12 @@ from sampleward.sources.config_objects import scan_config_objects
 from sampleward.sources.catalog import dataset_locations, list_schemas, list_tables, schema_properties, table_labels
 
 DEFAULT = {
-    "limit": buckets.size(10, 3.0),
-    "default_sample": {"size": buckets.size(5), "spec": buckets.spec("random")},
+    "limit": buckets.size(14, 2.75),
+    "default_sample": {"size": buckets.size(6), "spec": buckets.spec("random")},
 }
 WIDE = {
-    "limit": buckets.size(300_000, 40.1),
-    "default_sample": {"size": buckets.size(200), "spec": buckets.spec("random")},
+    "limit": buckets.size(180_000, 45.5),
+    "default_sample": {"size": buckets.size(210), "spec": buckets.spec("random")},
 }
 
 
@@ -95,8 +95,8 @@ def test_policy_and_request_changes(world):
     world.request("orders", {"size": buckets.size(1000)})
     result = world.run()
     assert result.status == "DONE"
-    assert world.rows("orders") == 10  # capped by the default policy: min(10, 3 % of 1500)
-    assert world.rows("customer") == 60  # 40.1 % of 150
+    assert world.rows("orders") == 14  # capped by the default policy: min(14, 2.75 % of 1500)
+    assert world.rows("customer") == 68  # 45.5 % of 150
     schema = world.config.target_schema(world.dataset)
     labels = table_labels(world.spark, schema, "orders")
     assert labels["sample_table"] == "true" and labels["source_project_id"] == "prod"
@@ -119,16 +119,16 @@ def test_policy_and_request_changes(world):
     # Invalid policy: default again. Invalid request: sample of the policy.
     world.policy("orders", "{limit: 3}")
     world.run()
-    assert world.rows("orders") == 10
+    assert world.rows("orders") == 14
     world.policy("orders", WIDE)
     world.request("orders", "{size: 3}")
     world.run()
-    assert world.rows("orders") == 200
+    assert world.rows("orders") == 210
 
     # Policy removed: the sample disappears, the other stays.
     world.remove_policy("orders")
     result = world.run()
-    assert world.rows("orders") is None and world.rows("customer") == 60
+    assert world.rows("orders") is None and world.rows("customer") == 68
     assert f"{schema}.orders" in result.dropped
 
 
@@ -146,15 +146,15 @@ def test_schema_changes_and_lock(world):
     spark.sql(f"ALTER TABLE {world.dataset}.orders ADD COLUMNS (more STRING)")
     world.policy("orders", WIDE)
     assert world.run().status == "LOCKED"
-    assert world.rows("orders") == 5 and "more" not in world.sample("orders").columns
+    assert world.rows("orders") == 6 and "more" not in world.sample("orders").columns
     os.remove(f"{world.requests}/sampling.lock")
     world.run()
-    assert world.rows("orders") == 200 and "more" in world.sample("orders").columns
+    assert world.rows("orders") == 210 and "more" in world.sample("orders").columns
 
 
 def test_removed_source_and_bad_jobs_do_not_stop_others(world):
     world.run()
-    assert world.rows("orders") == 5
+    assert world.rows("orders") == 6
     world.spark.sql(f"DROP TABLE {world.dataset}.orders")
     world.request(
         "customer", {"size": buckets.size(9), "spec": buckets.spec("sorted", "c_name", "ASC")}
@@ -199,7 +199,7 @@ def test_other_location_goes_through_staging(world):
     )
     create_schema(world.spark, f"{config.staging_prefix}old", str(world.root / "eu"), {"a": "b"})
     result = world.run(config=config)
-    assert world.rows("customer") == 60
+    assert world.rows("customer") == 68
     assert {r.error_message for r in result.log.collect()} == {""}
     assert not list_schemas(world.spark, config.staging_prefix)
 
@@ -209,7 +209,7 @@ def test_prefix_run_touches_one_table(world):
     world.policy("orders", WIDE)
     world.policy("customer", "")
     world.run(prefix=f"prod/{world.dataset}/orders.json")
-    assert world.rows("orders") == 200 and world.rows("customer") == 60
+    assert world.rows("orders") == 210 and world.rows("customer") == 68
 
 
 def test_failures_are_retried(world, monkeypatch):
@@ -226,7 +226,7 @@ def test_failures_are_retried(world, monkeypatch):
 
     monkeypatch.setattr(cycle, "_sample_table", flaky)
     world.run()
-    assert world.rows("orders") == 5 and calls.count("orders") == 2
+    assert world.rows("orders") == 6 and calls.count("orders") == 2
 
     def wrong(config, df, row, seed):
         calls.append("final")
@@ -339,14 +339,14 @@ def test_orders_of_a_batch_are_one_plan(spark, world, monkeypatch):
     # The lock and the default policy are looked up, both roots are listed once.
     assert sorted(listed) == sorted([("sampling.lock", True), ("default_policy.json", True), ("prod/", False), ("prod/", False)])
     got = [r.o_totalprice for r in world.sample("orders").collect()]
-    want = [r.o_totalprice for r in sorted_sample(spark.table(f"{world.dataset}.orders"), 10, "o_totalprice", "DESC").collect()]
-    assert sorted(got) == sorted(want)  # 26 asked for, 10 granted by the default policy
-    assert world.sample("other").count() == 10 and world.sample("customer").count() == 60
+    want = [r.o_totalprice for r in sorted_sample(spark.table(f"{world.dataset}.orders"), 14, "o_totalprice", "DESC").collect()]
+    assert sorted(got) == sorted(want)  # 26 asked for, 14 granted by the default policy
+    assert world.sample("other").count() == 14 and world.sample("customer").count() == 68
     log = {(r.cycle_ts, r.target_table.split(".")[2].split("@")[0]): r for r in result.log.collect()}
     assert set(log) == {(t, "customer") for t in (100, 300)} | {(500 + i, "orders") for i in range(20)} | {
         (600, "other"), (700, "x"), (800, "gone")
     }
-    assert log[100, "customer"].amount_inserted == log[300, "customer"].amount_inserted == 60
+    assert log[100, "customer"].amount_inserted == log[300, "customer"].amount_inserted == 68
     commands = {r.timestamp: r for r in result.commands.collect()}
     assert (commands[400].jobs, commands[100].jobs, commands[519].failed) == (0, 1, 0)
     assert (commands[700].error, commands[800].error) == ("FOREIGN_TARGET", "MISSING_SOURCE")
@@ -366,7 +366,7 @@ def test_dataset_that_cannot_be_described_stops_no_other(spark, world):
     assert sorted(map(tuple, found.collect()), key=str) == [("else", "no`where", None), ("prod", world.dataset, "EU")]
     buckets.write(world.policies, "prod/odd`set/orders.json", "")
     errors = {r.table_id: r.error for r in world.run().errors.collect()}
-    assert errors == {"orders": "MISSING_SOURCE"} and world.sample("orders").count() == 5
+    assert errors == {"orders": "MISSING_SOURCE"} and world.sample("orders").count() == 6
 
 
 def test_one_object_is_looked_up_alone(spark, world):

@@ -54,8 +54,7 @@ def effective(config):
 
 
 def key_of(row):
-    letters = row.project_id[-1], row.dataset_id[-1], row.table_id
-    return ".".join(letters)
+    return f"{row.project_id}.{row.dataset_id}.{row.table_id}"
 
 
 def counts_for(df, n):
@@ -64,23 +63,22 @@ def counts_for(df, n):
     )
 
 
-A, B, C = buckets.A, buckets.B, buckets.C
+BOOKED, KM = ("sorted", ("booked_at", "ASC")), ("sorted", ("km", "DESC"))
+# Per table: limit, size, spec, rows granted of 200 and of 4000, error.
 GOLDEN = {
-    "a.a.empty_policy": ((1000, 30.1), (17, 11.1), ("sorted", (B, "ASC")), 17, 111, None),
-    "a.a.non_json": ((1000, 30.1), (18, 11.2), ("sorted", (A, "DESC")), 18, 112, None),
-    "a.a.non_json_b": ((1000, 30.1), (0, None), ("sorted", (A, "DESC")), 0, 0, None),
-    "a.b.policy_full": ((1050, 35.1), (9, 6.5), ("sorted", (B, "ASC")), 9, 65, None),
-    "a.b.policy_full_again": (
-        (1050, 35.1), (9, 6.5), ("random", (buckets.D, "ASC")), 9, 65, None,
-    ),
-    "b.c.policy_full_simple_default_sample": (
-        (1200, 41.1), (11, 7.5), ("sorted", None), 11, 75, "MISSING_SORT_PROPERTIES",
-    ),
-    "b.c.policy_only_limit": ((1100, 20.1), (10, 5.5), ("sorted", (C, "DESC")), 10, 55, None),
+    "shop.sales.receipts": ((640, 22.5), (25, 3.0), BOOKED, 25, 120, None),
+    "shop.sales.refunds": ((640, 22.5), (None, 50.0), ("random", None), 45, 640, None),
+    "shop.sales.baskets": ((640, 22.5), (31, None), BOOKED, 31, 31, None),
+    "shop.stock.shelves": ((None, 12.5), (5000, None), BOOKED, 25, 500, None),
+    "shop.stock.pallets": ((640, 22.5), (25, 3.0), ("sorted", ("weight", "DESC")), 25, 120, None),
+    "fleet.trips.legs": ((75, 80.0), (12, 0.5), ("random", None), 12, 20, None),
+    "fleet.trips.stops": ((75, 80.0), (12, 0.5), KM, 12, 20, None),
+    "fleet.trips.fuel": ((640, 22.5), (25, 3.0), ("sorted", None), 25, 120, "MISSING_SORT_PROPERTIES"),
+    "fleet.depots.bays": ((3, None), (25, 3.0), ("sorted", None), 3, 3, "MISSING_SORT_PROPERTIES"),
 }
 
 
-@pytest.mark.parametrize("rows,place", [(100, 3), (1000, 4)])
+@pytest.mark.parametrize("rows,place", [(200, 3), (4000, 4)])
 def test_golden_plan(config, rows, place):
     resolved = effective(config)
     plan = compliant_plan(resolved, counts_for(resolved, rows)).collect()
@@ -95,13 +93,13 @@ def test_golden_plan(config, rows, place):
 def test_scan_keeps_empty_and_bad_objects(spark, roots, tmp_path):
     rows = {r.path: r.content for r in scan_config_objects(spark, roots[0]).collect()}
     assert set(rows) == set(buckets.POLICIES)
-    assert rows[f"{buckets.AA}/empty_policy.json"] == ""
+    assert rows["shop/sales/receipts.json"] == ""
     buckets.write(tmp_path, "x/y/z.json", b"\xff\xfe")
     assert scan_config_objects(spark, str(tmp_path)).first().content is None
     assert scan_config_objects(spark, str(tmp_path / "none")).count() == 0
-    part = scan_config_objects(spark, roots[0], "project_id_a/dataset_id_b/")
-    assert part.count() == 2
-    only = scan_config_objects(spark, roots[0], condition=F.col("path").endswith(".txt"))
+    part = scan_config_objects(spark, roots[0], "fleet/trips/")
+    assert part.count() == 3
+    only = scan_config_objects(spark, roots[0], condition=F.col("path").endswith(".md"))
     assert only.count() == 1
 
 
@@ -116,9 +114,9 @@ def test_grouped_scan_reads_all(spark, roots):
 
 def test_paths_and_prefixes(spark, roots):
     objects = scan_config_objects(spark, roots[0])
-    assert parse_table_path(objects).count() == 7
+    assert parse_table_path(objects).count() == 9
     prefixes = {r.prefix for r in list_dataset_prefixes(objects).collect()}
-    assert prefixes == {f"{p}/" for p in (buckets.AA, buckets.AB, buckets.BC)}
+    assert prefixes == {"shop/sales/", "shop/stock/", "fleet/trips/", "fleet/depots/"}
 
 
 def test_empty_lock_object_counts(spark, tmp_path):
@@ -131,7 +129,7 @@ def test_empty_lock_object_counts(spark, tmp_path):
 def test_missing_default_means_fallback(config):
     policies, _, default = config
     rows = effective_policy(policies, default.limit(0)).collect()
-    empty = next(r for r in rows if r.table_id == "empty_policy")
+    empty = next(r for r in rows if r.table_id == "receipts")
     assert tuple(empty.limit) == (1, None) and tuple(empty["size"]) == (1, None)
     assert empty.spec.type == "random"
 
@@ -145,19 +143,19 @@ def test_default_is_a_subquery_not_a_join(config):
 def test_orphans_and_removed(config):
     policies, requests, _ = config
     orphans = orphan_requests(requests, policies).collect()
-    assert [r.table_id for r in orphans] == ["invalid_table_id"]
-    present = policies.filter(F.col("project_id") == "project_id_a")
+    assert [r.table_id for r in orphans] == ["vouchers"]
+    present = policies.filter(F.col("project_id") == "shop")
     gone = removed_sources(policies, present).collect()
-    assert {r.project_id for r in gone} == {"project_id_b"}
+    assert {r.project_id for r in gone} == {"fleet"}
     assert {r.error_code for r in gone} == {"MISSING_SOURCE"}
 
 
 def test_missing_and_bad_counts_are_errors(config):
     resolved = effective(config)
-    counts = counts_for(resolved.filter("project_id = 'project_id_b'"), -1)
+    counts = counts_for(resolved.filter("project_id = 'fleet'"), -1)
     codes = {key_of(r): r.error_code for r in compliant_plan(resolved, counts).collect()}
-    assert codes["a.b.policy_full"] == "MISSING_SOURCE"
-    assert codes["b.c.policy_only_limit"] == "BAD_ROW_COUNT"
+    assert codes["shop.sales.refunds"] == "MISSING_SOURCE"
+    assert codes["fleet.depots.bays"] == "BAD_ROW_COUNT"
 
 
 def test_spec_without_type_is_an_error(spark, config):
@@ -170,9 +168,9 @@ def test_spec_without_type_is_an_error(spark, config):
 
 def test_target_mapping(config):
     resolved = effective(config).withColumn("location", F.lit("EU"))
-    row = target_mapping(resolved, "target", "US").filter("table_id = 'policy_full'").first()
-    assert row.source_table == "project_id_a.dataset_id_b.policy_full@EU"
-    assert row.target_table == "target.dataset_id_b.policy_full@US"
+    row = target_mapping(resolved, "target", "US").filter("table_id = 'legs'").first()
+    assert row.source_table == "fleet.trips.legs@EU"
+    assert row.target_table == "target.trips.legs@US"
     assert row.crosses_location
     row = target_mapping(resolved, "target", "EU").first()
     assert not row.crosses_location
@@ -239,12 +237,12 @@ def test_dry_runs(config):
     policies, requests, default = config
     report = {key_of(r): r for r in policy_request_dry_run(policies, requests, default).collect()}
     assert len(report) == 8
-    assert not report["a.a.invalid_table_id"].has_policy
-    assert tuple(report["a.a.non_json"]["size"]) == (18, 11.2)
-    plan = sample_request_dry_run(policies, requests, default, counts_for(requests, 10))
+    assert not report["shop.sales.vouchers"].has_policy
+    assert tuple(report["shop.sales.refunds"]["size"]) == (None, 50.0)
+    plan = sample_request_dry_run(policies, requests, default, counts_for(requests, 40))
     granted = {key_of(r): r.granted for r in plan.collect()}
-    assert granted["a.a.non_json"] == 3
-    assert "a.a.invalid_table_id" not in granted
+    assert granted["shop.sales.refunds"] == 9
+    assert "shop.sales.vouchers" not in granted
 
 
 def test_records(spark):
