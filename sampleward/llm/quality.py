@@ -10,7 +10,8 @@ into `1 << HASH_BITS` places. Weights are fitted on at most `sample` labelled do
 id hash; the sample goes to the driver as feature numbers. Every document is scored by its whole text.
 
 Grades of the table labels: quality plus 1 if not toxic, so 2 is good and clean. Labels with nulls
-are ignored; of several for one document the lowest counts. Null texts count as empty. Without labels
+are ignored; of several for one document the lowest counts. Of a labelled doc_id on several rows one text is
+learned from. Null texts count as empty, texts of any length are read whole. Without labels
 of two grades nothing is known: all documents then get the best grade's probability 1. Every row gives
 one row, repeated ones too.
 """
@@ -166,7 +167,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Model:
     """Weights from at most `sample` labelled documents; the bound is on rows sent to the driver."""
     # A few thousand rows, so they may be broadcast.
     chosen = label_grades(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rated = texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "grade")
+    rated = texts(docs).join(F.broadcast(chosen), "doc_id")
+    # One row per labelled document, however often its id occurs: that of least text hash.
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    rated = rated.groupBy("doc_id", "grade").agg(one).select("doc_id", "text", "grade")
 
     def run(rows):
         features = Features()
@@ -174,8 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Model:
             yield doc_id, grade, features.of(text).astype("<i4").tobytes()
 
     found = map_rows(rated, run, "doc_id long, grade int, places binary")
-    # Repeats of a labelled document count once.
-    rows = sorted({(r.doc_id, r.grade, bytes(r.places)) for r in found.toLocalIterator()})
+    rows = sorted((r.doc_id, r.grade, bytes(r.places)) for r in found.toLocalIterator())
     if not rows:
         return fit([], np.array([], dtype=np.int64))
     return fit(
@@ -202,9 +205,10 @@ def select(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def good(text: pd.Series) -> pd.Series:
-        features, model = Features(), shared.value
-        scores = [float(model.weights[features.of(t)].sum()) for t in text.fillna("")]
-        return pd.Series([bool(model.tails(s)[-1] >= least) for s in scores], dtype=bool)
+    def good(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        features, model = Features(), shared.value  # kept for the whole task
+        for text in parts:
+            scores = [float(model.weights[features.of(t)].sum()) for t in text.fillna("")]
+            yield pd.Series([bool(model.tails(s)[-1] >= least) for s in scores], dtype=bool)
 
     return docs.where(good(F.col("text")))

@@ -5,8 +5,9 @@ dimensions at a time; by Cauchy-Schwarz, what the remaining dimensions can still
 product of the remaining masses (norms). Candidates whose sum and bound stay below the query's k-th
 score so far are dropped, and the rest is compacted before the next dimensions are read.
 
-Queries go through the candidates in slices of at most `slice_bytes`, each slice broadcast; a slice's
-tasks give k rows per query and a window keeps the best. Blocks are written to the shared folder once.
+Queries go through the candidates in slices of at most `slice_bytes`, one after the other: a slice is broadcast,
+its tasks give k rows per query, which are written, and it is released before the next one, so the driver never holds
+more than a slice. A window keeps the best. Blocks are written to the shared folder once.
 
 Components become floor(256 * x), as longs. Sums are exact: in doubles where no sum can reach 2^53, else
 in integers of any size, cut to the range of a long. Vectors that are null or have a null or non-finite
@@ -212,7 +213,9 @@ def top_k(
                 for negative, vec_id in best:
                     yield row, query_id, vec_id, -negative
 
-        return map_rows(held, run, "row long, query_id long, vec_id long, score long")
+        found = stage(map_rows(held, run, "row long, query_id long, vec_id long, score long"), "nearest")
+        sent.destroy()
+        return found
 
     empty = spark.createDataFrame([], "row long, query_id long, vec_id long, score long")
     found = reduce(DataFrame.unionAll, map(results, range(slices)), empty)

@@ -1,5 +1,6 @@
 """The classifier, near-duplicate documents and the pipeline on small fixtures."""
 
+import math
 import random
 
 import numpy as np
@@ -47,6 +48,58 @@ def test_cumulative_link_gradient_orders_three_grades():
     assert means[0] < 0.5 < means[1] < 1.5 < means[2]
 
 
+def plain_objective(rows, grades, weights, thresholds):
+    """Mean weighted log-likelihood, each grade counting alike."""
+    shares = {g: len(grades) / (3 * list(grades).count(g)) for g in set(grades)}
+    total = 0.0
+    for row, g in zip(rows, grades):
+        score = sum(weights[i] for i in row)
+        above = [1.0, *(1 / (1 + math.exp(t - score)) for t in thresholds), 0.0]
+        total += shares[g] * math.log(above[g] - above[g + 1])
+    return total / len(rows)
+
+
+def test_fit_is_the_maximum_of_the_plain_likelihood():
+    draw = random.Random(2)
+    rows, grades = [], []
+    for _ in range(300):
+        row = [i for i in range(6) if draw.random() < 0.5]
+        noisy = sum((0.9, -0.7, 0.5, 0.0, -0.4, 0.2)[i] for i in row) + draw.gauss(0, 1.2)
+        rows.append(np.array(row, dtype=np.int64))
+        grades.append(0 if noisy < -0.3 else 1 if noisy < 0.6 else 2)
+    model = quality.fit(rows, np.array(grades), rounds=1500, penalty=0.0, least_rows=1, least_distance=0.0)
+    best = plain_objective(rows, grades, model.weights, model.thresholds)
+    for _ in range(60):
+        weights, thresholds = model.weights[:6].astype(float), model.thresholds.copy()
+        if draw.random() < 0.7:
+            weights[draw.randrange(6)] += draw.choice([-0.2, -0.05, 0.05, 0.2])
+        else:
+            thresholds[draw.randrange(2)] += draw.choice([-0.1, 0.1])
+        assert plain_objective(rows, grades, weights, thresholds) < best + 1e-4
+
+
+def test_scores_equal_plain_sums(spark):
+    rows, labels = labelled(spark, 120)
+    docs = documents(spark, [*rows, (500, None), (501, " ".join(ODD))])
+    model = quality.train(docs, labels)
+    for r in quality.grade(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        words = (r.text or "").split()
+        names = {"w:" + w.lower().strip(quality.MARKS) for w in words} | set(quality.style(words, r.text or ""))
+        score = sum(float(model.weights[place]) for place in {quality.place(n) for n in names})
+        tails = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert abs(r.p_usable - tails[0]) < 1e-5 and abs(r.p_good - tails[1]) < 1e-5 and abs(r.expected_grade - sum(tails)) < 1e-5
+
+
+def test_a_labelled_id_on_many_rows_counts_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, grades: seen.append(len(rows)))
+    many = spark.range(60_000).selectExpr("IF(id < 40, id, 7) AS doc_id", "concat('word ', id) AS text")
+    labels = spark.range(40).selectExpr("id AS doc_id", "1 AS quality", "int(id % 2) AS toxic")
+    quality.train(many, labels)
+    quality.train(many, labels, sample=10)
+    assert seen == [40, 10]
+
+
 def test_odd_documents_and_labels(spark):
     rows = [*enumerate(ODD), (50, None), (50, None), (None, "x y z")]
     docs = documents(spark, rows).selectExpr("*", "1 AS grade", "2 AS keep")

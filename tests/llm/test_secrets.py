@@ -1,8 +1,10 @@
 """Secret scan against a plain reading of its patterns, and planted assignments."""
 
 import hashlib
+import json
 import random
 import re
+import time
 
 from helpers import documents, odd_documents
 from sampleward.llm import secret_scan
@@ -86,6 +88,62 @@ def test_constants_reach_names_by_any_way():
     assert literals(f'db_pwd = A0\n{chain}A2000 = "Xk9#mQ2$vL8"') == ["Xk9#mQ2$vL8"]
 
 
+def test_forms_of_values():
+    value = "Xk9#mQ2$vL8"
+    for text in (
+        f'db_pwd = """{value}"""', f"db_pwd = r\'\'\'{value}\'\'\'", f'pwd = os.environ.get("DB_PWD", "{value}")',
+        f"<db_pwd kind='x'>{value}</db_pwd>", f"run --db-pwd {value} now", f"run --db-pwd '{value}'", f'auth_tokens: "{value}"',
+        f'db_pwd = \\\n    "{value}"', f'db_pwd = ("{value}")', f"db_pwd: |\n  {value}\nport: 25",
+    ):
+        assert literals(text) == [value], text
+    assert literals('db_pwd = ("Xk9#"\n    "mQ2$"\n    "vL8")') == ["Xk9#", "mQ2$", "vL8"]
+    assert literals('db_pwd = \\\n  "Xk9#" \\\n  "mQ2$vL8"') == ["Xk9#", "mQ2$vL8"]
+    assert literals("db_pwd: >\n  Xk9#mQ2$vL8\n  zT4!rW7%yB\nport: 25") == ["Xk9#mQ2$vL8", "zT4!rW7%yB"]
+    for text in ('pwd = get("Xk9#mQ2$vL8")', "n_tokens = 12345678", "<p>pwd</p>", "--dry-run now", 'pwd = f(x, "Xk9#mQ2$vL8"'):
+        assert literals(text) == [], text
+
+
+def test_unquoted_values_within_each_other():
+    # The first that is plausible covers the rest; each is judged as if it stood alone.
+    assert literals("url=a=1&db_pwd=Xk9#mQ2$vL8") == ["Xk9#mQ2$vL8"]
+    assert literals("db_pwd=db_pwd=Xk9#mQ2$vL8") == ["db_pwd=Xk9#mQ2$vL8"]
+    assert literals("db_pwd=example&db_pwd=Xk9#mQ2$vL8") == ["Xk9#mQ2$vL8"]
+    draw = random.Random(5)
+    for _ in range(300):
+        run = "".join(draw.choice(["a", "B", "7", "$", "example", "none", "zz"]) for _ in range(draw.randrange(1, 12)))
+        got = secret_scan.suffix_scores(run, 0, len(run), set(range(len(run))))
+        for i, score in got.items():
+            assert abs(score - secret_scan.literal_score(run[i:])) < 1e-9, run[i:]
+
+
+def test_names_that_stand_for_each_other():
+    ring = 'A = B\nB = C + "Xk9#"\nC = A + "mQ2$vL8"\n'
+    for name in "ABC":
+        assert literals(f"{ring}db_pwd = {name}") == literals(f"db_pwd = {name}\n{ring}") == ["Xk9#", "mQ2$vL8"]
+    double = 'A = "xY7$"\n' + "A = A + A\n" * 300 + "db_pwd = A"
+    assert literals(double) == ["xY7$"]
+
+
+def test_time_grows_with_the_length_whatever_the_text():
+    def seconds(text):
+        start = time.perf_counter()
+        secret_scan.find_spans(text)
+        return time.perf_counter() - start
+
+    shapes = [
+        lambda n: "u=" + "a=1&" * (n // 4), lambda n: "pin=" * (n // 4), lambda n: "a:" * (n // 2),
+        lambda n: "".join(f'token = token + "ab{i}Xy$"\n' for i in range(n // 24)),
+        lambda n: "".join(f"A{i} = A{i + 1}\n" for i in range(n // 24)) + "".join(f"pwd{i} = A{i}\n" for i in range(n // 24)),
+        lambda n: "".join(f'A{i} = A{i + 1} + "xy{i}"\npwd = A{i}\n' for i in range(n // 36)) + f"A{n // 36} = A0",
+        lambda n: json.dumps([{"pwd": f"v{i}", "b": [1, {"token": f"abcD12${i}"}]} for i in range(n // 50)]),
+        lambda n: "a=b # " * (n // 6), lambda n: "k: |\n " * (n // 7), lambda n: 'a=f("x",' * (n // 8), lambda n: "<a>b" * (n // 4),
+    ]
+    for number, shape in enumerate(shapes):
+        # Ten times the text takes about ten times as long, not a hundred times.
+        short, long = max(seconds(shape(20_000)), 0.02), seconds(shape(200_000))
+        assert long < 40 * short, (number, short, long)
+
+
 def test_harmless_text_has_no_literals():
     for text in (
         'title = "Xk9#mQ2$vL8"', 'pwd_length = "Xk9#mQ2$vL8"', 'db_pwd = "changeme"', 'db_pwd = "${PWD_ENV}"',
