@@ -288,7 +288,8 @@ class Values:
     def default_of_call(self, at: int) -> list[Literal]:
         arguments = []
         while m := ARGUMENT.match(self.text, at):
-            arguments.append(Literal(*m.span(m.lastindex - 1), True))
+            string = next(i for i in range(1, NAME_GROUP) if m[i] is not None)
+            arguments.append(Literal(*m.span(string), True))
             at = m.end()
             if m[m.lastindex] == ")":
                 return arguments[-1:] if len(arguments) > 1 else []
