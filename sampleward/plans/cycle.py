@@ -36,6 +36,7 @@ from sampleward.plans.effective import (
     default_policy,
     effective_policy,
     effective_request,
+    orphan_requests,
     table_policies,
     table_requests,
 )
@@ -135,8 +136,10 @@ def count_tables(
     return small_table(spark, rows, ROW_COUNT)
 
 
-def resolve_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> DataFrame:
-    """A row per order and table it covers, with the effective limit and what is to be sampled.
+def resolve_orders(
+    spark: SparkSession, config: CycleConfig, orders: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """A row per order and table it covers, with the effective limit and what is to be sampled; and orphan requests.
 
     Both config roots are listed once for all orders. A SAMPLE_START for a table without a policy is
     capped by the default policy.
@@ -145,12 +148,12 @@ def resolve_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame)
     objects = scan_config_objects(spark, config.policy_root, config.default_policy_path, exact=True)
     default = default_policy(objects, config.default_policy_path)
     policies = stage(table_policies(scan_config_objects(spark, config.policy_root, prefix)), "policies")
-    requests = table_requests(scan_config_objects(spark, config.request_root, prefix))
+    requests = stage(table_requests(scan_config_objects(spark, config.request_root, prefix)), "asked")
     asked = orders.where("route = 'SAMPLE_START'").select(*TABLE_KEY).distinct()
     unknown = asked.join(policies, TABLE_KEY, "left_anti")
     known = policies.unionByName(unknown, allowMissingColumns=True)
     effective = effective_request(effective_policy(known, default), requests)
-    return covered_requests(effective, policies, orders)
+    return covered_requests(effective, policies, orders), orphan_requests(requests, policies)
 
 
 def plan_jobs(
@@ -207,7 +210,8 @@ def run_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> C
     if whole:
         drop_orphan_staging(spark, config.staging_prefix)
 
-    covered = stage(resolve_orders(spark, config, orders), "requests")
+    covered, orphans = resolve_orders(spark, config, orders)
+    covered = stage(covered, "requests")
     requests = stage(latest_requests(covered), "latest")
     keys = (tuple(row) for row in requests.select(*TABLE_KEY).distinct().toLocalIterator())
     tables = find_tables(spark, config, keys)
@@ -274,7 +278,11 @@ def run_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> C
     dropped: list[str] = []
     if whole:
         dropped = _drop_obsolete(spark, config, finished.filter(F.col("error_code").isNull()))
-    return CycleResult("DONE", log, errors_per_cycle(failed), tuple(dropped), commands)
+    errors = failed.select(*TABLE_KEY, "error")
+    if whole:
+        # Requests that no policy allows are not sampled, which a whole cycle reports.
+        errors = errors.unionAll(orphans.select(*TABLE_KEY, F.lit("ORPHAN_REQUEST")))
+    return CycleResult("DONE", log, errors_per_cycle(errors), tuple(dropped), commands)
 
 
 def _with_retry(config: CycleConfig, job) -> int:

@@ -369,6 +369,12 @@ def test_dataset_that_cannot_be_described_stops_no_other(spark, world):
     assert errors == {"orders": "MISSING_SOURCE"} and world.sample("orders").count() == 6
 
 
+def test_whole_cycles_report_orphan_requests(spark, world):
+    world.request("vouchers", {"size": buckets.size(4)})
+    assert [(r.table_id, r.error) for r in world.run().errors.collect()] == [("vouchers", "ORPHAN_REQUEST")]
+    assert world.run(prefix=f"prod/{world.dataset}/orders").errors.count() == 0
+
+
 def test_one_object_is_looked_up_alone(spark, world):
     buckets.write(world.policies, "default_policy.json.bak", {})
     one = scan_config_objects(spark, world.policies, "default_policy.json", exact=True)
