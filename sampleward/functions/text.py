@@ -11,6 +11,11 @@ BLANK = r"[\s\x1c-\x1f]+"
 ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
 
 
+def quoted_name(*parts: str) -> str:
+    """A name of several parts for SQL, whatever characters they hold."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
+
+
 def strip(text: Column) -> Column:
     """Drop white space, tabs and line breaks at both ends."""
     left = F.regexp_replace(text, f"(?U)^{BLANK}", "")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sampleward.operators.sampling import (
@@ -28,6 +28,7 @@ from sampleward.operators.tables import (
     drop_orphan_staging,
     drop_tables,
     full_refresh_targets,
+    replace_batch,
     sample_labels,
     staging_schema_name,
     write_sample,
@@ -199,8 +200,13 @@ def run_cycle(
     return run_orders(spark, config, one_order(spark, int(time.time()) if cycle_ts is None else cycle_ts, prefix))
 
 
-def run_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> CycleResult:
-    """Run all orders of a batch as one plan: each table is sampled once per target, and every order is logged."""
+def run_orders(
+    spark: SparkSession, config: CycleConfig, orders: DataFrame, batch: str | None = None
+) -> CycleResult:
+    """Run all orders of a batch as one plan: each table is sampled once per target, and every order is logged.
+
+    The records of a batch that is run again replace those of its first run; without a name, a run is a batch of its own.
+    """
     lock_objects = scan_config_objects(spark, config.request_root, config.lock_path, exact=True)
     if object_present(lock_objects, config.lock_path):
         LOG.warning("Sampling is locked by %s, nothing is changed", config.lock_path)
@@ -273,7 +279,7 @@ def run_orders(spark: SparkSession, config: CycleConfig, orders: DataFrame) -> C
     )
     failed = finished.filter(F.col("error_code").isNotNull()).withColumn("error", F.col("error_code"))
     commands = stage(order_outcomes(orders, covered, finished), "commands")
-    _append_logs(spark, config, log, failed, commands)
+    _write_logs(spark, config, batch or uuid.uuid4().hex, log, failed, commands)
 
     dropped: list[str] = []
     if whole:
@@ -307,7 +313,7 @@ def draw_seed(seed: int | None, cycle_ts: int, key: TableKey) -> int:
 
 
 def _sample_table(config: CycleConfig, df: DataFrame, row: Row, seed: int) -> int:
-    """Sample, write and count one table; returns the rows now in the target."""
+    """Sample and write one table; returns the rows now in the target, counted as they are written."""
     spark = df.sparkSession
     sample = sample_by_spec(
         df,
@@ -323,26 +329,35 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row, seed: int) -> in
     schema, table = config.target_schema(row.target_dataset), row.target_id.lower()
     labels = sample_labels(config.labels, row.project_id, row.location)
     source_root = config.location_roots.get(row.location or "")
+    written = Observation()
     if row.crosses_location and source_root:
         staging = staging_schema_name(
             spark, config.staging_prefix, row.target_dataset, table, row.location, uuid.uuid4().hex
         )
-        written = cross_location_copy(sample, staging, source_root, schema, table, labels)
+        cross_location_copy(
+            sample,
+            staging,
+            source_root,
+            schema,
+            table,
+            labels,
+            written=written,
+            lease_seconds=config.lease_seconds,
+            keep_seconds=config.keep_seconds,
+        )
     else:
-        written = write_sample(sample, schema, table, labels)
-    return written.count()
+        write_sample(sample, schema, table, labels, written=written, keep_seconds=config.keep_seconds)
+    return written.get["rows"]
 
 
-def _append_logs(
-    spark: SparkSession, config: CycleConfig, log: DataFrame, failed: DataFrame, commands: DataFrame
+def _write_logs(
+    spark: SparkSession, config: CycleConfig, batch: str, log: DataFrame, failed: DataFrame, commands: DataFrame
 ) -> None:
     create_schema(spark, config.log_schema, config.target_root, LOG_LABELS)
-    log.write.mode("append").saveAsTable(f"`{config.log_schema}`.`sample_runs`")
     letters = dead_letter(failed, ["source_table", "target_table", "sample_type", "granted"], others=["timestamp"])
-    letters.withColumnRenamed("timestamp", "cycle_ts").write.mode("append").saveAsTable(
-        f"`{config.log_schema}`.`sample_errors`"
-    )
-    commands.write.mode("append").saveAsTable(f"`{config.log_schema}`.`command_runs`")
+    replace_batch(log, config.log_schema, "sample_runs", batch)
+    replace_batch(letters.withColumnRenamed("timestamp", "cycle_ts"), config.log_schema, "sample_errors", batch)
+    replace_batch(commands, config.log_schema, "command_runs", batch)
 
 
 def _drop_obsolete(spark: SparkSession, config: CycleConfig, sampled: DataFrame) -> list[str]:

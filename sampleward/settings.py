@@ -28,6 +28,12 @@ STAGING_PART_LENGTH = 200
 # Schema property that names the location of its data.
 LOCATION_PROPERTY = "data_location"
 
+# Schema property with the end of the lease of a staging schema, in seconds of the epoch.
+LEASE_PROPERTY = "lease_until"
+# A step of a copy to another location takes no longer; a replaced sample stays so long for those who read it.
+LEASE_SECONDS = 86_400
+KEEP_SECONDS = 3_600
+
 # Fixed values of the fallback policy: one row, picked at random.
 FALLBACK_COUNT = 1
 
@@ -66,6 +72,8 @@ class CycleConfig:
     attempts: int = 3
     retry_wait: tuple[float, float] = (4.0, 10.0)
     single_task_rows: int | None = None
+    lease_seconds: int = LEASE_SECONDS
+    keep_seconds: int = KEEP_SECONDS
 
     def target_schema(self, dataset: str) -> str:
         return f"{self.target_schema_prefix}{dataset}".lower()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sampleward.functions.text import quoted_name
 from sampleward.schemas import CATALOG_TABLE, LOCATION, ROW_COUNT, SOURCE_COLUMN
 from sampleward.settings import LOCATION_PROPERTY
 from sampleward.sources.shared import small_table
@@ -83,7 +85,7 @@ def label_match(labels: Column, wanted: Mapping[str, str]) -> Column:
 
 def schema_properties(spark: SparkSession, schema: str, catalog: str | None = None) -> dict[str, str]:
     """Properties set on a schema, read from its description."""
-    name = ".".join("`" + part.replace("`", "``") + "`" for part in (catalog, schema) if part)
+    name = quoted_name(*(part for part in (catalog, schema) if part))
     rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {name}").collect()
     text = next((row.info_value for row in rows if row.info_name == "Properties"), "")
     inner = text.removeprefix("((").removesuffix("))")
@@ -92,7 +94,7 @@ def schema_properties(spark: SparkSession, schema: str, catalog: str | None = No
 
 
 def table_labels(spark: SparkSession, schema: str, table: str) -> dict[str, str]:
-    rows = spark.sql(f"SHOW TBLPROPERTIES `{schema}`.`{table}`").collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted_name(schema, table)}").collect()
     return {row.key: row.value for row in rows}
 
 
@@ -101,15 +103,28 @@ def list_schemas(spark: SparkSession, prefix: str = "") -> list[str]:
     return [name for name in names if name.startswith(prefix)]
 
 
+def table_names(spark: SparkSession, schema: str, pattern: str = "*") -> list[str]:
+    """Permanent tables and views of a schema; the pattern knows * only."""
+    rows = spark.sql(f"SHOW TABLES IN {quoted_name(schema)} LIKE '{pattern}'").collect()
+    return [row.tableName for row in rows if not row.isTemporary]
+
+
+def version_time(table: str | None, name: str) -> int | None:
+    """When the version of a sample (of any one if `table` is None) was made; None if the name is no version's."""
+    base = r".+" if table is None else re.escape(table.lower())
+    match = re.fullmatch(base + r"__v(\d+)_[0-9a-f]{32}", name)
+    return int(match[1]) if match else None
+
+
 def list_tables(
     spark: SparkSession, project: str, schema_prefix: str = "", condition: Column | None = None
 ) -> DataFrame:
-    """Permanent tables of the schemas with a prefix, each with its labels."""
+    """Permanent tables of the schemas with a prefix, each with its labels; versions of samples are none."""
     names = [
-        (schema, table.name)
+        (schema, name)
         for schema in list_schemas(spark, schema_prefix)
-        for table in spark.catalog.listTables(schema)
-        if not table.isTemporary
+        for name in table_names(spark, schema)
+        if version_time(None, name) is None
     ]
 
     def describe(name: tuple[str, str]) -> tuple:

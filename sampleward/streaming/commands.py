@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable
 from functools import reduce
@@ -250,8 +251,10 @@ def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str)
 
     A table that several commands ask for is sampled once per target, for the latest of them, and each command
     is logged with its own time. A SAMPLE_START is carried out as sent, within the policy. A command that fails
-    becomes a dead letter and does not stop the others, nor does a failed transfer.
+    becomes a dead letter and does not stop the others, nor does a failed transfer. A repeated batch replaces
+    its dead letters and its records; streams with dead letters in different folders have different batches.
     """
+    stream = hashlib.sha256(dead_letters.encode()).hexdigest()[:16]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = route_commands(batch).persist()
@@ -284,7 +287,7 @@ def command_handler(spark: SparkSession, config: CycleConfig, dead_letters: str)
             if orders.isEmpty():
                 return
             try:
-                result = run_orders(spark, config, orders.select(*ORDER.fieldNames()))
+                result = run_orders(spark, config, orders.select(*ORDER.fieldNames()), f"{stream}-{batch_id}")
             except Exception as error:  # noqa: BLE001 - the commands of this batch have failed, not the stream
                 LOG.exception("The commands of batch %s failed", batch_id)
                 failures(orders.withColumn("error", text_of(error)))

@@ -1,6 +1,8 @@
 """Whole cycles on a local catalog: config and source changes and what becomes of the samples."""
 
 import os
+import threading
+import time
 import uuid
 
 import pytest
@@ -14,8 +16,12 @@ from sampleward.operators.tables import (
     drop_column,
     drop_empty_schemas,
     drop_orphan_staging,
+    drop_versions,
     full_refresh_targets,
+    leased,
+    new_version,
     sample_labels,
+    table_location,
     write_sample,
 )
 from sampleward.plans import cycle as cycle_module
@@ -23,7 +29,14 @@ from sampleward.plans.cycle import run_cycle, run_orders, sample_by_spec
 from sampleward.schemas import ORDER
 from sampleward.settings import CycleConfig
 from sampleward.sources.config_objects import scan_config_objects
-from sampleward.sources.catalog import dataset_locations, list_schemas, list_tables, schema_properties, table_labels
+from sampleward.sources.catalog import (
+    dataset_locations,
+    list_schemas,
+    list_tables,
+    schema_properties,
+    table_labels,
+    table_names,
+)
 
 DEFAULT = {
     "limit": buckets.size(14, 2.75),
@@ -381,3 +394,86 @@ def test_one_object_is_looked_up_alone(spark, world):
     assert [r.path for r in one.collect()] == ["default_policy.json"]
     assert scan_config_objects(spark, world.policies, "default_policy", exact=True).count() == 0
     assert scan_config_objects(spark, world.policies, "prod", exact=True).count() == 0
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    schema = f"v{uuid.uuid4().hex[:8]}"
+    create_schema(spark, schema, str(tmp_path / "target"), {"sample_table": "true"})
+    return schema
+
+
+def test_a_reader_never_misses_a_sample_that_is_refreshed(spark, table, target):
+    orders = table("orders").limit(40)
+    write_sample(orders, target, "o", {"a": "0"})
+    held, counts, errors, stop = spark.table(f"{target}.o"), [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                counts.append(spark.table(f"{target}.o").count())
+            except Exception as error:  # noqa: BLE001 - looked at below
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 6):
+        df = orders.limit(40 + n).withColumn("more", F.lit(n)) if n > 2 else orders
+        write_sample(df, target, "o", {"a": str(n)})
+    stop.set()
+    reader.join()
+    assert not errors and counts and set(counts) == {40}
+    # Who has held the table since before the refreshes can still read it.
+    assert held.count() == 40 and "more" in spark.table(f"{target}.o").columns
+    assert table_labels(spark, target, "o")["a"] == "5"
+    assert [r.table_id for r in list_tables(spark, "p", target).collect()] == ["o"]
+
+
+def test_old_versions_go_and_the_live_one_stays(spark, table, target):
+    nation = table("nation")
+    for n in (3, 4, 5):
+        write_sample(nation.limit(n), target, "n", {"a": "b"}, keep_seconds=-10)
+    assert len(table_names(spark, target)) == 2 and spark.table(f"{target}.n").count() == 5
+    # A switch that was cut short: the version still names the place of the live sample.
+    lost = new_version("n")
+    nation.limit(1).write.saveAsTable(f"{target}.{lost}")
+    spark.sql(f"ALTER TABLE {target}.{lost} SET LOCATION '{table_location(spark, f'{target}.n')}'")
+    drop_versions(spark, target, "n")
+    assert table_names(spark, target) == ["n"] and spark.table(f"{target}.n").count() == 5
+    # Other columns, then a table that somebody has dropped.
+    write_sample(table("region"), target, "n", {"a": "b"})
+    assert spark.table(f"{target}.n").columns == table("region").columns
+    write_sample(nation.limit(2), target, "n", {"a": "b"})
+    spark.sql(f"DROP TABLE {target}.n")
+    assert write_sample(nation.limit(6), target, "n", {"a": "b"}).count() == 6
+    assert write_sample(nation.limit(2), target, "n", {"a": "b"}, recreate=False).count() == 8
+
+
+def test_leased_staging_is_not_swept(spark, tmp_path):
+    prefix = f"l{uuid.uuid4().hex[:8]}"
+    for name, labels in (("busy", leased({"a": "b"}, 60)), ("over", leased({}, -1)), ("old", {"a": "b"})):
+        create_schema(spark, f"{prefix}_{name}", str(tmp_path), labels)
+    assert sorted(drop_orphan_staging(spark, prefix)) == [f"{prefix}_old", f"{prefix}_over"]
+    assert list_schemas(spark, prefix) == [f"{prefix}_busy"]
+
+
+def test_a_repeated_batch_replaces_its_records(spark, world):
+    rows = [order("START", 100), order("SAMPLE_START", 200, project_id="prod", dataset_id="gone", table_id="t",
+            target_project="target", target_dataset="gone", target_id="t")]
+    orders = spark.createDataFrame(rows, ORDER)
+    names = ("sample_runs", "sample_errors", "command_runs")
+
+    def counts():
+        return [spark.table(f"{world.config.log_schema}.{name}").count() for name in names]
+
+    run_orders(spark, world.config, orders, "stream-7")
+    assert counts() == [3, 1, 2]
+    run_orders(spark, world.config, orders, "stream-7")
+    assert counts() == [3, 1, 2]
+    # The repeat has no error: what the first attempt left goes too.
+    run_orders(spark, world.config, orders.filter("route = 'START'"), "stream-7")
+    assert counts() == [2, 0, 1]
+    run_orders(spark, world.config, orders, "stream-8")
+    assert counts() == [5, 1, 3]
+    run_log = {r.target_table.split(".")[2]: r.amount_inserted for r in spark.table(f"{world.config.log_schema}.sample_runs").collect() if r.error_message == ""}
+    assert run_log == {"orders@EU": 6, "customer@EU": 68}

@@ -205,9 +205,10 @@ def run_batch(spark, tmp_path, bodies, config, name):
 
 
 def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
-    calls, dropped = [], []
+    calls, dropped, batches = [], [], []
 
-    def run(session, config, orders):
+    def run(session, config, orders, batch):
+        batches.append(batch)
         calls.append(sorted((o.route, o.timestamp, o.prefix, o.table_id, o.target_dataset) for o in orders.collect()))
         commands = orders.selectExpr("order_id", "route", "timestamp", "1L AS jobs", "1L AS failed", "'BROKEN' AS error")
         return CycleResult("DONE", commands=commands)
@@ -240,6 +241,7 @@ def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
         ("SAMPLE_POLICY_PREFIX", stamp, "p/d/", None, None), ("SAMPLE_POLICY_PREFIX", stamp, "p/e/", None, None),
         ("SAMPLE_START", stamp, None, "t", "d"),
     ]]
+    assert len(batches) == 1 and batches[0].endswith("-0")
     assert sorted(dropped) == ["stg_one", "stg_stuck", "stg_two"]
     errors = sorted(r.error for r in letters)
     # A wide command whose tables failed has their errors in the log, a single one is a dead letter.
@@ -248,7 +250,7 @@ def test_command_stream_runs_each_command_once(spark, tmp_path, monkeypatch):
     assert lost == {"???one", "???two", "???three"}
     assert json.loads(json.loads(next(r.command for r in letters if r.error == "BROKEN"))["payload"])["type"] == "SAMPLE_START"
 
-    def broken(session, config, orders):
+    def broken(session, config, orders, batch):
         raise RuntimeError("no storage")
 
     monkeypatch.setattr(commands_module, "run_orders", broken)
