@@ -80,10 +80,7 @@ def write_sample(
         return spark.table(target)
     version = new_version(table)
     df.write.saveAsTable(quoted_name(schema, version))
-    apply_labels(spark, quoted_name(schema, version), labels)
-    drop_versions(spark, schema, table, time.time() - keep_seconds, but=version)
-    switch_version(spark, schema, table, version)
-    apply_labels(spark, target, labels)
+    switch_version(spark, schema, table, version, labels, keep_seconds)
     spark.catalog.refreshTable(target)
     return spark.table(target)
 
@@ -98,29 +95,33 @@ def table_location(spark: SparkSession, name: str) -> str:
     return json.loads(described)["location"]
 
 
-def switch_version(spark: SparkSession, schema: str, table: str, version: str) -> None:
+def switch_version(
+    spark: SparkSession, schema: str, table: str, version: str, labels: Mapping[str, str], keep_seconds: int
+) -> None:
     """Make a version the table; the version's name then holds what the table was, for those who still read it.
 
     A table of the same columns, or with columns added at the end, moves by one change of its location, so that
-    readers find the old or the new sample at any time. Other changes of columns take two renames.
+    readers find the old or the new sample at any time. Other changes of columns take two renames. Versions made
+    more than `keep_seconds` ago are dropped.
     """
     target, new = quoted_name(schema, table), quoted_name(schema, version)
-    if not spark.catalog.tableExists(target):
-        # What versions of a table that is gone hold may lie where the table will.
-        drop_versions(spark, schema, table, but=version)
-        spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
-        return
-    old_fields, new_fields = spark.table(target).schema.fields, spark.table(new).schema.fields
-    added = new_fields[len(old_fields) :]
-    if new_fields[: len(old_fields)] == old_fields:
+    there = spark.catalog.tableExists(target)
+    old_fields, new_fields = spark.table(target).schema.fields if there else [], spark.table(new).schema.fields
+    if there and new_fields[: len(old_fields)] == old_fields:
+        drop_versions(spark, schema, table, time.time() - keep_seconds, but=version)
+        added = new_fields[len(old_fields) :]
         if added:
             spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({T.StructType(added).toDDL()})")
         old, live = table_location(spark, target), table_location(spark, new)
         spark.sql(f"ALTER TABLE {target} SET LOCATION {_quoted(live)}")
         spark.sql(f"ALTER TABLE {new} SET LOCATION {_quoted(old)}")
+        apply_labels(spark, target, labels)
         return
+    apply_labels(spark, new, labels)
+    # A renamed table lies where its name says, and an older version may lie there still.
     drop_versions(spark, schema, table, but=version)
-    spark.sql(f"ALTER TABLE {target} RENAME TO {quoted_name(schema, new_version(table))}")
+    if there:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {quoted_name(schema, new_version(table))}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
 
 
@@ -131,12 +132,13 @@ def drop_versions(
 
     A version whose switch was cut short may still name the place of the live sample, which stays.
     """
+    made = {name: version_time(table, name) for name in table_names(spark, schema, f"{table.lower()}__v*")}
+    old = [name for name, at in made.items() if at is not None and name != but and (before is None or at < before)]
+    if not old:
+        return
     target = quoted_name(schema, table)
     live = table_location(spark, target) if spark.catalog.tableExists(target) else None
-    for version in table_names(spark, schema, f"{table.lower()}__v*"):
-        made = version_time(table, version)
-        if made is None or version == but or (before is not None and made >= before):
-            continue
+    for version in old:
         name = quoted_name(schema, version)
         if table_location(spark, name) == live:
             spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(f'{live}__{uuid.uuid4().hex}')}")

@@ -31,4 +31,4 @@ def test_random_samples_have_the_granted_rows(spark):
 
 
 def test_entry_has_rows(spark):
-    assert entry.entry(spark).columns == ["table_id", "row_id", "row_part"]
+    assert entry.entry(spark).columns == ["table_id", "row_id", "row_part", "row_digest"]

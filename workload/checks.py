@@ -204,7 +204,8 @@ def _governed() -> str:
         first, second = row_ids(name)
         parts.append(
             f"SELECT '{name}' AS table_id, CAST({first} AS BIGINT) AS row_id, "
-            f"CAST({second} AS BIGINT) AS row_part "
+            f"CAST({second} AS BIGINT) AS row_part, "
+            f"{inputs.row_digest(name, inputs.DUCKDB_TEXTS)} AS row_digest "
             f"FROM ({first_rows(name, by, direction, n)})"
         )
     return " UNION ALL ".join(f"({part})" for part in parts)

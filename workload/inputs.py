@@ -30,6 +30,34 @@ ORDERED_COLUMNS = {
     "conversations": "conv_id turn role text",
 }
 
+DOUBLE_COLUMNS = "c_acctbal s_acctbal p_retailprice o_totalprice l_quantity l_extendedprice l_discount l_tax value".split()
+TIME_COLUMNS = "o_orderdate l_shipdate ts".split()
+# What Spark and DuckDB write differently: a time as text, a list of numbers as text.
+SPARK_TEXTS = (
+    "date_format({}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+    "array_join(transform({}, x -> CAST(CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT) AS STRING)), ',', 'null')",
+)
+DUCKDB_TEXTS = (
+    "strftime({}, '%Y-%m-%d %H:%M:%S.%f')",
+    "array_to_string(list_transform({}, lambda x: "
+    "coalesce(CAST(CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR), 'null')), ',')",
+)
+
+
+def row_digest(table: str, texts: tuple[str, str]) -> str:
+    """MD5 over the values of all columns of a row."""
+    time_text, list_text = texts
+    columns = ORDERED_COLUMNS[table].split() + (["embedding"] if table == "embeddings" else [])
+
+    def value(name: str) -> str:
+        if name in DOUBLE_COLUMNS:
+            return f"CAST(CAST(floor({name} * 1000000) AS BIGINT) AS STRING)"
+        if name in TIME_COLUMNS:
+            return time_text.format(name)
+        return list_text.format(name) if name == "embedding" else f"CAST({name} AS STRING)"
+
+    return f"md5(concat_ws('|', {', '.join(f"coalesce({value(name)}, '<null>')" for name in columns)}))"
+
 
 def _count(key: str) -> str:
     return f"CAST(({key} * 7) % 90 AS STRING)"

@@ -651,6 +651,7 @@ def governed_sample(spark, sf):
                 f"'{name}' AS table_id",
                 f"CAST({first} AS BIGINT) AS row_id",
                 f"CAST({second} AS BIGINT) AS row_part",
+                f"{inputs.row_digest(name, inputs.SPARK_TEXTS)} AS row_digest",
             )
         )
     return reduce(DataFrame.unionAll, samples)
