@@ -47,6 +47,8 @@ WRITE_TASK_ROWS = 10_000
 SMALL_TABLE_ROWS = 1_000_000
 # Values of a sort column looked at to bracket a threshold.
 BRACKET_ROWS = 100_000
+# Tasks that list folders or read config objects at the same time, where there are as many cores.
+LISTING_TASKS = 64
 
 
 @dataclass(frozen=True)

@@ -1,5 +1,7 @@
-"""Data source `config_objects`: every file under a root as one row (path, content).
+"""Config objects: every file under a root as one row (path, content).
 
+Folders are listed and files read in tasks: the root's own folder first, then each project's, then each dataset's
+with all below it, and the files are dealt anew to be read. The driver sees neither names nor contents.
 Empty files are kept, unlike in the built-in text and binary readers: an empty policy file means
 "use the default policy". Content that is not UTF-8 is null.
 """
@@ -7,104 +9,116 @@ Empty files are kept, unlike in the built-in text and binary readers: an empty p
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
 
 from sampleward.functions.text import with_trailing_slash
 from sampleward.schemas import CONFIG_OBJECT
-from sampleward.settings import JSON_SUFFIX
+from sampleward.settings import JSON_SUFFIX, LISTING_TASKS
 
-FILES_PER_PARTITION = 500
+FILES_PER_BATCH = 500
+# Folders of projects and datasets are listed one by one, what lies deeper with its dataset.
+LISTED_DEPTH = 2
+ENTRY = "path string, is_folder boolean"
 
-# The reader travels with the job, so executors need no installed copy of this package.
+Batches = Iterator[pa.RecordBatch]
+
+# The functions travel with the job, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class FileGroup(InputPartition):
-    def __init__(self, files: list[tuple[str, str]]):
-        self.files = files
-
-
-class ConfigObjectsReader(DataSourceReader):
-    def __init__(self, root: str, prefix: str, group_rows: int, exact: bool = False):
-        self.root = root
-        self.prefix = prefix
-        self.exact = exact
-        self.group_rows = group_rows
-
-    def partitions(self) -> list[FileGroup]:
-        filesystem, base = pafs.FileSystem.from_uri(self.root)
-        base = base.rstrip("/")
-        if self.exact:  # one object, looked up without listing its folder
-            info = filesystem.get_file_info(f"{base}/{self.prefix}")
-            found = info.type == pafs.FileType.File
-            return [FileGroup([(info.path, self.prefix)] if found else [])]
-        # A prefix that names a folder is listed alone, not the whole root.
-        folder = self.prefix.rpartition("/")[0]
-        start = f"{base}/{folder}" if folder else base
-        selector = pafs.FileSelector(start, allow_not_found=True, recursive=True)
-        files = []
-        for info in filesystem.get_file_info(selector):
-            relative = info.path[len(base) + 1 :]
-            if info.type == pafs.FileType.File and relative.startswith(self.prefix):
-                files.append((info.path, relative))
-        files.sort()
-        step = self.group_rows
-        return [FileGroup(files[i : i + step]) for i in range(0, len(files), step)] or [
-            FileGroup([])
-        ]
-
-    def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
-        filesystem, _ = pafs.FileSystem.from_uri(self.root)
-        paths, contents = [], []
-        for full_path, relative in partition.files:
-            try:
-                with filesystem.open_input_stream(full_path) as stream:
-                    content = stream.read().decode("utf-8")
-            except FileNotFoundError:
-                continue
-            except UnicodeDecodeError:
-                content = None
-            paths.append(relative)
-            contents.append(content)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(paths, pa.string()), pa.array(contents, pa.string())],
-            names=["path", "content"],
-        )
-
-
-class ConfigObjects(DataSource):
-    """Options: `path` (root), `prefix`, `exact` (one object of that path), `files_per_partition`."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "config_objects"
-
-    def schema(self) -> StructType:
-        return CONFIG_OBJECT
-
-    def reader(self, schema: StructType) -> ConfigObjectsReader:
-        return ConfigObjectsReader(
-            self.options["path"],
-            self.options.get("prefix", ""),
-            int(self.options.get("files_per_partition", FILES_PER_PARTITION)),
-            self.options.get("exact", "false") == "true",
-        )
+def opened(root: str) -> tuple[pafs.FileSystem, str]:
+    filesystem, base = pafs.FileSystem.from_uri(root)
+    return filesystem, base.rstrip("/")
+
+
+def entries_of(
+    filesystem: pafs.FileSystem, base: str, folder: str, prefix: str, whole: bool
+) -> Iterator[tuple[str, bool]]:
+    """What one listing of a folder below `base` finds under a prefix: (path, is it a folder); if `whole`, files at any depth."""
+    selector = pafs.FileSelector(f"{base}/{folder}".rstrip("/"), allow_not_found=True, recursive=whole)
+    for info in filesystem.get_file_info(selector):
+        path = info.path[len(base) + 1 :]
+        is_file = info.type == pafs.FileType.File
+        if path.startswith(prefix) and (is_file or not whole):
+            yield path, not is_file
+
+
+def listing(root: str, prefix: str, whole: bool) -> Callable[[Batches], Batches]:
+    """Replaces each folder by what is in it; files are passed on."""
+
+    def run(batches: Batches) -> Batches:
+        filesystem, base = opened(root)
+        for batch in batches:
+            found = []
+            for path, is_folder in zip(*(column.to_pylist() for column in batch.columns)):
+                found += entries_of(filesystem, base, path, prefix, whole) if is_folder else [(path, False)]
+            paths, folders = zip(*found) if found else ((), ())
+            arrays = [pa.array(paths, pa.string()), pa.array(folders, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["path", "is_folder"])
+
+    return run
+
+
+def reading(root: str) -> Callable[[Batches], Batches]:
+    """Adds the content of files; those that are not there (any more) are left out."""
+
+    def run(batches: Batches) -> Batches:
+        filesystem, base = opened(root)
+        for batch in batches:
+            wanted = batch.column("path").to_pylist()
+            for start in range(0, len(wanted), FILES_PER_BATCH):
+                paths, contents = [], []
+                for path in wanted[start : start + FILES_PER_BATCH]:
+                    try:
+                        if filesystem.get_file_info(f"{base}/{path}").type != pafs.FileType.File:
+                            continue
+                        with filesystem.open_input_stream(f"{base}/{path}") as stream:
+                            content = stream.read().decode("utf-8")
+                    except FileNotFoundError:
+                        continue
+                    except UnicodeDecodeError:
+                        content = None
+                    paths.append(path)
+                    contents.append(content)
+                arrays = [pa.array(paths, pa.string()), pa.array(contents, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["path", "content"])
+
+    return run
+
+
+def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """Paths of all objects whose path starts with `prefix`, dealt over tasks by name.
+
+    A prefix that names a folder has that one listed, not the whole root.
+    """
+    tasks = min(LISTING_TASKS, spark.sparkContext.defaultParallelism)
+    folder = prefix.rpartition("/")[0]
+    entries = spark.range(0, 1, 1, 1).select(F.lit(folder).alias("path"), F.lit(True).alias("is_folder"))
+    depth = len(folder.split("/")) if folder else 0
+    for level in range(min(depth, LISTED_DEPTH), LISTED_DEPTH + 1):
+        entries = entries.mapInArrow(listing(root, prefix, whole=level == LISTED_DEPTH), ENTRY)
+        entries = entries.repartition(tasks, "path")
+    return entries.select("path")
 
 
 def scan_config_objects(
     spark: SparkSession, root: str, prefix: str = "", condition: Column | None = None, exact: bool = False
 ) -> DataFrame:
-    """Rows (path, content) of all objects under `root` whose path starts with `prefix`, or is just it."""
-    spark.dataSource.register(ConfigObjects)
-    objects = spark.read.format("config_objects").option("prefix", prefix).option("exact", exact).load(root)
+    """Rows (path, content) of all objects under `root` whose path starts with `prefix`.
+
+    If `exact`, of the object that has just this path, which is looked up without any listing.
+    """
+    if exact:
+        paths = spark.range(0, 1, 1, 1).select(F.lit(prefix).alias("path"))
+    else:
+        paths = list_objects(spark, root, prefix)
+    objects = paths.mapInArrow(reading(root), CONFIG_OBJECT)
     return objects if condition is None else objects.filter(condition)
 
 

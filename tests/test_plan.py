@@ -1,5 +1,8 @@
 """Buckets to plan: the golden table, errors, reports and records."""
 
+import os
+
+import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +26,9 @@ from sampleward.plans.records import dead_letter, run_log
 from sampleward.plans.reports import policy_request_dry_run, sample_request_dry_run
 from sampleward.sources.catalog import source_schema
 from sampleward.sources.config_objects import (
+    entries_of,
     list_dataset_prefixes,
+    list_objects,
     object_present,
     parse_table_path,
     scan_config_objects,
@@ -103,13 +108,44 @@ def test_scan_keeps_empty_and_bad_objects(spark, roots, tmp_path):
     assert only.count() == 1
 
 
-def test_grouped_scan_reads_all(spark, roots):
-    scan_config_objects(spark, roots[0])
-    grouped = (
-        spark.read.format("config_objects").option("files_per_partition", 3).load(roots[0])
-    )
-    assert grouped.count() == len(buckets.POLICIES)
-    assert grouped.rdd.getNumPartitions() == 4
+class CountingFiles:
+    """A file system that notes which folders are listed."""
+
+    def __init__(self):
+        self.files, self.listed = pafs.LocalFileSystem(), []
+
+    def get_file_info(self, selector):
+        self.listed.append((os.path.basename(selector.base_dir), selector.recursive))
+        return self.files.get_file_info(selector)
+
+
+def test_listings_are_dealt_over_tasks(spark, tmp_path):
+    paths = [f"p{p}/d{d}/t{t}.json" for p in range(2) for d in range(12) for t in range(5)]
+    paths += ["default.json", "p0/notes.md", "p1/d3/deep/er/x.json"]
+    for path in paths:
+        buckets.write(tmp_path, path, path)
+    listed = list_objects(spark, str(tmp_path))
+    assert sorted(r.path for r in listed.collect()) == sorted(paths)
+    # No step but the listing of the root's own folder is left to one task.
+    assert listed.select(F.spark_partition_id()).distinct().count() > 3
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == plan.count("RepartitionByExpression") == 3
+    got = {r.path: r.content for r in scan_config_objects(spark, str(tmp_path)).collect()}
+    assert got == {path: path for path in paths}
+    for prefix in ("p1/d3/", "p1/d1", "p0/d2/t", "p0/", "p", "q/", "p1/d3/deep/", "p1/d3/deep/er/x"):
+        got = [r.path for r in list_objects(spark, str(tmp_path), prefix).collect()]
+        assert sorted(got) == sorted(path for path in paths if path.startswith(prefix)), prefix
+
+
+def test_folders_are_listed_once_and_only_under_the_prefix(tmp_path):
+    for path in ("p/a/x.json", "p/ab/y.json", "p/ab/z/w.json", "p/b/x.json", "q/a/x.json"):
+        buckets.write(tmp_path, path, "")
+    files, base = CountingFiles(), str(tmp_path)
+    assert sorted(entries_of(files, base, "p", "p/a", False)) == [("p/a", True), ("p/ab", True)]
+    assert sorted(entries_of(files, base, "p/ab", "p/a", True)) == [("p/ab/y.json", False), ("p/ab/z/w.json", False)]
+    assert list(entries_of(files, base, "gone", "gone/", True)) == []
+    assert sorted(entries_of(files, base, "", "", False)) == [("p", True), ("q", True)]
+    assert files.listed == [("p", False), ("ab", True), ("gone", True), (os.path.basename(base), False)]
 
 
 def test_paths_and_prefixes(spark, roots):
