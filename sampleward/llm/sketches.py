@@ -22,6 +22,11 @@ from sampleward.sources.shared import stage
 LEAST = -(1 << 31)
 
 
+def threshold(fraction: float) -> int:
+    """Hashes below it make up this fraction of all."""
+    return LEAST + int(fraction * (1 << 32))
+
+
 def word_hashes(text: Column) -> Column:
     words = F.filter(F.split(F.lower(text), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
@@ -43,8 +48,7 @@ def with_sketch(df: DataFrame, text: str, name: str, words: int = 5, fraction: f
         ),
     ).when(n > 0, F.array(short(F.xxhash64(F.col("__words")))))
     hashed = hashed.withColumn("__hashes", shingles)
-    below = LEAST + int(fraction * (1 << 32))
-    kept = F.filter("__hashes", lambda h: h < below)
+    kept = F.filter("__hashes", lambda h: h < threshold(fraction))
     least = F.array(F.array_min("__hashes"))
     kept = F.when(F.col("__hashes").isNull(), F.array().cast("array<int>")).otherwise(
         F.array_sort(F.array_distinct(F.concat(kept, least)))
@@ -52,9 +56,14 @@ def with_sketch(df: DataFrame, text: str, name: str, words: int = 5, fraction: f
     return hashed.withColumn(name, kept).drop("__words", "__hashes")
 
 
-def merge(a: Column, b: Column) -> Column:
-    """The sketch of both documents' shingles together."""
-    return F.array_sort(F.array_union(a, b))
+def merge(a: Column, b: Column, fraction: float = 1 / 4) -> Column:
+    """The sketch of both documents' shingles together, of sketches with this fraction.
+
+    A least hash above the threshold stays only while no hash of either lies below it, as in a sketch made at once.
+    """
+    both = F.array_union(a, b)
+    kept = F.array_sort(F.filter(both, lambda h: h < threshold(fraction)))
+    return F.when(F.size(kept) > 0, kept).when(F.size(both) > 0, F.array(F.array_min(both))).otherwise(both)
 
 
 def containment(a: Column, b: Column) -> Column:

@@ -177,6 +177,46 @@ def test_sketches_merge_and_contain(spark):
     assert row.inside == 1.0 and abs(row.like - 1 / 3) < 0.1 and row.union == 1.0
 
 
+def slow_sketch(shingles, fraction=1 / 4):
+    """The hashes of a set of shingles that lie below the fraction, and the least one."""
+    hashes = set()
+    for shingle in shingles:
+        at = 42
+        for word in shingle:
+            at = xxhash.xxh64_intdigest(xxhash.xxh64_intdigest(word.encode(), 42).to_bytes(8, "little"), at)
+        hashes.add((at - (1 << 64) if at >> 63 else at) >> 32)
+    below = sketches.LEAST + int(fraction * (1 << 32))
+    return sorted({h for h in hashes if h < below} | ({min(hashes)} if hashes else set()))
+
+
+def test_sketches_equal_brute_force(spark):
+    texts = [*ODD, *(words(i, i % 9, 40) for i in range(60)), words(7, 3000, 10**6), "Naïve ÉTÉ\x0b b c d e  f"]
+    rows = [(i, t or "") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for fraction in (1 / 4, 1 / 64, 1.0):
+        found = sketches.with_sketch(df, "text", "sketch", fraction=fraction)
+        found = found.withColumn("print", sketches.fingerprint(found.sketch))
+        for r in found.collect():
+            want = slow_sketch(shingle_set(r.text), fraction)
+            assert r.sketch == want, r.text
+            assert r.print == "".join(f"{h - sketches.LEAST:08x}" for h in want)
+
+
+def test_merged_sketches_equal_those_made_at_once(spark):
+    # Texts of one to nine words, of which many have no hash below the fraction.
+    texts = ["", *(words(i, 1 + i % 9, 10**6) for i in range(40))]
+    pairs = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    for fraction in (1 / 4, 1 / 16):
+        df = pairs
+        for name in "ab":
+            df = sketches.with_sketch(df, name, f"{name}_sketch", fraction=fraction)
+        merged = df.withColumn("merged", sketches.merge(df.a_sketch, df.b_sketch, fraction)).collect()
+        want = [slow_sketch(shingle_set(r.a) | shingle_set(r.b), fraction) for r in merged]
+        assert [r.merged for r in merged] == want
+        below = sketches.threshold(fraction)
+        assert any(r.a_sketch and r.a_sketch[0] >= below > r.b_sketch[0] for r in merged if r.b_sketch)
+
+
 def slow_top_k(rows, every, k):
     valid = []
     for n, (i, v) in enumerate(rows):
