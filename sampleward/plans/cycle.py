@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from sampleward.functions.text import valid_identifier
 from sampleward.operators.sampling import (
     block_sample,
     random_sample,
@@ -171,6 +172,7 @@ def plan_jobs(
         target_project,
         target_location,
     ).withColumn("amount", F.coalesce("granted", F.lit(0).cast("bigint")))
+    plan = plan.withColumn("target_name", valid_identifier(F.col("target_id")))
     checked = target_collisions(validate_job(plan, columns))
     foreign = F.when(F.coalesce("target_project", F.lit(target_project)) != target_project, "FOREIGN_TARGET")
     return checked.withColumn("error_code", F.coalesce("error_code", foreign, "job_error")).drop("job_error")
@@ -326,7 +328,7 @@ def _sample_table(config: CycleConfig, df: DataFrame, row: Row, seed: int) -> in
         config.single_task_rows,
         config.random_by_block,
     )
-    schema, table = config.target_schema(row.target_dataset), row.target_id.lower()
+    schema, table = config.target_schema(row.target_dataset), row.target_name
     labels = sample_labels(config.labels, row.project_id, row.location)
     source_root = config.location_roots.get(row.location or "")
     written = Observation()
@@ -364,8 +366,8 @@ def _drop_obsolete(spark: SparkSession, config: CycleConfig, sampled: DataFrame)
     """Drop samples this cycle did not provide, then schemas left empty. New ones are in place."""
     current = sampled.select(
         F.lit(config.target_project).alias("project_id"),
-        F.lower(F.concat(F.lit(config.target_schema_prefix), "target_dataset")).alias("dataset_id"),
-        F.lower("target_id").alias("table_id"),
+        valid_identifier(F.concat(F.lit(config.target_schema_prefix), "target_dataset")).alias("dataset_id"),
+        F.col("target_name").alias("table_id"),
     )
     existing = list_tables(spark, config.target_project, config.target_schema_prefix)
     dropped, errors = drop_tables(spark, full_refresh_targets(existing, current))

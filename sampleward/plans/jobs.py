@@ -116,8 +116,11 @@ def validate_job(jobs: DataFrame, source_columns: DataFrame | None = None) -> Da
 
 
 def target_collisions(jobs: DataFrame) -> DataFrame:
-    """Jobs whose target another one has too, whatever the case of its letters, get a `job_error`."""
-    target = F.lower("target_table")
+    """Jobs whose target another one has too get a `job_error`, whatever the case of its letters.
+
+    Characters that no table name may hold are alike, since all become `_`.
+    """
+    target = F.lower(F.regexp_replace("target_table", "[^A-Za-z0-9_.@]", "_"))
     several = jobs.groupBy(target.alias("__target")).agg(F.count("*").alias("__jobs")).where("__jobs > 1")
     joined = jobs.join(several, target == F.col("__target"), "left")
     error = F.coalesce("job_error", F.when(F.col("__jobs").isNotNull(), "TARGET_COLLISION"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -78,7 +79,8 @@ class CycleConfig:
     keep_seconds: int = KEEP_SECONDS
 
     def target_schema(self, dataset: str) -> str:
-        return f"{self.target_schema_prefix}{dataset}".lower()
+        """As `valid_identifier` names it."""
+        return re.sub("[^A-Za-z0-9_]", "_", f"{self.target_schema_prefix}{dataset}")[:IDENTIFIER_LENGTH].lower()
 
     def source_name(self, project: str, dataset: str, table: str) -> str:
         catalog = self.source_catalogs.get(project, "spark_catalog")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import buckets
+from sampleward.functions.text import valid_identifier
 from sampleward.operators.sampling import sorted_sample
 from sampleward.operators.tables import (
     create_schema,
@@ -382,6 +383,41 @@ def test_dataset_that_cannot_be_described_stops_no_other(spark, world):
     assert errors == {"orders": "MISSING_SOURCE"} and world.sample("orders").count() == 6
 
 
+def test_ids_that_are_no_table_names(spark, world, monkeypatch):
+    # In a catalog of its own, a table may be called or-ders; its sample lies in one that knows letters, digits and _ only.
+    named = CycleConfig.source_name
+    monkeypatch.setattr(CycleConfig, "source_name", lambda self, p, d, t: named(self, p, d, t.replace("-", "")))
+    world.policy("or-ders", "")
+    for _ in range(2):  # the second cycle finds it and keeps it
+        result = world.run()
+        assert result.errors.count() == 0 and result.dropped == ()
+        assert world.rows("or_ders") == world.rows("orders") == 6
+    assert {r.target_table for r in result.log.collect()} == {
+        f"target.{world.dataset}.{name}@EU" for name in ("orders", "or-ders", "customer")
+    }
+    world.policy("Cust-omer", "")
+    here = {"project_id": "prod", "dataset_id": world.dataset, "target_project": "target", "target_dataset": world.dataset}
+    rows = [
+        order("SAMPLE_START", 600, **here, table_id="orders", target_id="top-orders"),
+        order("SAMPLE_START", 700, **here, table_id="customer", target_id="top_orders"),
+        order("SAMPLE_START", 800, **here, table_id="customer", target_id="né-w", size={"count": 500, "percentage": None}),
+    ]
+    commands = run_orders(spark, world.config, spark.createDataFrame(rows, ORDER)).commands.collect()
+    assert {r.timestamp: r.error for r in commands} == {600: "TARGET_COLLISION", 700: "TARGET_COLLISION", 800: None}
+    assert world.sample("top_orders") is None and world.rows("n__w") == 68
+    world.remove_policy("or-ders")
+    dropped = world.run().dropped
+    assert any(name.endswith(".or_ders") for name in dropped) and world.sample("or_ders") is None
+
+
+def test_target_schemas_are_named_as_identifiers(spark, world):
+    names = ["Sales", "my-set", "é.x", "K\u212a", "x" * 2000, "a`b"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(
+        valid_identifier(F.concat(F.lit(world.config.target_schema_prefix), "n"))
+    )
+    assert [r[0] for r in got.collect()] == [world.config.target_schema(n) for n in names]
+
+
 def test_whole_cycles_report_orphan_requests(spark, world):
     world.request("vouchers", {"size": buckets.size(4)})
     assert [(r.table_id, r.error) for r in world.run().errors.collect()] == [("vouchers", "ORPHAN_REQUEST")]
