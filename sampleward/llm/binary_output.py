@@ -106,10 +106,11 @@ def pack_rows(
 
     def blocks(rows) -> Iterator[list[tuple]]:
         bpe, block, held = load(tokenizer_path), [], 0
+        end = np.array([end_id], dtype="<u4")
         for part in batched(rows, TOGETHER):
             doc_ids, together = zip(*part)
-            for doc_id, ids in zip(doc_ids, bpe.encode(together)):
-                ids = np.array([*ids, end_id], dtype="<u4")
+            for doc_id, ids in zip(doc_ids, bpe.encode_arrays(together)):
+                ids = np.concatenate([ids, end])
                 block += [(doc_id, s, ids[s : s + width]) for s in range(0, len(ids), width)]
                 held += len(ids)
                 if held >= block_tokens:

@@ -12,9 +12,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from functools import lru_cache
-from itertools import batched, chain, islice
+from itertools import batched, chain
 
 import numpy as np
 import regex
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from sampleward.llm.batches import map_rows, texts
-from sampleward.llm.merges import Merges, Remembered
+from sampleward.llm.merges import Merges, RememberedFlat
 
 # White space by the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -83,7 +83,7 @@ class ByteBpe:
         self.latin, self.latin_pattern = self._latin()
         self.unlike = regex.compile(f"[{self._unlike()}\\U00010000-\\U0010ffff]")
         known = {SPECIAL + content: (i,) for content, i in self.specials.items()}
-        self.remembered = Remembered(self.merge, known)
+        self.remembered = RememberedFlat(self.merge_flat, known)
 
     @staticmethod
     def _latin() -> tuple:
@@ -130,18 +130,28 @@ class ByteBpe:
             out += [SPECIAL + part] if i % 2 else self.pre_tokens(part)
         return out
 
-    def merge(self, pre_tokens: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token."""
+    def letters(self, pre_tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens' bytes end to end, and how many each has."""
         encoded = list(map(str.encode, pre_tokens))
         letters = np.frombuffer(b"".join(encoded), dtype=np.uint8)
         lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        return self.merges.merge(self.letter_ids[letters], lengths)
+        return self.letter_ids[letters], lengths
+
+    def merge(self, pre_tokens: list[str]) -> list[tuple[int, ...]]:
+        """Ids of each pre-token."""
+        return self.merges.merge(*self.letters(pre_tokens))
+
+    def merge_flat(self, pre_tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens end to end, and how many each has."""
+        return self.merges.merge_flat(*self.letters(pre_tokens))
+
+    def encode_arrays(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """Ids of each text, 32-bit. All new pre-tokens of the texts are merged together."""
+        return self.remembered.of(map(self.cut, texts))
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        """Ids of each text. All new pre-tokens of the texts are merged together."""
-        cut = [self.cut(text) for text in texts]
-        ids = iter(self.remembered.of(list(chain.from_iterable(cut))))
-        return [list(chain.from_iterable(islice(ids, len(tokens)))) for tokens in cut]
+    def encode(self, texts: Iterable[str]) -> list[list[int]]:
+        """Ids of each text."""
+        return [ids.tolist() for ids in self.encode_arrays(texts)]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of the ids; bytes that are no UTF-8 become replacement characters."""

@@ -10,6 +10,8 @@ Short strings are merged side by side as the rows of numpy arrays, long ones one
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 NO_RANK = 1 << 40
@@ -17,6 +19,13 @@ NO_RANK = 1 << 40
 SHORT, AT_ONCE = 64, 8192
 
 
+def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """So many values from each start on, end to end."""
+    places = np.repeat(starts - np.cumsum(counts) + counts, counts)
+    places += np.arange(len(places))
+    return values[places]
+
+
 class Merges:
     """Merges over symbols; every string is given as the symbols it begins with."""
 
@@ -40,28 +49,35 @@ class Merges:
 
     def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> list[tuple[int, ...]]:
         """The symbols of each string after all merges; the strings stand one after the other."""
+        merged, counts = self.merge_flat(symbols, lengths)
+        flat, ends = merged.tolist(), np.cumsum(counts).tolist()
+        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def merge_flat(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same symbols end to end, and how many each string has."""
         starts = np.cumsum(lengths) - lengths
-        out: list = [()] * len(lengths)
-        for i in np.flatnonzero(lengths == 1).tolist():
-            out[i] = (int(symbols[starts[i]]),)
+        places = np.flatnonzero(lengths == 1)
+        done = [(places, symbols[starts[places]], np.ones(len(places), dtype=np.int64))]
         for i in np.flatnonzero(lengths > SHORT).tolist():
-            out[i] = self.merge_long(symbols[starts[i] : starts[i] + lengths[i]].tolist())
+            ids = self.merge_long(symbols[starts[i] : starts[i] + lengths[i]].tolist())
+            done.append((np.array([i]), np.array(ids, dtype=np.int64), np.array([len(ids)])))
         least, size = 2, 1
         while least <= SHORT:
             most = min(size + 1, SHORT)
             places = np.flatnonzero((lengths >= least) & (lengths <= most))
             for k in range(0, len(places), AT_ONCE):
                 part = places[k : k + AT_ONCE]
-                merged = self.merge_short(symbols, starts[part], lengths[part], size)
-                for i, ids in zip(part.tolist(), merged):
-                    out[i] = ids
+                done.append((part, *self.merge_short(symbols, starts[part], lengths[part], size)))
             least, size = most + 1, 2 * size
-        return out
+        places, merged, each = map(np.concatenate, zip(*done))
+        counts, first = np.zeros((2, len(lengths)), dtype=np.int64)
+        counts[places], first[places] = each, np.cumsum(each) - each
+        return gather(merged, first, counts), counts
 
     def merge_short(
         self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int
-    ) -> list[tuple[int, ...]]:
-        """Strings of up to size + 1 symbols; the state of each is a row of flat arrays."""
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Strings of up to size + 1 symbols, as from merge_flat(); the state of each is a row of flat arrays."""
         rows, width = len(lengths), size + 2  # the last column of a row stays empty
         places = starts[:, None] + np.arange(width)
         table = symbols.take(np.minimum(places, len(symbols) - 1)).astype(np.int64)
@@ -108,9 +124,8 @@ class Merges:
                 lower = np.minimum(nodes.take(row + i), nodes.take(row + (i ^ 1)))
                 i >>= 1
                 nodes[row + i] = lower
-        flat = table[table >= 0].tolist()
-        ends = np.cumsum((table >= 0).sum(axis=1)).tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        left = table >= 0
+        return table[left], left.sum(axis=1)
 
     def merge_long(self, string: list[int]) -> tuple[int, ...]:
         ids, n = list(string), len(string)
@@ -179,3 +194,87 @@ class Remembered:
             if len(key) > SHORT:
                 del known[key]
         return values
+
+
+class Numbers(dict):
+    """Keys by number, and the symbols of each number; a key that is looked up and not there gets the next number.
+
+    `new` are the keys that wait for their symbols, in the order of their numbers.
+    """
+
+    def __init__(self, first: dict):
+        """first: symbols by key."""
+        super().__init__(zip(first, range(len(first))))
+        self.new: list = []
+        self.counts = np.fromiter(map(len, first.values()), dtype=np.int64, count=len(first))
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.symbols = np.array([i for ids in first.values() for i in ids], dtype=np.uint32)
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self.counts) + len(self.new)
+        self.new.append(key)
+        return number
+
+    def add(self, symbols: np.ndarray, counts: np.ndarray) -> None:
+        """The symbols of the new keys."""
+        self.starts = np.concatenate([self.starts, len(self.symbols) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.symbols = np.concatenate([self.symbols, symbols])
+        self.new = []
+
+    def forget(self, last: list) -> None:
+        """Drop the long ones of the keys added last, with their symbols; their numbers stay unused."""
+        first = len(self.counts) - len(last)
+        begin, kept = self.starts[first], self.counts[first:].copy()
+        for place, key in enumerate(last):
+            if len(key) > SHORT:
+                del self[key]
+                kept[place] = 0
+        left = gather(self.symbols, self.starts[first:], kept)
+        self.symbols = np.concatenate([self.symbols[:begin], left])
+        self.counts = np.concatenate([self.counts[:first], kept])
+        self.starts = np.concatenate([self.starts[:first], begin + np.cumsum(kept) - kept])
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the numbers end to end, and how many each has."""
+        counts = self.counts[numbers]
+        return gather(self.symbols, self.starts[numbers], counts), counts
+
+
+class RememberedFlat:
+    """As Remembered, for results that are symbols, which are held and given in arrays."""
+
+    def __init__(self, many, first: dict | None = None, most: int = 250_000):
+        """many: the symbols of a list of keys end to end, and how many each has."""
+        self.many, self.first, self.most = many, first or {}, most
+        self.known, self.older = Numbers(self.first), Numbers({})
+
+    def of(self, texts: Iterable[list]) -> list[np.ndarray]:
+        """Symbols of each text, a list of keys; the keys of one text are let go before the next one's are made."""
+        if len(self.known.counts) >= len(self.first) + self.most:
+            self.older, self.known = self.known, Numbers(self.first)
+        known = self.known
+        number = known.__getitem__
+        numbers = [np.fromiter(map(number, keys), dtype=np.int64, count=len(keys)) for keys in texts]
+        if not numbers:
+            return []
+        if new := known.new:
+            known.add(*self.look_up(new))
+        symbols, counts = known.of(np.concatenate(numbers))
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(list(map(len, numbers)))].tolist()
+        if any(len(key) > SHORT for key in new):
+            known.forget(new)
+        return [symbols[a:b] for a, b in zip([0, *ends], ends)]
+
+    def look_up(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the keys and how many each has, those known before not made again."""
+        older = self.older
+        before = np.array([older.get(key, -1) for key in keys])
+        made, made_counts = self.many([key for key, number in zip(keys, before.tolist()) if number < 0])
+        counts, starts = np.zeros((2, len(keys)), dtype=np.int64)
+        again = before >= 0
+        held, held_counts = older.of(before[again])
+        counts[again], counts[~again] = held_counts, made_counts
+        starts[again] = np.cumsum(held_counts) - held_counts
+        starts[~again] = len(held) + np.cumsum(made_counts) - made_counts
+        return gather(np.concatenate([held, made.astype(np.uint32)]), starts, counts), counts

@@ -79,6 +79,53 @@ def test_remembered_forgets_and_stays_right():
     assert memory.of(["x" * 100]) == ["x" * 200] and "x" * 100 not in memory.known
 
 
+def test_ids_in_arrays_equal_the_library():
+    bpe = byte_bpe.ByteBpe(BYTE_BPE)
+    want = [library(BYTE_BPE).encode(t, add_special_tokens=False).ids for t in TEXTS]
+    bpe.remembered.most = 50  # so that pre-tokens are forgotten, and some of them met again
+    for size in (1, 7, len(TEXTS)):
+        got = [ids for k in range(0, len(TEXTS), size) for ids in bpe.encode_arrays(TEXTS[k : k + size])]
+        assert [ids.tolist() for ids in got] == want and {ids.dtype for ids in got} == {np.dtype("uint32")}
+    assert bpe.encode_arrays([]) == []
+
+
+def test_known_pre_tokens_are_looked_up_once(monkeypatch):
+    class Counted(str):
+        hashed = 0
+
+        def __hash__(self):
+            Counted.hashed += 1
+            return super().__hash__()
+
+    bpe, text = byte_bpe.ByteBpe(BYTE_BPE), "the house xqzvw the the"
+    ids = bpe.encode([text])
+    assert ids == [library(BYTE_BPE).encode(text, add_special_tokens=False).ids]
+    keys = list(map(Counted, bpe.cut(text)))
+    monkeypatch.setattr(bpe, "cut", lambda _: keys)
+    assert bpe.encode([text]) == ids and Counted.hashed == len(keys)
+
+
+def test_flat_memory_forgets_and_stays_right():
+    seen = []
+
+    def many(keys):
+        seen.extend(keys)
+        return np.array([ord(c) for k in keys for c in k], dtype=np.int64), np.array([len(k) for k in keys], dtype=int)
+
+    def symbols(keys):
+        return [i for k in keys for i in ([7, 8] if k == "a" else map(ord, k))]
+
+    memory = merges.RememberedFlat(many, {"a": (7, 8)}, most=3)
+    texts = [["a", "bc", "c"], [], ["abcdefghi"[:i] for i in range(9)], ["x" * 100, "bc", "a"]]
+    for _ in range(3):
+        for some in (*([text] for text in texts), texts):
+            assert [ids.tolist() for ids in memory.of(some)] == list(map(symbols, some))
+        assert "x" * 100 not in memory.known and "x" * 100 not in memory.older
+        assert len(memory.known.symbols) < 100
+    assert "a" not in seen
+    assert memory.of([]) == [] and memory.of([[]])[0].tolist() == []
+
+
 def test_round_trip_digests(spark):
     rows, df = odd_documents(spark)
     lib, want = library(BYTE_BPE), []
