@@ -11,6 +11,7 @@ Short strings are merged side by side as the rows of numpy arrays, long ones one
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import repeat
 
 import numpy as np
 
@@ -251,25 +252,32 @@ class RememberedFlat:
 
     def of(self, texts: Iterable[list]) -> list[np.ndarray]:
         """Symbols of each text, a list of keys; the keys of one text are let go before the next one's are made."""
+        symbols, counts, keys = self.counted(texts)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(keys)].tolist()
+        return [symbols[a:b] for a, b in zip([0, *ends], ends)]
+
+    def each(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the keys end to end, and how many each key has."""
+        return self.counted([keys])[:2]
+
+    def counted(self, texts: Iterable[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of the texts end to end, how many each key has, and how many keys each text has."""
         if len(self.known.counts) >= len(self.first) + self.most:
             self.older, self.known = self.known, Numbers(self.first)
         known = self.known
         number = known.__getitem__
         numbers = [np.fromiter(map(number, keys), dtype=np.int64, count=len(keys)) for keys in texts]
-        if not numbers:
-            return []
         if new := known.new:
             known.add(*self.look_up(new))
-        symbols, counts = known.of(np.concatenate(numbers))
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(list(map(len, numbers)))].tolist()
-        if any(len(key) > SHORT for key in new):
+        symbols, counts = known.of(np.concatenate([np.zeros(0, dtype=np.int64), *numbers]))
+        if max(map(len, new), default=0) > SHORT:
             known.forget(new)
-        return [symbols[a:b] for a, b in zip([0, *ends], ends)]
+        return symbols, counts, np.array(list(map(len, numbers)), dtype=np.int64)
 
     def look_up(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of the keys and how many each has, those known before not made again."""
         older = self.older
-        before = np.array([older.get(key, -1) for key in keys])
+        before = np.fromiter(map(older.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
         made, made_counts = self.many([key for key, number in zip(keys, before.tolist()) if number < 0])
         counts, starts = np.zeros((2, len(keys)), dtype=np.int64)
         again = before >= 0

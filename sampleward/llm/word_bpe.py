@@ -6,13 +6,15 @@ import json
 import re
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from sampleward.llm.byte_bpe import byte_letters, read_merges
-from sampleward.llm.merges import Merges, Remembered
+from sampleward.llm.merges import Merges, RememberedFlat, gather
 
 # Lower-case letters to U+017F; the runs that lower-case text of these letters is cut into.
 LETTERS = "a-zß-öø-ÿĀ-ſ"
@@ -23,9 +25,10 @@ class WordIds:
     """Ids as the tokenizers library gives them for a file that lower-cases and drops white space.
 
     No token of such a file spans white space, so a text's ids are those of its words one after
-    the other. Lines of Latin letters, digits and harmless marks are cut into runs, which are merged
-    here, many at once, and remembered. Words of all other lines, such as those with special strings,
-    apostrophes or letters of other scripts, go through the library itself and are remembered too.
+    the other. Arrow cuts many texts into words, of which each different one is worked on once. Words of
+    Latin letters, digits and harmless marks are cut into runs, which are merged here, many at once, and
+    remembered. All other words, such as those with special strings, apostrophes or letters of other
+    scripts, go through the library itself and are remembered too.
     """
 
     def __init__(self, path: str):
@@ -45,37 +48,63 @@ class WordIds:
         )
         odd = {"'", *(t["content"][0] for t in spec["added_tokens"])}
         marks = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in odd)
-        self.plain = re.compile(rf"[ \t-\ra-zA-Z0-9{re.escape(marks)}À-įıĲ-ſ]*").fullmatch
-        self.remembered = Remembered(self._encode)
-
-    def _encode(self, keys: list[str | bytes]) -> list[tuple[int, ...]]:
-        """Ids of runs, which are str, and of words, which are bytes."""
-        runs = [key.encode() for key in keys if type(key) is str]
-        letters = np.frombuffer(b"".join(runs), dtype=np.uint8)
-        lengths = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+        self.plain = re.compile(rf"[a-zA-Z0-9{re.escape(marks)}À-įıĲ-ſ]*").fullmatch
+        self.runs, self.odd = RememberedFlat(self.run_ids), RememberedFlat(self.odd_ids)
+
+    def run_ids(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs end to end, and how many each has."""
+        encoded = list(map(str.encode, runs))
+        letters = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
         symbols, ends = self.inner[letters], np.cumsum(lengths) - 1
         symbols[ends] = self.last[letters[ends]]
-        merged = iter(self.merges.merge(symbols, lengths))
-        return [
-            next(merged)
-            if type(key) is str
-            else tuple(self.library.encode(key.decode(), add_special_tokens=False).ids)
-            for key in keys
-        ]
-
-    def cut(self, text: str) -> list[str | bytes]:
-        """Runs of plain lines and words of the others, in order."""
-        if self.plain(text):
-            return RUNS(text.lower())
-        keys: list[str | bytes] = []
-        for line in text.split("\n"):
-            keys += RUNS(line.lower()) if self.plain(line) else line.encode().split()
-        return keys
+        return self.merges.merge_flat(symbols, lengths)
+
+    def odd_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words, by the library."""
+        ids = [self.library.encode(word, add_special_tokens=False).ids for word in words]
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.array(list(chain.from_iterable(ids)), dtype=np.uint32), counts
+
+    def plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words, by their runs."""
+        runs = RUNS(" ".join(words).lower())
+        ids, counts = self.runs.each(runs)
+        # Runs leave nothing of a word out, and lower-casing keeps its length: it ends where its last run ends.
+        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        run_ends = np.cumsum(np.fromiter(chain([0], map(len, runs)), dtype=np.int64, count=len(runs) + 1))
+        id_ends = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(run_ends, ends)]
+        return ids, np.diff(id_ends, prepend=0)
+
+    def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for all kinds of words without white space."""
+        if self.plain("".join(words)):
+            return self.plain_ids(words)
+        kinds = [self.plain(word) is not None for word in words]
+        plain = np.array(kinds)
+        ids, of_plain = self.plain_ids(list(compress(words, kinds)))
+        odd, of_odd = self.odd.each(list(compress(words, ~plain)))
+        counts, starts = np.zeros((2, len(words)), dtype=np.int64)
+        counts[plain], counts[~plain] = of_plain, of_odd
+        starts[plain] = np.cumsum(of_plain) - of_plain
+        starts[~plain] = len(ids) + np.cumsum(of_odd) - of_odd
+        return gather(np.concatenate([ids, odd]), starts, counts), counts
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of an Arrow column's texts end to end, 32-bit, and how many each text has."""
+        words = pc.ascii_split_whitespace(texts)
+        found = words.flatten().dictionary_encode()
+        ids, counts = self.word_ids(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        places, starts = found.indices.to_numpy(), np.cumsum(counts) - counts
+        each = counts[places]
+        last = np.cumsum(pc.list_value_length(words).to_numpy())  # words to the end of each text
+        ends = np.concatenate([[0], np.cumsum(each)])[last]
+        return gather(ids, starts[places], each), np.diff(ends, prepend=0)
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        cut = [self.cut(text) for text in texts]
-        ids = iter(self.remembered.of(list(chain.from_iterable(cut))))
-        return [list(chain.from_iterable(islice(ids, len(keys)))) for keys in cut]
+        ids, counts = self.encode_flat(pa.array(texts, pa.string()))
+        flat, ends = ids.tolist(), np.cumsum(counts).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
 @lru_cache(maxsize=4)

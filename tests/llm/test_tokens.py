@@ -126,6 +126,47 @@ def test_flat_memory_forgets_and_stays_right():
     assert memory.of([]) == [] and memory.of([[]])[0].tolist() == []
 
 
+def test_word_ids_are_right_when_words_are_forgotten():
+    ids = word_bpe.WordIds(WORD_BPE)
+    want = [library(WORD_BPE).encode(t, add_special_tokens=False).ids for t in TEXTS]
+    ids.runs.most = ids.odd.most = 20
+    for size in (1, 7, len(TEXTS)):
+        assert [x for k in range(0, len(TEXTS), size) for x in ids.encode(TEXTS[k : k + size])] == want
+    assert ids.encode([]) == [] and ids.encode(["", " \n"]) == [[], []]
+
+
+def test_each_different_word_of_a_batch_is_cut_once(monkeypatch):
+    cut, runs = [], word_bpe.RUNS
+    monkeypatch.setattr(word_bpe, "RUNS", lambda text: cut.append(text) or runs(text))
+    text = "The house, don't the\thouse, 12 xqzvw"
+    want = library(WORD_BPE).encode(text, add_special_tokens=False).ids
+    assert word_bpe.WordIds(WORD_BPE).encode([text] * 50) == [want] * 50
+    assert sorted(" ".join(cut).split()) == ["12", "house,", "the", "the", "xqzvw"]
+
+
+@pytest.mark.parametrize("longest", [2048, 64, 1])
+def test_binary_lengths_equal_brute_force(longest):
+    tokens = [0, 1, 2, 3, 63, 64, 65, 2047, 2048, 2049, 10_000]
+    want = []
+    for n in tokens:
+        pieces = []
+        for length in (1 << d for d in range(longest.bit_length() - 1, -1, -1)):
+            while sum(pieces) + length <= n:
+                pieces.append(length)
+        want.append(pieces)
+    lengths, counts = packing.binary_lengths(np.array(tokens), longest)
+    assert counts.tolist() == list(map(len, want)) and lengths.tolist() == sum(want, [])
+
+
+def test_packing_by_batches_of_any_size(spark, monkeypatch):
+    _, df = odd_documents(spark, TEXTS[:100])
+    df = df.coalesce(1)
+    whole = sorted(map(str, packing.pack(df, WORD_BPE, longest=64).collect()))
+    monkeypatch.setattr(packing, "TOGETHER_BYTES", 50)
+    monkeypatch.setattr(packing, "BATCH_IDS", 200)
+    assert sorted(map(str, packing.pack(df, WORD_BPE, longest=64).collect())) == whole
+
+
 def test_round_trip_digests(spark):
     rows, df = odd_documents(spark)
     lib, want = library(BYTE_BPE), []
